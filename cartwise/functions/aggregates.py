@@ -1,40 +1,62 @@
-"""Aggregate expressions shared by the operators. All combine map-side and stay in codegen."""
+"""Aggregates shared by the operators, as SQL text. All combine map-side and stay in codegen."""
 
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from cartwise.windows import DAY, ntz
+from cartwise.windows import DAY
 
 _BITS = 63
 
 
-def count_type(action_type: int, also: Column | None = None) -> Column:
-    cond = F.col("type") == action_type
-    return F.count_if(cond if also is None else cond & also)
+def _and(*conds: str | None) -> str:
+    return " AND ".join(f"({c})" for c in conds if c)
+
+
+def count_where(*conds: str | None) -> str:
+    return f"count_if({_and(*conds)})"
+
+
+def is_type(*types: int) -> str:
+    codes = [str(int(t)) for t in types]
+    return f"type = {codes[0]}" if len(codes) == 1 else f"type IN ({', '.join(codes)})"
+
+
+def first_where(column: str, *conds: str | None) -> str:
+    """Smallest value over matching rows."""
+    return f"min(if({_and(*conds)}, {column}, NULL))"
+
+
+def last_where(column: str, *conds: str | None) -> str:
+    """Largest value over matching rows."""
+    return f"max(if({_and(*conds)}, {column}, NULL))"
+
+
+def sum_where(column: str, *conds: str | None) -> str:
+    """Sum over matching rows, NULL when there is none."""
+    return f"sum(if({_and(*conds)}, {column}, NULL))"
 
 
-def count_types(types, also: Column | None = None) -> Column:
-    cond = F.col("type").isin(*[int(t) for t in types])
-    return F.count_if(cond if also is None else cond & also)
+def weight_where(*conds: str | None) -> str:
+    """Sum of recency weights over matching rows, 0 when there is none."""
+    if not any(conds):
+        return "coalesce(sum(weight), 0.0D)"
+    return f"coalesce({sum_where('weight', *conds)}, 0.0D)"
 
 
-def active_days(end: datetime, span_seconds: int, where: Column | None = None) -> Column:
+def active_days(end: datetime, span_seconds: int, where: str | None = None) -> str:
     """Distinct calendar days among the grouped rows, as the population of a day bitmap.
 
     A row sets the bit of its day's distance to `end`; OR-ing bitmaps replaces the second shuffle of a
     distinct count. `span_seconds` bounds the row ages and so fixes the number of 63-bit words.
     """
-    back = F.date_diff(F.to_date(ntz(end)), F.to_date(F.col("time")))
-    words = (span_seconds // DAY + 2) // _BITS + 1
+    back = f"datediff(DATE'{end.date().isoformat()}', to_date(time))"
+    words = (span_seconds // DAY + 1) // _BITS + 1
     counts = []
     for w in range(words):
-        in_word = back.between(w * _BITS, (w + 1) * _BITS - 1)
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (back - w * _BITS).cast("int"))
-        cond = in_word if where is None else in_word & where
-        counts.append(F.coalesce(F.bit_count(F.bit_or(F.when(cond, bit))), F.lit(0)))
-    return reduce(lambda a, b: a + b, counts).cast("long")
+        low = w * _BITS
+        in_word = None if words == 1 else f"{back} BETWEEN {low} AND {low + _BITS - 1}"
+        cond = _and(where, in_word)
+        bit = f"shiftleft(1L, {back} - {low})"
+        counts.append(f"coalesce(bit_count(bit_or({f'if({cond}, {bit}, NULL)' if cond else bit})), 0)")
+    return f"cast({' + '.join(counts)} AS BIGINT)"

@@ -1,29 +1,26 @@
-"""Division and fill rules. ANSI mode raises on ``/ 0``, so every quotient goes through one of these."""
+"""Division and fill rules as SQL text. ANSI mode raises on ``/ 0``, so every quotient uses one of these.
 
-from __future__ import annotations
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+Arguments are column names or SQL expressions.
+"""
 
+from __future__ import annotations
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from pyspark.sql import DataFrame
 
 
-def ratio_zero_as_one(a: str | Column, b: str | Column) -> Column:
+def ratio_zero_as_one(a: str, b: str) -> str:
     """``a / b`` where a zero denominator counts as one; NULL stays NULL."""
-    b = _col(b)
-    return _col(a) / F.when(b == 0, F.lit(1)).otherwise(b)
+    return f"({a}) / if(({b}) = 0, 1, ({b}))"
 
 
-def ratio_or_one(a: str | Column, b: str | Column) -> Column:
+def ratio_or_one(a: str, b: str) -> str:
     """``a / b``, 1 where the quotient is undefined."""
-    return F.coalesce(F.try_divide(_col(a), _col(b)), F.lit(1.0))
+    return f"coalesce(try_divide({a}, {b}), 1.0D)"
 
 
-def ratio_or_null(a: str | Column, b: str | Column) -> Column:
+def ratio_or_null(a: str, b: str) -> str:
     """``a / b``, NULL where the quotient is undefined."""
-    return F.try_divide(_col(a), _col(b))
+    return f"try_divide({a}, {b})"
 
 
 def zero_fill(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from cartwise.functions.aggregates import count_type, count_types
+from cartwise.functions.aggregates import count_where, is_type
+from cartwise.functions.exprs import aggregate, project
 from cartwise.functions.ratios import ratio_or_null, ratio_or_one
 from cartwise.schema import ALL_TYPES, NON_BUY_TYPES, TIME_ZONES, USER_TOTAL_TYPES, ActionType
-from cartwise.windows import Suffixes, WindowSpec, ntz, scan_window
+from cartwise.windows import Suffixes, WindowSpec, scan_window
 
 
 def action_counts(
@@ -18,7 +18,7 @@ def action_counts(
 ) -> DataFrame:
     """`cnt_<type>` per key. A key is present once it has any row in the window."""
     rows = scan_window(actions, window, cate)
-    return rows.groupBy(*keys).agg(*[count_type(t).alias(f"cnt_{t}") for t in types])
+    return aggregate(rows, keys, {f"cnt_{t}": count_where(is_type(t)) for t in types})
 
 
 def action_counts_multi(
@@ -28,14 +28,12 @@ def action_counts_multi(
 
     A window in which the key has no row at all gives NULL, as an absent key would after a left join.
     """
-    rows = suffixes.scan(actions, cate)
-    aggs = []
+    exprs = {}
     for label in suffixes.labels:
         seen = suffixes.within(label)
-        aggs += [
-            F.when(F.max(seen), count_type(t, seen)).alias(f"cnt_{t}_{label}") for t in types
-        ]
-    return rows.groupBy(*keys).agg(*aggs)
+        for t in types:
+            exprs[f"cnt_{t}_{label}"] = f"if(max({seen}), {count_where(is_type(t), seen)}, NULL)"
+    return aggregate(suffixes.scan(actions, cate), keys, exprs)
 
 
 def time_zone_counts(
@@ -43,21 +41,15 @@ def time_zone_counts(
 ) -> DataFrame:
     """`tz_<0..3>`: rows per quarter of the day."""
     rows = scan_window(actions, window, cate)
-    return rows.groupBy(*keys).agg(
-        *[F.count_if(F.col("time_zone") == z).alias(f"tz_{z}") for z in TIME_ZONES]
-    )
+    return aggregate(rows, keys, {f"tz_{z}": count_where(f"time_zone = {z}") for z in TIME_ZONES})
 
 
 def login_matrix(actions: DataFrame, window: WindowSpec) -> DataFrame:
     """One 0/1 column `login_<yyyy-mm-dd>` per calendar day of the window, one row per user."""
     first, last = window.start.date(), (window.end - timedelta(microseconds=1)).date()
-    days = [first + timedelta(days=i) for i in range((last - first).days + 1)]
-    day = F.to_date(F.col("time"))
-    return (
-        scan_window(actions, window)
-        .groupBy("user_id")
-        .agg(*[F.max((day == F.lit(d)).cast("int")).alias(f"login_{d.isoformat()}") for d in days])
-    )
+    days = [(first + timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
+    flags = {f"login_{d}": f"max(if(to_date(time) = DATE'{d}', 1, 0))" for d in days}
+    return aggregate(scan_window(actions, window), ["user_id"], flags)
 
 
 def total_counts(
@@ -65,8 +57,8 @@ def total_counts(
 ) -> DataFrame:
     """`total_cnt` per key over `types` (all when None)."""
     rows = scan_window(actions, window, cate)
-    total = F.count(F.lit(1)) if types is None else count_types(types)
-    return rows.groupBy(*keys).agg(total.alias("total_cnt"))
+    total = "count(1)" if types is None else count_where(is_type(*types))
+    return aggregate(rows, keys, {"total_cnt": total})
 
 
 def user_total_counts(actions: DataFrame, window: WindowSpec, types=USER_TOTAL_TYPES) -> DataFrame:
@@ -78,22 +70,30 @@ def action_flags(
 ) -> DataFrame:
     """`has_<type>` 0/1 per key."""
     rows = scan_window(actions, window, cate)
-    return rows.groupBy(*keys).agg(
-        *[F.max((F.col("type") == t).cast("int")).alias(f"has_{t}") for t in types]
-    )
+    return aggregate(rows, keys, {f"has_{t}": f"max(if({is_type(t)}, 1, 0))" for t in types})
 
 
 def buy_conversion(actions: DataFrame, window: WindowSpec) -> DataFrame:
     """Buys over each other action type per user; an undefined quotient counts as 1."""
     counts = action_counts(actions, window, ["user_id"])
     buys = f"cnt_{int(ActionType.BUY)}"
-    return counts.select(
-        "user_id", *[ratio_or_one(buys, f"cnt_{t}").alias(f"buy_per_{t}") for t in NON_BUY_TYPES]
+    return project(
+        counts, ["user_id"], {f"buy_per_{t}": ratio_or_one(buys, f"cnt_{t}") for t in NON_BUY_TYPES}
     )
 
 
-def _inside(sub: WindowSpec) -> Column:
-    return sub.contains()
+def _nested_counts(
+    rows: DataFrame, keys: list[str], window: WindowSpec, sub: WindowSpec, also: str | None = None
+) -> DataFrame:
+    """`all_<type>` over the rows and `sub_<type>` over those in `sub`, for keys with a row in `sub`."""
+    if not (window.start <= sub.start and sub.end <= window.end):
+        raise ValueError("the sub-window must lie inside the window")
+    inner = sub.where() if also is None else f"{sub.where()} AND {also}"
+    exprs = {"seen": f"max({inner})"}
+    for t in ALL_TYPES:
+        exprs[f"all_{t}"] = count_where(is_type(t))
+        exprs[f"sub_{t}"] = count_where(is_type(t), inner)
+    return aggregate(rows, keys, exprs).filter("seen")
 
 
 def window_ratios(
@@ -103,20 +103,9 @@ def window_ratios(
 
     Both counts come from one scan of `window`; an undefined quotient counts as 1.
     """
-    _require_nested(window, sub)
-    inner = _inside(sub)
-    counts = (
-        scan_window(actions, window, cate)
-        .groupBy(*keys)
-        .agg(
-            F.max(inner).alias("seen"),
-            *[count_type(t).alias(f"all_{t}") for t in ALL_TYPES],
-            *[count_type(t, inner).alias(f"sub_{t}") for t in ALL_TYPES],
-        )
-        .filter("seen")
-    )
-    return counts.select(
-        *keys, *[ratio_or_one(f"sub_{t}", f"all_{t}").alias(f"ratio_{t}") for t in ALL_TYPES]
+    counts = _nested_counts(scan_window(actions, window, cate), keys, window, sub)
+    return project(
+        counts, keys, {f"ratio_{t}": ratio_or_one(f"sub_{t}", f"all_{t}") for t in ALL_TYPES}
     )
 
 
@@ -127,58 +116,23 @@ def cate_share_of_user(
 
     Undefined quotients stay NULL.
     """
-    _require_nested(window, sub)
-    inner = _inside(sub) & (F.col("cate") == cate)
-    counts = (
-        scan_window(actions, window)
-        .groupBy("user_id")
-        .agg(
-            F.max(inner).alias("seen"),
-            *[count_type(t).alias(f"all_{t}") for t in ALL_TYPES],
-            *[count_type(t, inner).alias(f"sub_{t}") for t in ALL_TYPES],
-        )
-        .filter("seen")
-    )
-    return counts.select(
-        "user_id",
-        F.lit(cate).alias("cate"),
-        *[ratio_or_null(f"sub_{t}", f"all_{t}").alias(f"ratio_{t}") for t in ALL_TYPES],
-    )
+    rows = scan_window(actions, window)
+    counts = _nested_counts(rows, ["user_id"], window, sub, f"cate = {int(cate)}")
+    ratios = {f"ratio_{t}": ratio_or_null(f"sub_{t}", f"all_{t}") for t in ALL_TYPES}
+    return project(counts, ["user_id"], {"cate": str(int(cate)), **ratios})
 
 
 def item_share_of_cate(actions: DataFrame, window: WindowSpec) -> DataFrame:
     """Rows of (user, item) over rows of (user, category) by type; undefined counts as 1.
 
-    The category totals are rolled up from the item counts, so the log is aggregated once and only
-    grouped rows are joined.
+    The category totals are rolled up from the item counts, so only grouped rows are joined.
     """
     items = action_counts(actions, window, ["user_id", "sku_id", "cate"])
-    cates = items.groupBy("user_id", "cate").agg(
-        *[F.sum(f"cnt_{t}").alias(f"cate_cnt_{t}") for t in ALL_TYPES]
+    cates = aggregate(
+        items, ["user_id", "cate"], {f"cate_cnt_{t}": f"sum(cnt_{t})" for t in ALL_TYPES}
     )
-    return items.join(cates, ["user_id", "cate"]).select(
-        "user_id",
-        "sku_id",
-        *[ratio_or_one(f"cnt_{t}", f"cate_cnt_{t}").alias(f"share_{t}") for t in ALL_TYPES],
+    return project(
+        items.join(cates, ["user_id", "cate"]),
+        ["user_id", "sku_id"],
+        {f"share_{t}": ratio_or_one(f"cnt_{t}", f"cate_cnt_{t}") for t in ALL_TYPES},
     )
-
-
-def _require_nested(window: WindowSpec, sub: WindowSpec) -> None:
-    if not (window.start <= sub.start and sub.end <= window.end):
-        raise ValueError("the sub-window must lie inside the window")
-
-
-__all__ = [
-    "action_counts",
-    "action_counts_multi",
-    "action_flags",
-    "buy_conversion",
-    "cate_share_of_user",
-    "item_share_of_cate",
-    "login_matrix",
-    "ntz",
-    "time_zone_counts",
-    "total_counts",
-    "user_total_counts",
-    "window_ratios",
-]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwise.functions.aggregates import is_type, weight_where
+from cartwise.functions.exprs import aggregate
 from cartwise.schema import ALL_TYPES, USER_TOTAL_TYPES
 from cartwise.windows import HOUR, WindowSpec, age_seconds, scan_window
 
@@ -46,29 +48,20 @@ def decay_curve(
     return share.select("time_dist", F.try_divide(F.col("share") - low, high - low).alias("weight"))
 
 
-def decay_hour(age: str | Column = "age") -> Column:
-    """Hour distance of a row: whole hours of age, plus one."""
-    age = F.col(age) if isinstance(age, str) else age
-    return (F.floor(age / HOUR) + 1).cast("int")
-
-
 def with_weights(rows: DataFrame, curve: DataFrame) -> DataFrame:
-    """Adds `weight` to rows that carry `age`; NULL beyond the curve.
+    """Adds `weight` to rows that carry `age`: that of the hour distance, whole hours of age plus one.
+
+    Rows beyond the curve get NULL.
 
     A curve has one row per hour distance (720 by default), which bounds the broadcast.
     """
     return (
-        rows.withColumn("time_dist", decay_hour())
+        rows.withColumn("time_dist", F.expr(f"cast(age DIV {HOUR} AS INT) + 1"))
         .join(F.broadcast(curve.select("time_dist", "weight")), "time_dist", "left")
         .drop("time_dist")
     )
 
 
-def weight_of(cond: Column) -> Column:
-    """Sum of weights over matching rows, 0 when there is none."""
-    return F.coalesce(F.sum(F.when(cond, F.col("weight"))), F.lit(0.0))
-
-
 def decayed_counts(
     actions: DataFrame,
     window: WindowSpec,
@@ -79,11 +72,8 @@ def decayed_counts(
 ) -> DataFrame:
     """`decay_<type>`: sum of weights per key and type."""
     rows = scan_window(actions, window, cate).withColumn("age", age_seconds(window.end))
-    return (
-        with_weights(rows, curve)
-        .groupBy(*keys)
-        .agg(*[weight_of(F.col("type") == t).alias(f"decay_{t}") for t in types])
-    )
+    exprs = {f"decay_{t}": weight_where(is_type(t)) for t in types}
+    return aggregate(with_weights(rows, curve), keys, exprs)
 
 
 def decayed_totals(
@@ -96,8 +86,8 @@ def decayed_totals(
 ) -> DataFrame:
     """`total_decay`: sum of weights per key over `types` (all when None)."""
     rows = scan_window(actions, window, cate).withColumn("age", age_seconds(window.end))
-    cond = F.lit(True) if types is None else F.col("type").isin(*types)
-    return with_weights(rows, curve).groupBy(*keys).agg(weight_of(cond).alias("total_decay"))
+    total = weight_where(None if types is None else is_type(*types))
+    return aggregate(with_weights(rows, curve), keys, {"total_decay": total})
 
 
 def user_decayed_totals(

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions import aggregates
+from cartwise.functions.aggregates import count_where, is_type
+from cartwise.functions.exprs import aggregate, project
 from cartwise.schema import ALL_TYPES
 from cartwise.windows import Suffixes, WindowSpec, scan_window
 
@@ -15,22 +17,18 @@ def active_days(
 ) -> DataFrame:
     """`day_cnt`: calendar days with at least one row, per key."""
     rows = scan_window(actions, window, cate)
-    return rows.groupBy(*keys).agg(
-        aggregates.active_days(window.end, window.seconds).alias("day_cnt")
-    )
+    return aggregate(rows, keys, {"day_cnt": aggregates.active_days(window.end, window.seconds)})
 
 
 def active_days_multi(
     actions: DataFrame, suffixes: Suffixes, keys: list[str], cate: int | None = None
 ) -> DataFrame:
     """`day_cnt_<window>` for many trailing windows in one pass (0 where the key has no row)."""
-    rows = suffixes.scan(actions, cate)
-    return rows.groupBy(*keys).agg(
-        *[
-            aggregates.active_days(suffixes.end, seconds, suffixes.within(label)).alias(f"day_cnt_{label}")
-            for label, seconds in suffixes.spans
-        ]
-    )
+    exprs = {
+        f"day_cnt_{label}": aggregates.active_days(suffixes.end, seconds, suffixes.within(label))
+        for label, seconds in suffixes.spans
+    }
+    return aggregate(suffixes.scan(actions, cate), keys, exprs)
 
 
 def distinct_count(
@@ -46,13 +44,9 @@ def people_flow_multi(actions: DataFrame, suffixes: Suffixes, key: str) -> DataF
 
     Each (key, user) keeps its smallest age; it belongs to every window at least that long.
     """
-    return (
-        suffixes.scan(actions)
-        .groupBy(key, "user_id")
-        .agg(F.min("age").alias("age"))
-        .groupBy(key)
-        .agg(*[F.count_if(suffixes.within(label)).alias(f"flow_{label}") for label in suffixes.labels])
-    )
+    latest = suffixes.scan(actions).groupBy(key, "user_id").agg(F.min("age").alias("age"))
+    flows = {f"flow_{label}": count_where(suffixes.within(label)) for label in suffixes.labels}
+    return aggregate(latest, [key], flows)
 
 
 def distinct_items_by_type(actions: DataFrame, window: WindowSpec) -> DataFrame:
@@ -60,31 +54,22 @@ def distinct_items_by_type(actions: DataFrame, window: WindowSpec) -> DataFrame:
 
     Items are reduced to one row of per-type flags first, so six distinct counts cost one pass.
     """
-    flags = (
-        scan_window(actions, window)
-        .groupBy("user_id", "cate", "sku_id")
-        .agg(*[F.max((F.col("type") == t).cast("int")).alias(f"has_{t}") for t in ALL_TYPES])
-    )
-    return flags.groupBy("user_id", "cate").agg(
-        *[F.sum(f"has_{t}").alias(f"items_{t}") for t in ALL_TYPES]
+    flags = aggregate(
+        scan_window(actions, window),
+        ["user_id", "cate", "sku_id"],
+        {f"has_{t}": f"max(if({is_type(t)}, 1, 0))" for t in ALL_TYPES},
     )
+    return aggregate(flags, ["user_id", "cate"], {f"items_{t}": f"sum(has_{t})" for t in ALL_TYPES})
 
 
 def only_category(actions: DataFrame, window: WindowSpec, cate: int) -> DataFrame:
     """For users with rows of `cate`: 1 when it is their only category in the window."""
-    users = (
-        scan_window(actions, window)
-        .groupBy("user_id")
-        .agg(
-            F.min("cate").alias("lo"),
-            F.max("cate").alias("hi"),
-            F.max(F.col("cate") == cate).alias("seen"),
-        )
-        .filter("seen")
-    )
-    return users.select(
-        "user_id", F.lit(cate).alias("cate"), (F.col("lo") == F.col("hi")).cast("int").alias("only_cate")
-    )
+    users = aggregate(
+        scan_window(actions, window),
+        ["user_id"],
+        {"lo": "min(cate)", "hi": "max(cate)", "seen": f"max(cate = {int(cate)})"},
+    ).filter("seen")
+    return project(users, ["user_id"], {"cate": str(int(cate)), "only_cate": "if(lo = hi, 1, 0)"})
 
 
 def item_category_brand(actions: DataFrame, window: WindowSpec) -> DataFrame:

@@ -7,7 +7,7 @@ aggregate, so nothing but counts meets.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.ratios import ratio_or_null
@@ -18,9 +18,9 @@ _F12 = {"scale": 5, "recall": 2, "precision": 3}
 _USER_WEIGHT, _PAIR_WEIGHT = 0.4, 0.6
 
 
-def _f_score(weights: dict[str, int], p: str, r: str) -> Column:
-    p, r = F.col(p), F.col(r)
-    return ratio_or_null(weights["scale"] * p * r, weights["recall"] * r + weights["precision"] * p)
+def _f_score(weights: dict[str, int], p: str, r: str) -> str:
+    scale, on_recall, on_precision = weights["scale"], weights["recall"], weights["precision"]
+    return ratio_or_null(f"{scale} * {p} * {r}", f"{on_recall} * {r} + {on_precision} * {p}")
 
 
 def _counts(pred: DataFrame, real: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -36,9 +36,9 @@ def _counts(pred: DataFrame, real: DataFrame, keys: list[str], name: str) -> Dat
 
 def _scored(counts: DataFrame, name: str, weights: dict[str, int]) -> DataFrame:
     return (
-        counts.withColumn(f"{name}_precision", ratio_or_null(f"{name}_h", f"{name}_p"))
-        .withColumn(f"{name}_recall", ratio_or_null(f"{name}_h", f"{name}_r"))
-        .withColumn(name, _f_score(weights, f"{name}_precision", f"{name}_recall"))
+        counts.withColumn(f"{name}_precision", F.expr(ratio_or_null(f"{name}_h", f"{name}_p")))
+        .withColumn(f"{name}_recall", F.expr(ratio_or_null(f"{name}_h", f"{name}_r")))
+        .withColumn(name, F.expr(_f_score(weights, f"{name}_precision", f"{name}_recall")))
     )
 
 

@@ -7,7 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.functions.aggregates import count_type
+from cartwise.functions.aggregates import count_where, is_type
+from cartwise.functions.exprs import aggregate, project
 from cartwise.functions.ratios import ratio_zero_as_one
 from cartwise.operators.distinct import people_flow_multi
 from cartwise.operators.labels import with_label
@@ -68,10 +69,8 @@ def flow_ratios(actions: DataFrame, full: WindowSpec, days=FLOW_DAYS) -> DataFra
     """`flow_ratio_<d>d`: distinct users of the last d days over those of the full window, per item."""
     # Items are those of the full window, so users seen only before its start do not count.
     flows = people_flow_multi(actions, Suffixes.days(full.end, days, full), "sku_id")
-    return flows.filter(F.col("flow_full") > 0).select(
-        "sku_id",
-        *[ratio_zero_as_one(f"flow_{d}d", "flow_full").alias(f"flow_ratio_{d}d") for d in days],
-    )
+    ratios = {f"flow_ratio_{d}d": ratio_zero_as_one(f"flow_{d}d", "flow_full") for d in days}
+    return project(flows.filter("flow_full > 0"), ["sku_id"], ratios)
 
 
 def brand_bad_rate(actions: DataFrame, window: WindowSpec, comments: DataFrame) -> DataFrame:
@@ -93,24 +92,17 @@ def sale_ratios(actions: DataFrame, end: datetime, days=SALE_DAYS) -> DataFrame:
     sums, so the log is aggregated once.
     """
     suffixes = Suffixes.days(end, days)
-    items = (
-        suffixes.scan(actions)
-        .groupBy("sku_id", "cate", "brand")
-        .agg(
-            F.min("age").alias("age"),
-            *[count_type(BUY, suffixes.within(w)).alias(f"buys_{w}") for w in suffixes.labels],
-        )
-    )
-    groups = items.groupBy("cate", "brand").agg(
-        *[F.sum(f"buys_{w}").alias(f"group_buys_{w}") for w in suffixes.labels]
+    buys = {f"buys_{w}": count_where(is_type(BUY), suffixes.within(w)) for w in suffixes.labels}
+    items = aggregate(
+        suffixes.scan(actions), ["sku_id", "cate", "brand"], {"age": "min(age)", **buys}
     )
-    return items.join(groups, ["cate", "brand"], "left").select(
-        "sku_id",
-        *[
-            F.when(
-                suffixes.within(w),
-                ratio_zero_as_one(f"buys_{w}", F.coalesce(f"group_buys_{w}", F.lit(0))),
-            ).alias(f"sale_ratio_{w}")
-            for w in suffixes.labels
-        ],
+    groups = aggregate(
+        items, ["cate", "brand"], {f"group_{name}": f"sum({name})" for name in buys}
     )
+    ratios = {
+        f"sale_ratio_{w}": f"if({suffixes.within(w)}, "
+        + ratio_zero_as_one(f"buys_{w}", f"coalesce(group_buys_{w}, 0)")
+        + ", NULL)"
+        for w in suffixes.labels
+    }
+    return project(items.join(groups, ["cate", "brand"], "left"), ["sku_id"], ratios)

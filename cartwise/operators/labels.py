@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwise.functions import aggregates
-from cartwise.functions.aggregates import count_type
+from cartwise.functions.aggregates import count_where, is_type
+from cartwise.functions.exprs import aggregate
 from cartwise.functions.ratios import ratio_or_one
 from cartwise.schema import ActionType
-from cartwise.windows import Suffixes, WindowSpec, scan_window
+from cartwise.windows import WindowSpec, scan_window
 
 BUY, CART, BROWSE = int(ActionType.BUY), int(ActionType.CART), int(ActionType.BROWSE)
 
@@ -136,18 +137,18 @@ def rule_users(
     Browse and buy counts of `sub` over `window` must reach `min_ratio`. One aggregate over the
     category's rows decides everything but the level.
     """
-    inner = sub.contains()
-    seen = (
-        scan_window(actions, window, cate)
-        .groupBy("user_id")
-        .agg(
-            count_type(BROWSE, inner).alias("browse_sub"),
-            count_type(BROWSE).alias("browse_all"),
-            count_type(BUY, inner).alias("buy_sub"),
-            count_type(BUY).alias("buy_all"),
-            count_type(CART, inner).alias("cart_sub"),
-            aggregates.active_days(window.end, window.seconds, inner).alias("days_sub"),
-        )
+    inner = sub.where()
+    seen = aggregate(
+        scan_window(actions, window, cate),
+        ["user_id"],
+        {
+            "browse_sub": count_where(is_type(BROWSE), inner),
+            "browse_all": count_where(is_type(BROWSE)),
+            "buy_sub": count_where(is_type(BUY), inner),
+            "buy_all": count_where(is_type(BUY)),
+            "cart_sub": count_where(is_type(CART), inner),
+            "days_sub": aggregates.active_days(window.end, window.seconds, inner),
+        },
     )
     kept = _rule(seen, min_ratio)
     if max_days is not None:
@@ -165,28 +166,27 @@ def rule_users_whole_log(
     above_level: int = 2,
 ) -> DataFrame:
     """Older rule: ratios over all categories, no limit on active days."""
-    inner, here = sub.contains(), F.col("cate") == cate
-    seen = (
-        scan_window(actions, window)
-        .groupBy("user_id")
-        .agg(
-            count_type(BROWSE, inner).alias("browse_sub"),
-            count_type(BROWSE).alias("browse_all"),
-            count_type(BUY, inner).alias("any_buy_sub"),
-            count_type(BUY).alias("buy_all"),
-            count_type(BUY, inner & here).alias("buy_sub"),
-            count_type(CART, inner & here).alias("cart_sub"),
-        )
+    inner, here = sub.where(), f"cate = {int(cate)}"
+    seen = aggregate(
+        scan_window(actions, window),
+        ["user_id"],
+        {
+            "browse_sub": count_where(is_type(BROWSE), inner),
+            "browse_all": count_where(is_type(BROWSE)),
+            "any_buy_sub": count_where(is_type(BUY), inner),
+            "buy_all": count_where(is_type(BUY)),
+            "buy_sub": count_where(is_type(BUY), inner, here),
+            "cart_sub": count_where(is_type(CART), inner, here),
+        },
     )
     return _above_level(_rule(seen, min_ratio, buy_sub="any_buy_sub"), users, above_level)
 
 
 def _rule(seen: DataFrame, min_ratio: float, buy_sub: str = "buy_sub") -> DataFrame:
     return seen.filter(
-        (F.col("cart_sub") > 0)
-        & (F.col("buy_sub") == 0)
-        & (ratio_or_one("browse_sub", "browse_all") >= min_ratio)
-        & (ratio_or_one(buy_sub, "buy_all") >= min_ratio)
+        "cart_sub > 0 AND buy_sub = 0"
+        f" AND {ratio_or_one('browse_sub', 'browse_all')} >= {float(min_ratio)}D"
+        f" AND {ratio_or_one(buy_sub, 'buy_all')} >= {float(min_ratio)}D"
     )
 
 
@@ -197,31 +197,12 @@ def _above_level(seen: DataFrame, users: DataFrame, above_level: int) -> DataFra
 
 def one_day_buyers(actions: DataFrame, window: WindowSpec) -> DataFrame:
     """Users active on a single day of the window who bought something."""
-    return (
-        scan_window(actions, window)
-        .groupBy("user_id")
-        .agg(
-            aggregates.active_days(window.end, window.seconds).alias("days"),
-            F.max(F.col("type") == BUY).alias("bought"),
-        )
-        .filter((F.col("days") == 1) & F.col("bought"))
-        .select("user_id")
+    users = aggregate(
+        scan_window(actions, window),
+        ["user_id"],
+        {
+            "days": aggregates.active_days(window.end, window.seconds),
+            "bought": f"max({is_type(BUY)})",
+        },
     )
-
-
-__all__ = [
-    "Suffixes",
-    "candidate_pairs",
-    "candidate_users",
-    "eval_split",
-    "eval_split_known",
-    "label_pairs",
-    "label_pairs_known",
-    "label_users",
-    "one_day_buyers",
-    "one_pair_per_user",
-    "rule_users",
-    "rule_users_whole_log",
-    "split_boards",
-    "with_label",
-]
+    return users.filter("days = 1 AND bought").select("user_id")

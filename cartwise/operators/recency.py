@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwise.functions.aggregates import first_where, is_type
+from cartwise.functions.exprs import aggregate
 from cartwise.schema import ALL_TYPES
 from cartwise.windows import DAY, WindowSpec, age_seconds, ntz, scan_window
 
@@ -33,11 +35,8 @@ def last_distance_by_type(
     actions: DataFrame, window: WindowSpec, keys: list[str], types=ALL_TYPES
 ) -> DataFrame:
     """`last_dist_<type>` per key, NULL for a type the key never had."""
-    return (
-        _ages(actions, window)
-        .groupBy(*keys)
-        .agg(*[F.min(F.when(F.col("type") == t, F.col("age"))).alias(f"last_dist_{t}") for t in types])
-    )
+    exprs = {f"last_dist_{t}": first_where("age", is_type(t)) for t in types}
+    return aggregate(_ages(actions, window), keys, exprs)
 
 
 def type_last_distance(

@@ -7,9 +7,11 @@ successor of a surviving row, hence one ordered pass serves every trailing windo
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwise.functions.aggregates import count_where, sum_where
+from cartwise.functions.exprs import aggregate, project
 from cartwise.functions.ratios import ratio_zero_as_one
 from cartwise.windows import Suffixes, WindowSpec
 
@@ -34,17 +36,16 @@ def dwell_multi(
     moments = suffixes.scan(actions, cate).select(*keys, "age").distinct()
     chronological = Window.partitionBy(*keys).orderBy(F.desc("age"))
     gaps = moments.withColumn("gap", F.col("age") - F.lead("age").over(chronological))
-    return gaps.groupBy(*keys).agg(
-        *[
-            _dwell(suffixes.within(label), F.col("gap"), max_gap).alias(f"dwell_{label}")
-            for label in suffixes.labels
-        ]
+    return aggregate(
+        gaps,
+        keys,
+        {f"dwell_{w}": _dwell(suffixes.within(w), "gap", max_gap) for w in suffixes.labels},
     )
 
 
-def _dwell(seen: Column, gap: Column, max_gap: int) -> Column:
-    spent = F.sum(F.when(seen & (gap <= max_gap), gap))
-    return F.when(F.max(seen), F.coalesce(spent, F.lit(0)) + 1)
+def _dwell(seen: str, gap: str, max_gap: int) -> str:
+    spent = sum_where(gap, seen, f"{gap} <= {int(max_gap)}")
+    return f"if(max({seen}), coalesce({spent}, 0) + 1, NULL)"
 
 
 def dwell(
@@ -67,26 +68,22 @@ def visit_runs_multi(actions: DataFrame, suffixes: Suffixes, cate: int | None =
     row per user and second has to be ordered.
     """
     touches = suffixes.scan(actions, cate).select("user_id", "sku_id", "age").distinct()
-    touched = touches.groupBy("user_id", "sku_id").agg(
-        *[F.count_if(suffixes.within(label)).alias(f"t_{label}") for label in suffixes.labels]
-    )
+    pair = ["user_id", "sku_id"]
+    counts = {w: count_where(suffixes.within(w)) for w in suffixes.labels}
+    touched = aggregate(touches, pair, {f"t_{w}": sql for w, sql in counts.items()})
     chronological = Window.partitionBy("user_id").orderBy(F.desc("age"))
-    carried = (
+    continued = (
         touches.groupBy("user_id", "age")
         .agg(F.min("sku_id").alias("lo"), F.max("sku_id").alias("sku_id"))
         .withColumn("next_lo", F.lead("lo").over(chronological))
-        .filter(F.col("sku_id") == F.col("next_lo"))
-        .groupBy("user_id", "sku_id")
-        .agg(*[F.count_if(suffixes.within(label)).alias(f"c_{label}") for label in suffixes.labels])
+        .filter("sku_id = next_lo")
+    )
+    carried = aggregate(continued, pair, {f"c_{w}": sql for w, sql in counts.items()})
+    return project(
+        touched.join(carried, pair, "left"),
+        pair,
+        {f"runs_{w}": f"nullif(t_{w} - coalesce(c_{w}, 0), 0)" for w in suffixes.labels},
     )
-    joined = touched.join(carried, ["user_id", "sku_id"], "left")
-    runs = [
-        F.nullif(F.col(f"t_{label}") - F.coalesce(F.col(f"c_{label}"), F.lit(0)), F.lit(0)).alias(
-            f"runs_{label}"
-        )
-        for label in suffixes.labels
-    ]
-    return joined.select("user_id", "sku_id", *runs)
 
 
 def visit_runs(actions: DataFrame, window: WindowSpec, cate: int | None = None) -> DataFrame:
@@ -136,35 +133,38 @@ def user_sequence_block(
 
     Columns: `dwell_<w>`, `cate_dwell_<w>`, `runs_<w>`, `cate_runs_<w>`, `max_burst`, `mean_burst`.
     """
-    rows = user_moments(actions, suffixes, cate)
-    gap = F.col("age") - F.col("next_age")
-    cate_gap = F.col("age") - F.col("next_cate.age")
-    stays = F.coalesce((F.col("hi") == F.col("next_lo")).cast("int"), F.lit(0))
-    cate_stays = F.coalesce((F.col("cate_hi") == F.col("next_cate.lo")).cast("int"), F.lit(0))
-    aggs = []
-    for label in suffixes.labels:
-        seen = suffixes.within(label)
-        cate_seen = seen & (F.col("cate_items") > 0)
-        aggs += [
-            _dwell(seen, gap, max_gap).alias(f"dwell_{label}"),
-            _dwell(cate_seen, cate_gap, max_gap).alias(f"cate_dwell_{label}"),
-            F.sum(F.when(seen, F.col("items") - stays)).alias(f"runs_{label}"),
-            F.sum(F.when(cate_seen, F.col("cate_items") - cate_stays)).alias(f"cate_runs_{label}"),
-        ]
+    rows = user_moments(actions, suffixes, cate).selectExpr(
+        "*",
+        "age - next_age AS gap",
+        "age - next_cate.age AS cate_gap",
+        "items - if(hi = next_lo, 1, 0) AS ends",
+        "cate_items - if(cate_hi = next_cate.lo, 1, 0) AS cate_ends",
+    )
+    exprs = {}
+    for w in suffixes.labels:
+        seen = suffixes.within(w)
+        cate_seen = f"{seen} AND cate_items > 0"
+        exprs[f"dwell_{w}"] = _dwell(seen, "gap", max_gap)
+        exprs[f"cate_dwell_{w}"] = _dwell(cate_seen, "cate_gap", max_gap)
+        exprs[f"runs_{w}"] = sum_where("ends", seen)
+        exprs[f"cate_runs_{w}"] = sum_where("cate_ends", cate_seen)
     if burst_label is not None:
-        in_burst = F.when(suffixes.within(burst_label), F.col("n"))
-        aggs += [F.max(in_burst).alias("max_burst"), F.avg(in_burst).alias("mean_burst")]
-    return rows.groupBy("user_id").agg(*aggs)
+        in_burst = f"if({suffixes.within(burst_label)}, n, NULL)"
+        exprs["max_burst"], exprs["mean_burst"] = f"max({in_burst})", f"avg({in_burst})"
+    return aggregate(rows, ["user_id"], exprs)
 
 
 def user_visit_runs(actions: DataFrame, window: WindowSpec, cate: int) -> DataFrame:
     """Runs per user over everything and over the `cate` subsequence, for users seen in `cate`."""
     runs = user_sequence_block(actions, _single(window), cate)
-    return runs.filter(F.col("cate_runs_w").isNotNull()).select(
-        "user_id",
-        F.col("cate_runs_w").alias("cate_runs"),
-        F.col("runs_w").alias("total_runs"),
-        ratio_zero_as_one("cate_runs_w", "runs_w").alias("run_ratio"),
+    return project(
+        runs.filter("cate_runs_w IS NOT NULL"),
+        ["user_id"],
+        {
+            "cate_runs": "cate_runs_w",
+            "total_runs": "runs_w",
+            "run_ratio": ratio_zero_as_one("cate_runs_w", "runs_w"),
+        },
     )
 
 

@@ -6,14 +6,14 @@ candidate pair is among them. User-level denominators come from the shared user
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from cartwise.functions import aggregates
-from cartwise.functions.aggregates import count_type
+from cartwise.functions.aggregates import count_where, first_where, is_type, last_where, weight_where
+from cartwise.functions.exprs import Exprs, aggregate, project
 from cartwise.functions.ratios import ratio_zero_as_one, zero_fill
 from cartwise.operators import items as item_ops
-from cartwise.operators.decay import weight_of, with_weights
+from cartwise.operators.decay import with_weights
 from cartwise.operators.labels import with_label
 from cartwise.operators.sequence import dwell_multi, visit_runs_multi
 from cartwise.plans import user_features as uf
@@ -21,7 +21,12 @@ from cartwise.plans.context import FeatureContext
 from cartwise.schema import NON_BUY_TYPES, ActionType
 from cartwise.windows import DAY, HOUR, Suffixes, WindowSpec
 
-CART, CLICK, BROWSE = int(ActionType.CART), int(ActionType.CLICK), int(ActionType.BROWSE)
+BROWSE, CART, DELCART, CLICK = (
+    int(ActionType.BROWSE),
+    int(ActionType.CART),
+    int(ActionType.DELCART),
+    int(ActionType.CLICK),
+)
 
 # Window lengths.
 COUNT_HOURS = (4, 8, 16, 24, 48, 72, 120, 168, 360, 672)
@@ -42,156 +47,148 @@ def pair_block(ctx: FeatureContext) -> DataFrame:
     Whether a pair occurs in a window is a comparison on `p_age`, its smallest age.
     """
     hours = Suffixes.hours(ctx.end, COUNT_HOURS)
-    days = Suffixes.days(ctx.end, TOTAL_DAYS, ctx.window)
+    days = Suffixes.days(ctx.end, (*TOTAL_DAYS, ctx.candidate_days), ctx.window)
     both = Suffixes(ctx.end, hours.spans + days.spans)
     full, month = days.within("full"), days.within("28d")
-    rows = with_weights(both.scan(ctx.actions, ctx.cate), ctx.curve)
-    aggs: list[Column] = [
-        F.max("cate").alias("cate"),
-        F.max("brand").alias("brand"),
-        F.min("age").alias("p_age"),
-        F.max(F.when(full, F.col("age"))).alias("p_first"),
-        F.min(F.when(full, F.col("age"))).alias("p_last"),
-        weight_of(month).alias("p_decay"),
-        count_type(CART, full).alias("p_carts_full"),
-    ]
-    aggs += [
-        aggregates.active_days(ctx.end, days.seconds(w), days.within(w)).alias(f"p_days_{w}")
-        for w in days.labels
-    ]
-    aggs += [F.count_if(days.within(f"{d}d")).alias(f"p_total_{d}d") for d in TOTAL_DAYS]
-    aggs += [
-        count_type(t, hours.within(w)).alias(f"p_cnt_{t}_{w}") for w in hours.labels for t in NON_BUY_TYPES
-    ]
-    aggs += [
-        F.min(F.when(full & (F.col("type") == t), F.col("age"))).alias(f"p_last_{t}") for t in LAST_TYPES
-    ]
-    aggs += [weight_of(month & (F.col("type") == t)).alias(f"p_decay_{t}") for t in NON_BUY_TYPES]
-    return rows.groupBy(*PAIR).agg(*aggs)
+    exprs: Exprs = {
+        "cate": "max(cate)",
+        "brand": "max(brand)",
+        "p_age": "min(age)",
+        "p_first": last_where("age", full),
+        "p_last": first_where("age", full),
+        "p_decay": weight_where(month),
+        "p_carts_full": count_where(is_type(CART), full),
+    }
+    for w in days.labels:
+        exprs[f"p_days_{w}"] = aggregates.active_days(ctx.end, days.seconds(w), days.within(w))
+    for d in TOTAL_DAYS:
+        exprs[f"p_total_{d}d"] = count_where(days.within(f"{d}d"))
+    for w in hours.labels:
+        for t in NON_BUY_TYPES:
+            exprs[f"p_cnt_{t}_{w}"] = count_where(is_type(t), hours.within(w))
+    for t in LAST_TYPES:
+        exprs[f"p_last_{t}"] = first_where("age", is_type(t), full)
+    for t in NON_BUY_TYPES:
+        exprs[f"p_decay_{t}"] = weight_where(is_type(t), month)
+    return aggregate(with_weights(both.scan(ctx.actions, ctx.cate), ctx.curve), PAIR, exprs)
 
 
-def _in(seconds: int) -> Column:
-    return F.col("p_age") <= seconds
+def _if_seen(seconds: int, sql: str) -> str:
+    return f"if(p_age <= {seconds}, {sql}, NULL)"
 
 
-def _in_full(ctx: FeatureContext) -> Column:
-    return _in(ctx.window.seconds)
+def _seen(block: DataFrame, seconds: float) -> DataFrame:
+    return block.filter(f"p_age <= {int(seconds)}")
 
 
-# --- column groups over pair block (+ user block) ---------------------------------------------
+# --- column groups over pair block (+ user block) ----------------------------------------------
 
 
-def span_columns() -> list[Column]:
-    return [
-        F.col("p_first").alias("pair_first_dist"),
-        F.col("p_last").alias("pair_last_dist"),
-        (F.col("p_first") - F.col("p_last")).alias("pair_span"),
-    ]
+def span_columns() -> Exprs:
+    return {
+        "pair_first_dist": "p_first",
+        "pair_last_dist": "p_last",
+        "pair_span": "p_first - p_last",
+    }
 
 
-def day_columns() -> list[Column]:
-    return [F.col(f"p_days_{w}").alias(f"pair_days_{w}") for w in RATIO_DAYS] + [
-        ratio_zero_as_one(f"p_days_{w}", f"u_days_{w}").alias(f"pair_day_ratio_{w}") for w in RATIO_DAYS
-    ]
+def day_columns() -> Exprs:
+    return {
+        **{f"pair_days_{w}": f"p_days_{w}" for w in RATIO_DAYS},
+        **{
+            f"pair_day_ratio_{w}": ratio_zero_as_one(f"p_days_{w}", f"u_days_{w}") for w in RATIO_DAYS
+        },
+    }
 
 
-def count_columns() -> list[Column]:
-    return [
-        F.when(_in(h * HOUR), F.col(f"p_cnt_{t}_{h}h")).alias(f"pair_cnt_{t}_{h}h")
+def count_columns() -> Exprs:
+    return {
+        f"pair_cnt_{t}_{h}h": _if_seen(h * HOUR, f"p_cnt_{t}_{h}h")
         for h in COUNT_HOURS
         for t in NON_BUY_TYPES
-    ]
+    }
 
 
-def total_columns() -> list[Column]:
-    columns = []
+def total_columns() -> Exprs:
+    columns: Exprs = {}
     for d in TOTAL_DAYS:
-        seen = _in(d * DAY)
-        for name, value in (
-            (f"cate_total_{d}d", F.col(f"c_total_{d}d")),
-            (f"pair_total_{d}d", F.col(f"p_total_{d}d")),
-            (f"pair_share_{d}d", ratio_zero_as_one(f"p_total_{d}d", f"c_total_{d}d")),
-            (f"pair_mean_{d}d", ratio_zero_as_one(f"p_total_{d}d", f"p_days_{d}d")),
-        ):
-            columns.append(F.when(seen, value).alias(name))
+        pair, cate, days = f"p_total_{d}d", f"c_total_{d}d", f"p_days_{d}d"
+        columns[f"cate_total_{d}d"] = _if_seen(d * DAY, cate)
+        columns[f"pair_total_{d}d"] = _if_seen(d * DAY, pair)
+        columns[f"pair_share_{d}d"] = _if_seen(d * DAY, ratio_zero_as_one(pair, cate))
+        columns[f"pair_mean_{d}d"] = _if_seen(d * DAY, ratio_zero_as_one(pair, days))
     return columns
 
 
-def dwell_columns() -> list[Column]:
-    columns = []
+def dwell_columns() -> Exprs:
+    columns: Exprs = {}
     for d in DWELL_DAYS:
-        seen = F.col(f"dwell_{d}d").isNotNull()
-        columns += [
-            F.col(f"dwell_{d}d").alias(f"pair_dwell_{d}d"),
-            F.when(seen, F.coalesce(f"cate_dwell_{d}d", F.lit(0))).alias(f"pair_cate_dwell_{d}d"),
-            F.when(
-                seen,
-                ratio_zero_as_one(f"dwell_{d}d", F.coalesce(f"cate_dwell_{d}d", F.lit(0))),
-            ).alias(f"pair_dwell_ratio_{d}d"),
-        ]
+        pair, cate = f"dwell_{d}d", f"coalesce(cate_dwell_{d}d, 0)"
+        columns[f"pair_dwell_{d}d"] = pair
+        columns[f"pair_cate_dwell_{d}d"] = f"if({pair} IS NULL, NULL, {cate})"
+        columns[f"pair_dwell_ratio_{d}d"] = ratio_zero_as_one(pair, cate)
     return columns
 
 
-def browse_click_column() -> Column:
-    return F.when(
-        _in(7 * DAY), ratio_zero_as_one(f"p_cnt_{BROWSE}_168h", f"p_cnt_{CLICK}_168h")
-    ).alias("pair_browse_click_7d")
+def browse_click_columns() -> Exprs:
+    ratio = ratio_zero_as_one(f"p_cnt_{BROWSE}_168h", f"p_cnt_{CLICK}_168h")
+    return {"pair_browse_click_7d": _if_seen(7 * DAY, ratio)}
 
 
-def run_columns() -> list[Column]:
-    return [F.col(f"runs_{h}h").alias(f"pair_runs_{h}h") for h in RUN_HOURS]
+def run_columns() -> Exprs:
+    return {f"pair_runs_{h}h": f"runs_{h}h" for h in RUN_HOURS}
 
 
-def last_type_columns() -> list[Column]:
-    filled = {t: F.coalesce(F.col(f"p_last_{t}"), F.lit(0)) for t in LAST_TYPES}
-    return [filled[t].alias(f"pair_last_{t}") for t in LAST_TYPES] + [
-        (filled[2] > filled[3]).cast("int").alias("pair_delcart_later")
-    ]
+def last_type_columns() -> Exprs:
+    columns = {f"pair_last_{t}": f"coalesce(p_last_{t}, 0)" for t in LAST_TYPES}
+    later = f"{columns[f'pair_last_{CART}']} > {columns[f'pair_last_{DELCART}']}"
+    return {**columns, "pair_delcart_later": f"if({later}, 1, 0)"}
 
 
-def cart_share_column() -> Column:
-    return ratio_zero_as_one("p_carts_full", "u_carts_full").alias("pair_cart_share")
+def cart_share_columns() -> Exprs:
+    return {"pair_cart_share": ratio_zero_as_one("p_carts_full", "u_carts_full")}
 
 
-def pair_feature_columns() -> list[Column]:
+def pair_feature_columns() -> Exprs:
     """The 127 pair features."""
-    return [
-        *span_columns(),
-        *day_columns(),
-        F.when(_in(28 * DAY), F.col("p_decay")).alias("pair_decay"),
-        *[F.col(f"p_last_{t}").isNotNull().cast("int").alias(f"pair_has_{t}") for t in LAST_TYPES],
-        *count_columns(),
-        *total_columns(),
-        *dwell_columns(),
-        browse_click_column(),
-        *run_columns(),
-        *last_type_columns(),
-        *[F.when(_in(28 * DAY), F.col(f"p_decay_{t}")).alias(f"pair_decay_{t}") for t in NON_BUY_TYPES],
-        cart_share_column(),
-    ]
+    return {
+        **span_columns(),
+        **day_columns(),
+        "pair_decay": _if_seen(28 * DAY, "p_decay"),
+        **{f"pair_has_{t}": f"if(p_last_{t} IS NULL, 0, 1)" for t in LAST_TYPES},
+        **count_columns(),
+        **total_columns(),
+        **dwell_columns(),
+        **browse_click_columns(),
+        **run_columns(),
+        **last_type_columns(),
+        **{f"pair_decay_{t}": _if_seen(28 * DAY, f"p_decay_{t}") for t in NON_BUY_TYPES},
+        **cart_share_columns(),
+    }
 
 
-# --- the blocks on their own ------------------------------------------------------------------
+# --- the blocks on their own -------------------------------------------------------------------
 
 
-def _pairs_with_users(ctx: FeatureContext) -> DataFrame:
-    return pair_block(ctx).join(uf.user_block(ctx), "user_id", "left")
+def _full_pairs(ctx: FeatureContext) -> DataFrame:
+    return _seen(pair_block(ctx), ctx.window.seconds)
 
 
 def ui_span(ctx: FeatureContext) -> DataFrame:
-    return pair_block(ctx).filter(_in_full(ctx)).select(*PAIR, *span_columns())
+    return project(_full_pairs(ctx), PAIR, span_columns())
 
 
 def ui_day_ratios(ctx: FeatureContext) -> DataFrame:
-    return _pairs_with_users(ctx).filter(_in_full(ctx)).select(*PAIR, *day_columns())
+    return project(_full_pairs(ctx).join(uf.user_block(ctx), "user_id", "left"), PAIR, day_columns())
 
 
 def ui_multi_window_counts(ctx: FeatureContext) -> DataFrame:
-    return pair_block(ctx).filter(_in(COUNT_HOURS[-1] * HOUR)).select(*PAIR, *count_columns())
+    return project(_seen(pair_block(ctx), COUNT_HOURS[-1] * HOUR), PAIR, count_columns())
 
 
 def ui_uc_totals(ctx: FeatureContext) -> DataFrame:
-    return _pairs_with_users(ctx).filter(_in(TOTAL_DAYS[-1] * DAY)).select(*PAIR, *total_columns())
+    pairs = _seen(pair_block(ctx), TOTAL_DAYS[-1] * DAY)
+    return project(pairs.join(uf.user_block(ctx), "user_id", "left"), PAIR, total_columns())
 
 
 def _pair_dwell(ctx: FeatureContext) -> DataFrame:
@@ -201,11 +198,11 @@ def _pair_dwell(ctx: FeatureContext) -> DataFrame:
 def cate_dwell(ctx: FeatureContext) -> DataFrame:
     spans = Suffixes.days(ctx.end, DWELL_DAYS)
     dwell = dwell_multi(ctx.actions, spans, ["user_id"], ctx.max_gap, ctx.cate)
-    return dwell.select("user_id", *[F.col(f"dwell_{w}").alias(f"cate_dwell_{w}") for w in spans.labels])
+    return project(dwell, ["user_id"], {f"cate_dwell_{w}": f"dwell_{w}" for w in spans.labels})
 
 
 def ui_dwell_ratios(ctx: FeatureContext) -> DataFrame:
-    return _pair_dwell(ctx).join(cate_dwell(ctx), "user_id", "left").select(*PAIR, *dwell_columns())
+    return project(_pair_dwell(ctx).join(cate_dwell(ctx), "user_id", "left"), PAIR, dwell_columns())
 
 
 def _pair_runs(ctx: FeatureContext) -> DataFrame:
@@ -213,45 +210,40 @@ def _pair_runs(ctx: FeatureContext) -> DataFrame:
 
 
 def ui_runs_multi(ctx: FeatureContext) -> DataFrame:
-    return _pair_runs(ctx).select(*PAIR, *run_columns())
+    return project(_pair_runs(ctx), PAIR, run_columns())
 
 
 def ui_delcart_later(ctx: FeatureContext) -> DataFrame:
-    return pair_block(ctx).filter(_in_full(ctx)).select(*PAIR, *last_type_columns())
+    return project(_full_pairs(ctx), PAIR, last_type_columns())
 
 
 def ui_cart_share(ctx: FeatureContext) -> DataFrame:
-    return _pairs_with_users(ctx).filter(_in_full(ctx)).select(*PAIR, cart_share_column())
+    joined = _full_pairs(ctx).join(uf.user_block(ctx), "user_id", "left")
+    return project(joined, PAIR, cart_share_columns())
 
 
 def ui_browse_click(ctx: FeatureContext) -> DataFrame:
-    return pair_block(ctx).filter(_in(7 * DAY)).select(*PAIR, browse_click_column())
+    return project(_seen(pair_block(ctx), 7 * DAY), PAIR, browse_click_columns())
 
 
 def _brand_block(ctx: FeatureContext) -> DataFrame:
     s = Suffixes.days(ctx.end, BRAND_DAYS)
-    return (
-        s.scan(ctx.actions)
-        .groupBy("user_id", "brand")
-        .agg(
-            F.min("age").alias("ub_age"),
-            *[F.count_if(s.within(w)).alias(f"ub_total_{w}") for w in s.labels],
-        )
-    )
+    totals = {f"ub_total_{w}": count_where(s.within(w)) for w in s.labels}
+    return aggregate(s.scan(ctx.actions), ["user_id", "brand"], {"ub_age": "min(age)", **totals})
 
 
-def brand_share_columns() -> list[Column]:
-    return [
-        F.when(
-            F.col("ub_age") <= d * DAY, ratio_zero_as_one(f"ub_total_{d}d", f"u_total_{d}d")
-        ).alias(f"brand_share_{d}d")
+def brand_share_columns() -> Exprs:
+    return {
+        f"brand_share_{d}d": f"if(ub_age <= {d * DAY}, "
+        + ratio_zero_as_one(f"ub_total_{d}d", f"u_total_{d}d")
+        + ", NULL)"
         for d in BRAND_DAYS
-    ]
+    }
 
 
 def ub_share(ctx: FeatureContext) -> DataFrame:
     joined = _brand_block(ctx).join(uf.user_block(ctx), "user_id", "left")
-    return joined.select("user_id", "brand", *brand_share_columns())
+    return project(joined, ["user_id", "brand"], brand_share_columns())
 
 
 def item_table(ctx: FeatureContext) -> DataFrame:
@@ -283,7 +275,7 @@ def add_brand_features(df: DataFrame, ctx: FeatureContext) -> DataFrame:
 
 def _candidate_pairs(ctx: FeatureContext) -> DataFrame:
     """Pair block of pairs seen lately, with dwell and runs. All three are keyed by (user, item)."""
-    recent = pair_block(ctx).filter(_in(ctx.candidate_days * DAY))
+    recent = _seen(pair_block(ctx), ctx.candidate_days * DAY)
     return recent.join(_pair_dwell(ctx), PAIR, "left").join(_pair_runs(ctx), PAIR, "left")
 
 
@@ -302,48 +294,43 @@ _KEYS = ["user_id", "sku_id", "cate", "brand"]
 def pair_features(ctx: FeatureContext, positives: DataFrame | None = None) -> DataFrame:
     """Candidate pairs with 127 features. Values of windows without a row are NULL."""
     joined = _candidate_pairs(ctx).join(_user_side(ctx), "user_id")
-    return _label(joined.select(*_KEYS, *pair_feature_columns()), positives)
+    return _label(project(joined, _KEYS, pair_feature_columns()), positives)
 
 
-def _assembled(ctx: FeatureContext, users: DataFrame, extra: list[Column]) -> DataFrame:
+def _assembled(ctx: FeatureContext, users: DataFrame, extra: Exprs) -> DataFrame:
     """Pairs -> brand shares -> item -> brand -> sales -> user, narrow lookups before the wide user side.
 
     Only candidate rows move between the joins. Lookups small enough are broadcast by size, others are
     sort-merge joins that adaptive execution splits on hot items or brands.
     """
     pairs = _candidate_pairs(ctx).join(_brand_block(ctx), ["user_id", "brand"], "left")
-    with_items = add_item_features(pairs, ctx)
-    with_brands = add_brand_features(with_items, ctx)
     sales = item_ops.sale_ratios(ctx.actions, ctx.end)
-    joined = with_brands.join(sales, "sku_id", "left").join(users, "user_id")
-    features = joined.select(
-        *_KEYS,
-        *pair_feature_columns(),
-        *brand_share_columns(),
-        *_item_columns(),
-        "top_item",
-        "brand_bad_rate",
-        "top_brand",
-        *[f"sale_ratio_{d}d" for d in item_ops.SALE_DAYS],
-        *extra,
-    )
-    return features
+    with_items = add_item_features(pairs, ctx).join(sales, "sku_id", "left")
+    joined = add_brand_features(with_items, ctx).join(users, "user_id")
+    columns = {
+        **pair_feature_columns(),
+        **brand_share_columns(),
+        **{c: c for c in _item_columns()},
+        **{c: c for c in ("top_item", "brand_bad_rate", "top_brand")},
+        **{c: c for c in (f"sale_ratio_{d}d" for d in item_ops.SALE_DAYS)},
+        **extra,
+    }
+    return project(joined, _KEYS, columns)
 
 
 def _item_columns() -> list[str]:
     onehot = [f"{a}_{v}" for a, domain in item_ops.ATTRIBUTE_VALUES.items() for v in domain]
-    comments = ["has_bad_comment", "bad_comment_rate"] + [
-        f"comment_num_{c}" for c in item_ops.COMMENT_CLASSES
-    ]
-    return [f"flow_ratio_{d}d" for d in item_ops.FLOW_DAYS] + onehot + comments
+    comments = [f"comment_num_{c}" for c in item_ops.COMMENT_CLASSES]
+    flows = [f"flow_ratio_{d}d" for d in item_ops.FLOW_DAYS]
+    return [*flows, *onehot, "has_bad_comment", "bad_comment_rate", *comments]
 
 
 def sku_features(ctx: FeatureContext, positives: DataFrame | None = None) -> DataFrame:
     """Candidate pairs with pair, brand, item and sales features; absent values are 0."""
-    return zero_fill(_label(_assembled(ctx, _user_side(ctx), []), positives))
+    return zero_fill(_label(_assembled(ctx, _user_side(ctx), {}), positives))
 
 
-_USER_PREFIX = "user__"
+USER_PREFIX = "user__"
 
 
 def training_table(ctx: FeatureContext, positives: DataFrame | None = None) -> DataFrame:
@@ -352,9 +339,6 @@ def training_table(ctx: FeatureContext, positives: DataFrame | None = None) -> D
     Pair denominators and user features are columns of one user frame, so the user side is computed and
     joined once. User features keep their NULLs.
     """
-    frame = uf.candidate_user_frame(ctx)
-    columns = uf.user_feature_columns()
-    names = frame.select(*columns).columns
     denominators = [
         "u_carts_full",
         *[f"u_days_{w}" for w in RATIO_DAYS],
@@ -362,10 +346,7 @@ def training_table(ctx: FeatureContext, positives: DataFrame | None = None) -> D
         *[f"c_total_{d}d" for d in TOTAL_DAYS],
         *[f"cate_dwell_{d}d" for d in DWELL_DAYS],
     ]
-    users = frame.select(
-        "user_id", *denominators, *[c.alias(_USER_PREFIX + n) for c, n in zip(columns, names)]
-    )
-    extra = [F.col(_USER_PREFIX + n) for n in names]
-    table = _label(_assembled(ctx, users, extra), positives)
-    own = [c for c in table.columns if not c.startswith(_USER_PREFIX)]
-    return zero_fill(table, own)
+    features = {USER_PREFIX + name: sql for name, sql in uf.user_feature_columns().items()}
+    users = project(uf.candidate_user_frame(ctx), ["user_id", *denominators], features)
+    table = _label(_assembled(ctx, users, {c: c for c in features}), positives)
+    return zero_fill(table, [c for c in table.columns if c not in features])

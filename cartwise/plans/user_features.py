@@ -6,13 +6,14 @@ column. Candidates, buyers and rule users are conditions on those aggregates rat
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions import aggregates
-from cartwise.functions.aggregates import count_type, count_types
+from cartwise.functions.aggregates import count_where, first_where, is_type, last_where, weight_where
+from cartwise.functions.exprs import Exprs, aggregate, project
 from cartwise.functions.ratios import ratio_or_one, ratio_zero_as_one
-from cartwise.operators.decay import weight_of, with_weights
+from cartwise.operators.decay import with_weights
 from cartwise.operators.labels import with_label
 from cartwise.operators.recency import user_base
 from cartwise.operators.sequence import user_sequence_block
@@ -26,8 +27,9 @@ BUY, CART, BROWSE, CLICK = (
     int(ActionType.BROWSE),
     int(ActionType.CLICK),
 )
+USER = ["user_id"]
 
-# Window lengths in days.
+# Window lengths in days, counted types, rule thresholds.
 USER_SPANS = (1, 2, 3, 5, 7, 10, 14, 15, 28)
 USER_DAY_SPANS = ("7d", "15d", "28d", "full")
 USER_TOTAL_SPANS = ("1d", "3d", "5d", "7d", "10d", "14d", "15d", "28d", "full")
@@ -38,149 +40,132 @@ CATE_COUNT_TYPES = (2, 4, 5)
 RULE_LEVEL, RULE_DAYS = 2, 2
 
 
-def spans_of(ctx: FeatureContext) -> Suffixes:
-    return Suffixes.days(ctx.end, (*USER_SPANS, ctx.candidate_days), ctx.window)
-
-
 def user_block(ctx: FeatureContext) -> DataFrame:
     """One row per user with every additive measure the feature tables use.
 
-    `u_*` columns cover all categories, `c_*` the target category. Unused columns are pruned from the
-    aggregate by the optimizer.
+    `u_*` columns cover all categories, `c_*` the target category, `o_*` the others. Unused columns are
+    pruned from the aggregate by the optimizer.
     """
-    s = spans_of(ctx)
-    here = F.col("cate") == ctx.cate
-    full = s.within("full")
-    lately = here & (F.col("age") <= int(ctx.candidate_days * DAY))
-    rows = with_weights(s.scan(ctx.actions), ctx.curve)
-    aggs: list[Column] = [
-        F.count_if(lately).alias("c_rows_lately"),
-        count_type(BUY, lately).alias("c_buys_lately"),
-        F.count_if(full).alias("u_rows_full"),
-        F.min(F.when(full, F.col("age"))).alias("u_last_dist"),
-        F.max(F.when(full, F.col("age"))).alias("u_first_dist"),
-        F.min(F.when(full & here, F.col("age"))).alias("c_last_dist"),
-        F.count_if(~here & s.within("7d")).alias("o_rows_7d"),
-        count_type(CART, full).alias("u_carts_full"),
-        count_type(BROWSE, here & full).alias("c_browse_full"),
-        count_type(BROWSE, here & s.within("7d")).alias("c_browse_7d"),
-        count_type(BUY, here & full).alias("c_buys_full"),
-        count_type(BROWSE, here & s.within("15d")).alias("c_browse_15d"),
-        count_type(CLICK, here & s.within("15d")).alias("c_click_15d"),
-    ]
-    aggs += [
-        aggregates.active_days(ctx.end, s.seconds(w), s.within(w)).alias(f"u_days_{w}")
-        for w in USER_DAY_SPANS
-    ]
-    aggs += [
-        aggregates.active_days(ctx.end, s.seconds(w), here & s.within(w)).alias(f"c_days_{w}")
-        for w in CATE_DAY_SPANS
-    ]
-    aggs += [count_types(USER_TOTAL_TYPES, s.within(w)).alias(f"u_total_{w}") for w in USER_TOTAL_SPANS]
-    aggs += [F.count_if(here & s.within(w)).alias(f"c_total_{w}") for w in CATE_TOTAL_SPANS]
-    aggs += [
-        count_type(t, here & s.within("7d")).alias(f"c_cnt_{t}_7d") for t in CATE_COUNT_TYPES
-    ]
-    aggs += [
-        weight_of(here & s.within("15d") & (F.col("type") == t)).alias(f"c_decay_{t}_15d")
-        for t in NON_BUY_TYPES
-    ]
-    aggs += [
-        F.count_if(here & s.within("7d") & (F.col("time_zone") == z)).alias(f"c_tz_{z}_7d")
-        for z in TIME_ZONES
-    ]
-    return rows.groupBy("user_id").agg(*aggs)
+    s = Suffixes.days(ctx.end, (*USER_SPANS, ctx.candidate_days), ctx.window)
+    here, full = f"cate = {int(ctx.cate)}", s.within("full")
+    lately = f"age <= {int(ctx.candidate_days * DAY)}"
+    week, fortnight = s.within("7d"), s.within("15d")
+    exprs: Exprs = {
+        "c_rows_lately": count_where(here, lately),
+        "c_buys_lately": count_where(is_type(BUY), here, lately),
+        "u_rows_full": count_where(full),
+        "u_last_dist": first_where("age", full),
+        "u_first_dist": last_where("age", full),
+        "c_last_dist": first_where("age", here, full),
+        "o_rows_7d": count_where(f"NOT ({here})", week),
+        "u_carts_full": count_where(is_type(CART), full),
+        "c_browse_full": count_where(is_type(BROWSE), here, full),
+        "c_browse_7d": count_where(is_type(BROWSE), here, week),
+        "c_buys_full": count_where(is_type(BUY), here, full),
+        "c_browse_15d": count_where(is_type(BROWSE), here, fortnight),
+        "c_click_15d": count_where(is_type(CLICK), here, fortnight),
+    }
+    for w in USER_DAY_SPANS:
+        exprs[f"u_days_{w}"] = aggregates.active_days(ctx.end, s.seconds(w), s.within(w))
+    for w in CATE_DAY_SPANS:
+        seen = f"{here} AND {s.within(w)}"
+        exprs[f"c_days_{w}"] = aggregates.active_days(ctx.end, s.seconds(w), seen)
+    for w in USER_TOTAL_SPANS:
+        exprs[f"u_total_{w}"] = count_where(is_type(*USER_TOTAL_TYPES), s.within(w))
+    for w in CATE_TOTAL_SPANS:
+        exprs[f"c_total_{w}"] = count_where(here, s.within(w))
+    for t in CATE_COUNT_TYPES:
+        exprs[f"c_cnt_{t}_7d"] = count_where(is_type(t), here, week)
+    for t in NON_BUY_TYPES:
+        exprs[f"c_decay_{t}_15d"] = weight_where(is_type(t), here, fortnight)
+    for z in TIME_ZONES:
+        exprs[f"c_tz_{z}_7d"] = count_where(f"time_zone = {z}", here, week)
+    return aggregate(with_weights(s.scan(ctx.actions), ctx.curve), USER, exprs)
 
 
 def recent_non_buyers(block: DataFrame) -> DataFrame:
     """Users active in the target category in the last `candidate_days` who did not buy there."""
-    return block.filter((F.col("c_rows_lately") > 0) & (F.col("c_buys_lately") == 0))
+    return block.filter("c_rows_lately > 0 AND c_buys_lately = 0")
 
 
-# --- column groups, each a list of expressions over `user_block` -------------------------------
+# --- column groups over the user block ---------------------------------------------------------
 
 
-def day_ratio_columns() -> list[Column]:
-    return [
-        F.col("u_days_full").alias("user_days"),
-        F.col("u_days_7d").alias("user_days_7d"),
-        F.col("u_days_15d").alias("user_days_15d"),
-        F.col("c_days_7d").alias("cate_days_7d"),
-        F.col("c_days_15d").alias("cate_days_15d"),
-        ratio_zero_as_one("u_days_7d", "u_days_full").alias("user_day_ratio_7d"),
-        ratio_zero_as_one("u_days_15d", "u_days_full").alias("user_day_ratio_15d"),
-        ratio_zero_as_one("c_days_7d", "u_days_7d").alias("cate_day_ratio_7d"),
-        ratio_zero_as_one("c_days_15d", "u_days_15d").alias("cate_day_ratio_15d"),
-    ]
+def day_ratio_columns() -> Exprs:
+    return {
+        "user_days": "u_days_full",
+        "user_days_7d": "u_days_7d",
+        "user_days_15d": "u_days_15d",
+        "cate_days_7d": "c_days_7d",
+        "cate_days_15d": "c_days_15d",
+        "user_day_ratio_7d": ratio_zero_as_one("u_days_7d", "u_days_full"),
+        "user_day_ratio_15d": ratio_zero_as_one("u_days_15d", "u_days_full"),
+        "cate_day_ratio_7d": ratio_zero_as_one("c_days_7d", "u_days_7d"),
+        "cate_day_ratio_15d": ratio_zero_as_one("c_days_15d", "u_days_15d"),
+    }
 
 
-def attention_columns() -> list[Column]:
-    spans = ("7d", "15d", "full")
-    return (
-        [F.col(f"u_total_{w}").alias(f"user_total_{w}") for w in spans]
-        + [F.col(f"c_total_{w}").alias(f"cate_total_{w}") for w in spans]
-        + [ratio_zero_as_one(f"c_total_{w}", f"u_total_{w}").alias(f"cate_attention_{w}") for w in spans]
-    )
+def attention_columns() -> Exprs:
+    columns: Exprs = {}
+    for w in ("7d", "15d", "full"):
+        columns[f"user_total_{w}"] = f"u_total_{w}"
+        columns[f"cate_total_{w}"] = f"c_total_{w}"
+        columns[f"cate_attention_{w}"] = ratio_zero_as_one(f"c_total_{w}", f"u_total_{w}")
+    return columns
 
 
-def daily_mean_columns() -> list[Column]:
-    return [ratio_zero_as_one("c_total_7d", "c_days_7d").alias("cate_mean_per_day")] + [
-        ratio_zero_as_one(f"c_tz_{z}_7d", "c_days_7d").alias(f"cate_tz_{z}_per_day") for z in TIME_ZONES
-    ]
+def daily_mean_columns() -> Exprs:
+    return {
+        "cate_mean_per_day": ratio_zero_as_one("c_total_7d", "c_days_7d"),
+        **{
+            f"cate_tz_{z}_per_day": ratio_zero_as_one(f"c_tz_{z}_7d", "c_days_7d") for z in TIME_ZONES
+        },
+    }
 
 
-def browse_click_column() -> Column:
-    return ratio_zero_as_one("c_browse_15d", "c_click_15d").alias("cate_browse_click_15d")
+def browse_click_columns() -> Exprs:
+    return {"cate_browse_click_15d": ratio_zero_as_one("c_browse_15d", "c_click_15d")}
 
 
-def sequence_columns() -> list[Column]:
-    columns = []
-    for d in SEQUENCE_DAYS:
-        seen = F.col(f"cate_runs_{d}d").isNotNull()
-        columns += [
-            F.col(f"cate_dwell_{d}d"),
-            F.when(seen, F.col(f"dwell_{d}d")).alias(f"user_dwell_{d}d"),
-            F.when(seen, ratio_zero_as_one(f"cate_dwell_{d}d", f"dwell_{d}d")).alias(f"dwell_ratio_{d}d"),
-            F.col(f"cate_runs_{d}d"),
-            F.when(seen, F.col(f"runs_{d}d")).alias(f"user_runs_{d}d"),
-            F.when(seen, ratio_zero_as_one(f"cate_runs_{d}d", f"runs_{d}d")).alias(f"run_ratio_{d}d"),
-        ]
+def sequence_columns(measures: tuple[str, ...] = ("dwell", "runs")) -> Exprs:
+    """Category value, user value and their ratio; NULL for a window without a row of the category."""
+    columns: Exprs = {}
+    for m in measures:
+        for d in SEQUENCE_DAYS:
+            of_cate, of_user = f"cate_{m}_{d}d", f"{m}_{d}d"
+            columns[of_cate] = of_cate
+            columns[f"user_{m}_{d}d"] = f"if({of_cate} IS NULL, NULL, {of_user})"
+            columns[f"{m}_ratio_{d}d"] = ratio_zero_as_one(of_cate, of_user)
     return columns
 
 
-def dwell_only(columns: list[str]) -> list[str]:
-    return [c for c in columns if "dwell" in c]
-
-
-def rule_column() -> Column:
+def rule_columns() -> Exprs:
     hit = (
-        (F.col(f"c_cnt_{CART}_7d") > 0)
-        & (F.col(f"c_cnt_{BUY}_7d") == 0)
-        & (ratio_or_one("c_browse_7d", "c_browse_full") >= 1)
-        & (ratio_or_one(f"c_cnt_{BUY}_7d", "c_buys_full") >= 1)
-        & (F.col("c_days_7d") <= RULE_DAYS)
-        & (F.col("user_lv_cd") > RULE_LEVEL)
+        f"c_cnt_{CART}_7d > 0 AND c_cnt_{BUY}_7d = 0"
+        f" AND {ratio_or_one('c_browse_7d', 'c_browse_full')} >= 1"
+        f" AND {ratio_or_one(f'c_cnt_{BUY}_7d', 'c_buys_full')} >= 1"
+        f" AND c_days_7d <= {RULE_DAYS} AND user_lv_cd > {RULE_LEVEL}"
     )
-    return F.coalesce(hit.cast("int"), F.lit(0)).alias("rule_user")
+    return {"rule_user": f"if({hit}, 1, 0)"}
 
 
-# --- the blocks on their own ------------------------------------------------------------------
+# --- the blocks on their own -------------------------------------------------------------------
 
 
 def user_day_ratios(ctx: FeatureContext) -> DataFrame:
-    return user_block(ctx).filter(F.col("u_rows_full") > 0).select("user_id", *day_ratio_columns())
+    return project(user_block(ctx).filter("u_rows_full > 0"), USER, day_ratio_columns())
 
 
 def user_cate_attention(ctx: FeatureContext) -> DataFrame:
-    return user_block(ctx).filter(F.col("u_rows_full") > 0).select("user_id", *attention_columns())
+    return project(user_block(ctx).filter("u_rows_full > 0"), USER, attention_columns())
 
 
 def uc_daily_means(ctx: FeatureContext) -> DataFrame:
-    return user_block(ctx).filter(F.col("c_total_7d") > 0).select("user_id", *daily_mean_columns())
+    return project(user_block(ctx).filter("c_total_7d > 0"), USER, daily_mean_columns())
 
 
 def uc_browse_click(ctx: FeatureContext) -> DataFrame:
-    return user_block(ctx).filter(F.col("c_total_15d") > 0).select("user_id", browse_click_column())
+    return project(user_block(ctx).filter("c_total_15d > 0"), USER, browse_click_columns())
 
 
 def sequence_block(ctx: FeatureContext) -> DataFrame:
@@ -190,51 +175,43 @@ def sequence_block(ctx: FeatureContext) -> DataFrame:
 
 def user_dwell_ratios(ctx: FeatureContext) -> DataFrame:
     """Dwell in the category over all dwell, for users with a row of the category in the last week."""
-    rows = sequence_block(ctx).filter(F.col("cate_runs_7d").isNotNull())
-    named = rows.select("user_id", *sequence_columns())
-    return named.select("user_id", *dwell_only(named.columns))
+    rows = sequence_block(ctx).filter("cate_dwell_7d IS NOT NULL")
+    return project(rows, USER, sequence_columns(("dwell",)))
 
 
 def other_categories_bought(ctx: FeatureContext) -> DataFrame:
     """Number of other categories bought in the last week, for users with rows in another category."""
-    rows = scan_window(ctx.actions, ctx.window.back(days=7)).filter(F.col("cate") != ctx.cate)
-    return (
-        rows.groupBy("user_id", "cate")
-        .agg(F.max((F.col("type") == BUY).cast("int")).alias("bought"))
-        .groupBy("user_id")
-        .agg(F.sum("bought").alias("other_cates_bought_7d"))
-    )
+    rows = scan_window(ctx.actions, ctx.window.back(days=7)).filter(f"cate <> {int(ctx.cate)}")
+    per_cate = aggregate(rows, ["user_id", "cate"], {"bought": f"max(if({is_type(BUY)}, 1, 0))"})
+    return aggregate(per_cate, USER, {"other_cates_bought_7d": "sum(bought)"})
 
 
 def _other_purchases(ctx: FeatureContext) -> DataFrame:
-    buys = scan_window(ctx.actions, ctx.window.back(days=7)).filter(
-        (F.col("cate") != ctx.cate) & (F.col("type") == BUY)
-    )
+    rows = scan_window(ctx.actions, ctx.window.back(days=7))
+    buys = rows.filter(f"cate <> {int(ctx.cate)} AND {is_type(BUY)}")
     return buys.groupBy("user_id").agg(F.count_distinct("cate").alias("other_bought"))
 
 
-def user_feature_columns() -> list[Column]:
+def user_feature_columns() -> Exprs:
     """The 71 features over a user block joined with sequences, other purchases and attributes."""
-    return [
-        F.col("user_lv_cd"),
-        F.col("reg_days"),
-        rule_column(),
-        F.col("u_last_dist").alias("user_last_dist"),
-        F.col("u_first_dist").alias("user_first_dist"),
-        F.col("c_last_dist").alias("cate_last_dist"),
-        *day_ratio_columns(),
-        *attention_columns(),
-        F.col("max_burst"),
-        F.col("mean_burst"),
-        *sequence_columns(),
-        *[F.col(f"c_decay_{t}_15d").alias(f"cate_decay_{t}") for t in NON_BUY_TYPES],
-        *[F.col(f"c_cnt_{t}_7d").alias(f"cate_cnt_{t}_7d") for t in CATE_COUNT_TYPES],
-        *daily_mean_columns(),
-        F.when(F.col("o_rows_7d") > 0, F.coalesce("other_bought", F.lit(0))).alias(
-            "other_cates_bought_7d"
-        ),
-        browse_click_column(),
-    ]
+    return {
+        "user_lv_cd": "user_lv_cd",
+        "reg_days": "reg_days",
+        **rule_columns(),
+        "user_last_dist": "u_last_dist",
+        "user_first_dist": "u_first_dist",
+        "cate_last_dist": "c_last_dist",
+        **day_ratio_columns(),
+        **attention_columns(),
+        "max_burst": "max_burst",
+        "mean_burst": "mean_burst",
+        **sequence_columns(),
+        **{f"cate_decay_{t}": f"c_decay_{t}_15d" for t in NON_BUY_TYPES},
+        **{f"cate_cnt_{t}_7d": f"c_cnt_{t}_7d" for t in CATE_COUNT_TYPES},
+        **daily_mean_columns(),
+        "other_cates_bought_7d": "if(o_rows_7d > 0, coalesce(other_bought, 0), NULL)",
+        **browse_click_columns(),
+    }
 
 
 def candidate_user_frame(ctx: FeatureContext) -> DataFrame:
@@ -250,5 +227,5 @@ def candidate_user_frame(ctx: FeatureContext) -> DataFrame:
 
 def user_features(ctx: FeatureContext, positives: DataFrame | None = None) -> DataFrame:
     """Candidate users with 71 features; `label` when positives are given. Absent values are NULL."""
-    features = candidate_user_frame(ctx).select("user_id", *user_feature_columns())
-    return features if positives is None else with_label(features, positives, ["user_id"])
+    features = project(candidate_user_frame(ctx), USER, user_feature_columns())
+    return features if positives is None else with_label(features, positives, USER)

@@ -20,9 +20,13 @@ def as_datetime(value: str | datetime) -> datetime:
     return value if isinstance(value, datetime) else datetime.fromisoformat(value)
 
 
+def _literal(value: datetime) -> str:
+    return f"TIMESTAMP_NTZ'{value.isoformat(sep=' ')}'"
+
+
 def ntz(value: datetime) -> Column:
-    """Timestamp-without-zone literal; folds to a constant, so filters on it reach the scan."""
-    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    """Timestamp-without-zone literal, so that filters on `time` reach the scan."""
+    return F.expr(_literal(value))
 
 
 @dataclass(frozen=True)
@@ -52,13 +56,17 @@ class WindowSpec:
     def seconds(self) -> int:
         return int((self.end - self.start).total_seconds())
 
+    def where(self, column: str = "time") -> str:
+        """SQL condition: the column lies in the window."""
+        return f"{column} >= {_literal(self.start)} AND {column} < {_literal(self.end)}"
+
     def contains(self, column: str = "time") -> Column:
-        return (F.col(column) >= ntz(self.start)) & (F.col(column) < ntz(self.end))
+        return F.expr(self.where(column))
 
 
 def age_seconds(end: datetime, column: str = "time") -> Column:
     """Whole seconds from `column` to `end`."""
-    return F.timestamp_diff("SECOND", F.col(column), ntz(end))
+    return F.expr(f"timestampdiff(SECOND, {column}, {_literal(end)})")
 
 
 @dataclass(frozen=True)
@@ -90,9 +98,9 @@ class Suffixes:
     def longest(self) -> WindowSpec:
         return WindowSpec(self.end - timedelta(seconds=max(s for _, s in self.spans)), self.end)
 
-    def within(self, label: str) -> Column:
-        """True for rows (with an `age` column) that lie in the labelled window."""
-        return F.col("age") <= self.seconds(label)
+    def within(self, label: str) -> str:
+        """SQL condition on the `age` column: the row lies in the labelled window."""
+        return f"age <= {self.seconds(label)}"
 
     def scan(self, actions: DataFrame, cate: int | None = None) -> DataFrame:
         """Rows of the longest window with their age."""
