@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.aggregates import is_type, weight_where
 from cartwise.functions.exprs import aggregate
-from cartwise.schema import ALL_TYPES, USER_TOTAL_TYPES
+from cartwise.schema import ALL_TYPES, TIME_DECAY, USER_TOTAL_TYPES
 from cartwise.windows import HOUR, WindowSpec, age_seconds, scan_window
 
 CURVE_HOURS = 720
@@ -94,3 +94,13 @@ def user_decayed_totals(
     actions: DataFrame, window: WindowSpec, curve: DataFrame, types=USER_TOTAL_TYPES
 ) -> DataFrame:
     return decayed_totals(actions, window, curve, ["user_id"], types)
+
+
+def fit_curve(curve: DataFrame) -> DataFrame:
+    """Evaluates a lazy curve once and returns it as a local table.
+
+    A fitted curve is a parameter of one row per hour (720 by default), like the coefficients of a model;
+    plans that use it several times then do not learn it again.
+    """
+    rows = curve.select("time_dist", "weight").collect()
+    return curve.sparkSession.createDataFrame(rows, TIME_DECAY)

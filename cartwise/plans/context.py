@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
+from cartwise.operators.decay import with_weights
 from cartwise.operators.sequence import MAX_GAP
 from cartwise.windows import WindowSpec
 
@@ -23,7 +24,8 @@ class FeatureContext:
     users: DataFrame
     products: DataFrame
     comments: DataFrame
-    curve: DataFrame
+    # None leaves the decayed columns out of the blocks.
+    curve: DataFrame | None
     window: WindowSpec
     cate: int
     default_reg: datetime
@@ -36,6 +38,9 @@ class FeatureContext:
     def over(self, window: WindowSpec) -> FeatureContext:
         return replace(self, window=window)
 
+    def weighted(self, rows: DataFrame) -> DataFrame:
+        return rows if self.curve is None else with_weights(rows, self.curve)
+
     @property
     def end(self) -> datetime:
         return self.window.end

@@ -13,7 +13,6 @@ from cartwise.functions.aggregates import count_where, first_where, is_type, las
 from cartwise.functions.exprs import Exprs, aggregate, project
 from cartwise.functions.ratios import ratio_zero_as_one, zero_fill
 from cartwise.operators import items as item_ops
-from cartwise.operators.decay import with_weights
 from cartwise.operators.labels import with_label
 from cartwise.operators.sequence import dwell_multi, visit_runs_multi
 from cartwise.plans import user_features as uf
@@ -56,7 +55,6 @@ def pair_block(ctx: FeatureContext) -> DataFrame:
         "p_age": "min(age)",
         "p_first": last_where("age", full),
         "p_last": first_where("age", full),
-        "p_decay": weight_where(month),
         "p_carts_full": count_where(is_type(CART), full),
     }
     for w in days.labels:
@@ -68,9 +66,11 @@ def pair_block(ctx: FeatureContext) -> DataFrame:
             exprs[f"p_cnt_{t}_{w}"] = count_where(is_type(t), hours.within(w))
     for t in LAST_TYPES:
         exprs[f"p_last_{t}"] = first_where("age", is_type(t), full)
-    for t in NON_BUY_TYPES:
-        exprs[f"p_decay_{t}"] = weight_where(is_type(t), month)
-    return aggregate(with_weights(both.scan(ctx.actions, ctx.cate), ctx.curve), PAIR, exprs)
+    if ctx.curve is not None:
+        exprs["p_decay"] = weight_where(month)
+        for t in NON_BUY_TYPES:
+            exprs[f"p_decay_{t}"] = weight_where(is_type(t), month)
+    return aggregate(ctx.weighted(both.scan(ctx.actions, ctx.cate)), PAIR, exprs)
 
 
 def _if_seen(seconds: int, sql: str) -> str:

@@ -13,7 +13,6 @@ from cartwise.functions import aggregates
 from cartwise.functions.aggregates import count_where, first_where, is_type, last_where, weight_where
 from cartwise.functions.exprs import Exprs, aggregate, project
 from cartwise.functions.ratios import ratio_or_one, ratio_zero_as_one
-from cartwise.operators.decay import with_weights
 from cartwise.operators.labels import with_label
 from cartwise.operators.recency import user_base
 from cartwise.operators.sequence import user_sequence_block
@@ -76,11 +75,11 @@ def user_block(ctx: FeatureContext) -> DataFrame:
         exprs[f"c_total_{w}"] = count_where(here, s.within(w))
     for t in CATE_COUNT_TYPES:
         exprs[f"c_cnt_{t}_7d"] = count_where(is_type(t), here, week)
-    for t in NON_BUY_TYPES:
+    for t in NON_BUY_TYPES if ctx.curve is not None else ():
         exprs[f"c_decay_{t}_15d"] = weight_where(is_type(t), here, fortnight)
     for z in TIME_ZONES:
         exprs[f"c_tz_{z}_7d"] = count_where(f"time_zone = {z}", here, week)
-    return aggregate(with_weights(s.scan(ctx.actions), ctx.curve), USER, exprs)
+    return aggregate(ctx.weighted(s.scan(ctx.actions)), USER, exprs)
 
 
 def recent_non_buyers(block: DataFrame) -> DataFrame:
