@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,12 +12,13 @@ from pyspark.sql import types as T
 
 from cartwise.catalog import setting as cfg
 from cartwise.operators import counts, decay, distinct, evaluation, items, labels, ranking, recency, sequence
+from cartwise.plans import models, splits
 from cartwise.plans import pair_features as pf
-from cartwise.plans import splits
 from cartwise.plans import user_features as uf
 from cartwise.plans.context import FeatureContext
 from cartwise.sources.logs import union_months
 from cartwise.sources.retail import RetailTables
+from cartwise.sources.sinks import scratch_folder
 from cartwise.windows import Suffixes, WindowSpec, scan_window
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,10 +47,22 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.tables = RetailTables(spark, folder)
-        self.actions = self.tables.actions()
-        self.users = self.tables.users()
-        self.products = self.tables.products()
-        self.comments = self.tables.comments()
+
+    @cached_property
+    def actions(self) -> DataFrame:
+        return self.tables.actions()
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return self.tables.users()
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self.tables.products()
+
+    @cached_property
+    def comments(self) -> DataFrame:
+        return self.tables.comments()
 
     def curve(self) -> DataFrame:
         buyers = labels.label_users(self.actions, cfg.CURVE_LABEL, self.products, self.users)
@@ -248,9 +263,78 @@ def _operators() -> dict[str, Callable[[Inputs], DataFrame]]:
     }
 
 
+def _user_table(x: Inputs, window: WindowSpec, labelled: bool = True) -> DataFrame:
+    positives = None
+    if labelled:
+        label = window.ahead(days=cfg.SPLIT_LABEL_DAYS)
+        positives = labels.label_users(x.actions, label, x.products, x.users)
+    return uf.user_features(x.context(window, decayed=True), positives)
+
+
+def _train_split() -> WindowSpec:
+    return W.shift(days=-cfg.SPLIT_STEP_DAYS)
+
+
+def _user_params() -> models.BoostingParams:
+    return replace(models.USER_MODEL, rounds=cfg.MODEL_ROUNDS)
+
+
+def _train_user_model(x: Inputs) -> DataFrame:
+    """Scores of the training split under a model fitted on it."""
+    table = _user_table(x, _train_split())
+    return models.score(models.train(table, _user_params()), table)
+
+
+def _train_sku_model(x: Inputs) -> DataFrame:
+    label = _train_split().ahead(days=cfg.SPLIT_LABEL_DAYS)
+    positives = labels.label_pairs_known(x.actions, label, x.products, x.users)
+    table = pf.training_table(x.context(_train_split(), decayed=True), positives)
+    params = replace(models.PAIR_MODEL, rounds=cfg.MODEL_ROUNDS)
+    return models.score(models.train(table, params), table).select(U, I, "score")
+
+
+def _score_users(x: Inputs) -> DataFrame:
+    """Model of the training split, saved, loaded again and applied to the online split."""
+    folder = scratch_folder(x.tables.spark)
+    models.save_model(models.train(_user_table(x, _train_split()), _user_params()), folder)
+    return models.score_saved(folder, _user_table(x, W, labelled=False))
+
+
+def _cv_best_rounds(x: Inputs) -> DataFrame:
+    return models.cv_round_losses(_user_table(x, _train_split()), _user_params(), cfg.MODEL_FOLDS)
+
+
+def _staged_search(x: Inputs) -> DataFrame:
+    stages = (
+        models.SearchStage({"depth": (3, 4)}),
+        models.SearchStage({"row_sample": (0.6, 0.8)}),
+        models.SearchStage({"positive_weight": (1.0, 2.0)}),
+    )
+    start = replace(models.SEARCH_START, rounds=2)
+    return models.staged_search(
+        _user_table(x, _train_split()), start, stages, folds=cfg.MODEL_FOLDS
+    )[1]
+
+
+def _topics(x: Inputs) -> DataFrame:
+    rows = scan_window(x.actions, W, columns=[U, I])
+    return models.topic_features(rows, U, I, cfg.TOPICS, cfg.TOPIC_ROUNDS)
+
+
+def _models() -> dict[str, Callable[[Inputs], DataFrame]]:
+    return {
+        "train_user_model": _train_user_model,
+        "train_sku_model": _train_sku_model,
+        "cv_best_rounds": _cv_best_rounds,
+        "staged_search": _staged_search,
+        "score_users": _score_users,
+        "topic_features": _topics,
+    }
+
+
 def _registered(build: Callable[[Inputs], DataFrame]) -> Query:
     return lambda spark, folder: comparable(build(Inputs(spark, folder)))
 
 
 def queries() -> dict[str, Query]:
-    return {name: _registered(build) for name, build in _operators().items()}
+    return {name: _registered(build) for name, build in {**_operators(), **_models()}.items()}

@@ -18,4 +18,7 @@ COMMENT_END = datetime(2001, 6, 1)
 # Events of one user lie hours apart here, so dwell time uses a six-hour gap besides the default.
 MAX_GAP = 21600
 TOP_RANKED = 50
+# Short model settings; the tuned ones are parameters of the library.
+MODEL_ROUNDS, MODEL_FOLDS = 5, 2
+TOPICS, TOPIC_ROUNDS = 3, 5
 SPLIT_DAYS, SPLIT_LABEL_DAYS, SPLIT_STEP_DAYS = 14, 5, 5

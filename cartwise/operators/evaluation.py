@@ -1,121 +1,89 @@
 """Contest scores of a prediction list against bought pairs.
 
-Every function returns a lazy one-row (or one row per board) frame with the quotients; an undefined
-score (no hit at all) is NULL. Prediction and truth are reduced to counts and unioned into one
-aggregate, so nothing but counts meets.
+Every function returns a lazy frame of one row (or one row per board); an undefined score (no hit at
+all) is NULL. The prediction list is read once: it is marked with its hits by user and by pair, reduced
+to counts, and met by the counts of the truth in one more aggregate.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from cartwise.functions.aggregates import count_where
+from cartwise.functions.exprs import Exprs, aggregate
 from cartwise.functions.ratios import ratio_or_null
 
-# Weights of precision and recall, and of the two scores.
-_F11 = {"scale": 6, "recall": 5, "precision": 1}
-_F12 = {"scale": 5, "recall": 2, "precision": 3}
-_USER_WEIGHT, _PAIR_WEIGHT = 0.4, 0.6
-
-
-def _f_score(weights: dict[str, int], p: str, r: str) -> str:
-    scale, on_recall, on_precision = weights["scale"], weights["recall"], weights["precision"]
-    return ratio_or_null(f"{scale} * {p} * {r}", f"{on_recall} * {r} + {on_precision} * {p}")
+# Keys of each score, weights of precision and recall, and weights of the two scores.
+KEYS = {"f11": ["user_id"], "f12": ["user_id", "sku_id"]}
+WEIGHTS = {
+    "f11": {"scale": 6, "recall": 5, "precision": 1},
+    "f12": {"scale": 5, "recall": 2, "precision": 3},
+}
+USER_WEIGHT, PAIR_WEIGHT = 0.4, 0.6
+
+_ALL = {"all": "true"}
+_BOARDS = {"A": "board = 'A'", "B": "board = 'B'"}
+
+
+def _tally(pred: DataFrame, real: DataFrame, scores: tuple[str, ...], groups: dict[str, str]) -> DataFrame:
+    """One row: `preds`, and per group `reals_<g>` and `<score>_<g>` hits.
+
+    Predictions are counted as rows and may not repeat; a prediction hits once however often its key
+    occurs in the truth.
+    """
+    marked = pred.select("user_id", "sku_id")
+    for score in scores:
+        marks = {f"{score}_{g}": f"max(if({cond}, 1, 0))" for g, cond in groups.items()}
+        marked = marked.join(aggregate(real, KEYS[score], marks), KEYS[score], "left")
+    hits = {f"{s}_{g}": f"coalesce(sum({s}_{g}), 0)" for s in scores for g in groups}
+    reals = {f"reals_{g}": count_where(cond) for g, cond in groups.items()}
+    both = aggregate(marked, [], {"preds": "count(1)", **hits}).unionByName(
+        aggregate(real, [], reals), allowMissingColumns=True
+    )
+    return aggregate(both, [], {c: f"sum({c})" for c in both.columns})
 
 
-def _counts(pred: DataFrame, real: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """One row: predictions, truths and hits on `keys`."""
-    truths = real.select(*keys).distinct().withColumn("hit", F.lit(1))
-    scored = pred.select(*keys).join(truths, keys, "left")
-    return (
-        scored.select(F.lit(1).alias("p"), F.lit(0).alias("r"), F.coalesce("hit", F.lit(0)).alias("h"))
-        .unionByName(real.select(F.lit(0).alias("p"), F.lit(1).alias("r"), F.lit(0).alias("h")))
-        .agg(*[F.sum(c).alias(f"{name}_{c}") for c in ("p", "r", "h")])
-    )
+def _quality(score: str, group: str) -> Exprs:
+    """Precision, recall and the score itself over a tally."""
+    p = ratio_or_null(f"{score}_{group}", "preds")
+    r = ratio_or_null(f"{score}_{group}", f"reals_{group}")
+    w = WEIGHTS[score]
+    f = ratio_or_null(f"{w['scale']} * {p} * {r}", f"{w['recall']} * {r} + {w['precision']} * {p}")
+    return {f"{score}_precision": p, f"{score}_recall": r, score: f}
 
 
-def _scored(counts: DataFrame, name: str, weights: dict[str, int]) -> DataFrame:
-    return (
-        counts.withColumn(f"{name}_precision", F.expr(ratio_or_null(f"{name}_h", f"{name}_p")))
-        .withColumn(f"{name}_recall", F.expr(ratio_or_null(f"{name}_h", f"{name}_r")))
-        .withColumn(name, F.expr(_f_score(weights, f"{name}_precision", f"{name}_recall")))
-    )
+def _one(pred: DataFrame, real: DataFrame, score: str) -> DataFrame:
+    quality = _quality(score, "all")
+    return _tally(pred, real, (score,), _ALL).selectExpr(*[f"{sql} AS {c}" for c, sql in quality.items()])
 
 
 def eval_f11(pred: DataFrame, real: DataFrame) -> DataFrame:
     """User score; recall divides by the rows of `real`, not its distinct users."""
-    counts = _counts(pred, real, ["user_id"], "f11")
-    return _scored(counts, "f11", _F11).select("f11_precision", "f11_recall", "f11")
+    return _one(pred, real, "f11")
 
 
 def eval_f12(pred: DataFrame, real: DataFrame) -> DataFrame:
-    """Pair score on distinct (user, item) rows."""
-    counts = _counts(pred, real, ["user_id", "sku_id"], "f12")
-    return _scored(counts, "f12", _F12).select("f12_precision", "f12_recall", "f12")
-
+    """Pair score."""
+    return _one(pred, real, "f12")
 
-_KEYS = {"f11": ["user_id"], "f12": ["user_id", "sku_id"]}
 
-
-def _total(df: DataFrame) -> DataFrame:
-    scored = _scored(_scored(df, "f11", _F11), "f12", _F12)
-    return scored.withColumn("score", _USER_WEIGHT * F.col("f11") + _PAIR_WEIGHT * F.col("f12"))
+def _both(group: str) -> Exprs:
+    f11, f12 = (_quality(score, group)[score] for score in KEYS)
+    return {"f11": f11, "f12": f12, "score": f"{USER_WEIGHT}D * {f11} + {PAIR_WEIGHT}D * {f12}"}
 
 
 def eval_score(pred: DataFrame, real: DataFrame) -> DataFrame:
-    """Both scores and their weighted sum, in one row."""
-    parts = [
-        _counts(pred, real, keys, name).select(
-            F.lit(name).alias("part"), *[F.col(f"{name}_{c}").alias(c) for c in ("p", "r", "h")]
-        )
-        for name, keys in _KEYS.items()
-    ]
-    wide = parts[0].unionByName(parts[1]).agg(
-        *[
-            F.max(F.when(F.col("part") == name, F.col(c))).alias(f"{name}_{c}")
-            for name in _KEYS
-            for c in ("p", "r", "h")
-        ]
+    """Both scores and their weighted sum."""
+    return _tally(pred, real, tuple(KEYS), _ALL).selectExpr(
+        *[f"{sql} AS {name}" for name, sql in _both("all").items()]
     )
-    return _total(wide).select("f11", "f12", "score")
 
 
 def eval_score_by_board(pred: DataFrame, real: DataFrame) -> DataFrame:
     """Scores per A/B board; precision always divides by all predictions."""
-    parts = []
-    for name, keys in _KEYS.items():
-        truths = real.groupBy(*keys).agg(
-            F.max((F.col("board") == "A").cast("int")).alias("hit_A"),
-            F.max((F.col("board") == "B").cast("int")).alias("hit_B"),
-        )
-        hits = pred.select(*keys).join(truths, keys, "left")
-        for board in ("A", "B"):
-            parts.append(
-                hits.groupBy().agg(
-                    F.lit(name).alias("part"),
-                    F.lit(board).alias("board"),
-                    F.count(F.lit(1)).alias("p"),
-                    F.lit(0).cast("long").alias("r"),
-                    F.coalesce(F.sum(f"hit_{board}"), F.lit(0)).alias("h"),
-                )
-            )
-        parts.append(
-            real.groupBy("board").agg(F.count(F.lit(1)).alias("r")).select(
-                F.lit(name).alias("part"),
-                "board",
-                F.lit(0).cast("long").alias("p"),
-                "r",
-                F.lit(0).cast("long").alias("h"),
-            )
-        )
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    wide = rows.groupBy("board").agg(
-        *[
-            F.sum(F.when(F.col("part") == name, F.col(c))).alias(f"{name}_{c}")
-            for name in _KEYS
-            for c in ("p", "r", "h")
-        ]
-    )
-    return _total(wide).select("board", "f11", "f12", "score")
+    rows = []
+    for g in _BOARDS:
+        fields = ", ".join(f"'{name}', {sql}" for name, sql in _both(g).items())
+        rows.append(f"named_struct('board', '{g}', {fields})")
+    tally = _tally(pred, real, tuple(KEYS), _BOARDS)
+    return tally.selectExpr(f"inline(array({', '.join(rows)}))")

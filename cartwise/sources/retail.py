@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.windows import WindowSpec
@@ -21,12 +21,19 @@ TARGET_TYPE = "ECONOMY"
 SNAPSHOT_YEARS = (1996, 2002)
 
 
-def _lookup(column: str, codes: dict[str, int]) -> Column:
-    result = None
-    for value, code in codes.items():
-        hit = F.col(column) == value
-        result = F.when(hit, code) if result is None else result.when(hit, code)
-    return result
+# Columns this adapter reads, declared so that opening a table starts no schema-inference job.
+TABLE_SCHEMAS = {
+    "events": "ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "part": "p_partkey bigint, p_brand string, p_type string, p_size int",
+    "customer": "c_custkey bigint, c_mktsegment string",
+    "orders": "o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_partkey bigint, l_returnflag string, l_shipdate timestamp_ntz",
+}
+
+
+def _lookup(column: str, codes: dict[str, int]) -> str:
+    whens = " ".join(f"WHEN '{value}' THEN {code}" for value, code in codes.items())
+    return f"CASE {column} {whens} END"
 
 
 @dataclass(frozen=True)
@@ -37,32 +44,27 @@ class RetailTables:
     folder: str
 
     def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def raw_actions(self, window: WindowSpec | None = None) -> DataFrame:
         """The log without the derived quarter of the day. A window filters at the scan."""
         events = self._table("events")
         if window is not None:
             events = events.filter(window.contains("ts"))
-        even = F.pmod(F.col("sku_id"), F.lit(2)) == 0
-        is_click = F.col("event_type") == "click"
-        whole_second = F.expr(
-            "timestampadd(MICROSECOND, -cast(extract(SECOND FROM ts) * 1000000 AS BIGINT) % 1000000, ts)"
+        micros = "cast(extract(SECOND FROM ts) * 1000000 AS BIGINT) % 1000000"
+        items = self._table("part").selectExpr(
+            "p_partkey AS sku_id",
+            f"{_lookup('p_type', CATEGORIES)} AS cate",
+            r"cast(regexp_extract(p_brand, r'Brand#(\d+)', 1) AS INT) AS brand",
         )
-        items = self._table("part").select(
-            F.col("p_partkey").alias("sku_id"),
-            _lookup("p_type", CATEGORIES).alias("cate"),
-            F.regexp_extract("p_brand", r"Brand#(\d+)", 1).cast("int").alias("brand"),
-        )
-        keyed = events.withColumn("sku_id", F.get_json_object("props", "$.k").cast("long"))
-        return keyed.join(items, "sku_id").select(
+        keyed = events.selectExpr("*", "cast(get_json_object(props, '$.k') AS BIGINT) AS sku_id")
+        return keyed.join(items, "sku_id").selectExpr(
             "user_id",
             "sku_id",
-            whole_second.alias("time"),
-            F.when(is_click, F.pmod(F.floor("value"), F.lit(20)).cast("int")).alias("model_id"),
-            F.when(is_click, F.when(even, 6).otherwise(5))
-            .otherwise(_lookup("event_type", EVENT_TYPES))
-            .alias("type"),
+            f"timestampadd(MICROSECOND, -({micros}), ts) AS time",
+            "if(event_type = 'click', cast(pmod(floor(value), 20) AS INT), NULL) AS model_id",
+            f"""CASE WHEN event_type <> 'click' THEN {_lookup('event_type', EVENT_TYPES)}
+                     WHEN pmod(sku_id, 2) = 0 THEN 6 ELSE 5 END AS type""",
             "cate",
             "brand",
             "value",
@@ -70,7 +72,7 @@ class RetailTables:
 
     def actions(self, window: WindowSpec | None = None) -> DataFrame:
         raw = self.raw_actions(window)
-        return raw.withColumn("time_zone", F.floor(F.hour("time") / 6).cast("int"))
+        return raw.selectExpr("*", "cast(hour(time) DIV 6 AS INT) AS time_zone")
 
     def users(self) -> DataFrame:
         first_order = (
@@ -78,24 +80,22 @@ class RetailTables:
             .groupBy(F.col("o_custkey").alias("c_custkey"))
             .agg(F.min("o_orderdate").alias("first_order"))
         )
-        unknown = F.pmod(F.col("c_custkey"), F.lit(10)) == 0
         return (
             self._table("customer")
             .join(first_order, "c_custkey", "left")
-            .select(
-                F.col("c_custkey").alias("user_id"),
-                _lookup("c_mktsegment", LEVELS).alias("user_lv_cd"),
-                F.when(~unknown, F.col("first_order")).alias("user_reg_tm"),
+            .selectExpr(
+                "c_custkey AS user_id",
+                f"{_lookup('c_mktsegment', LEVELS)} AS user_lv_cd",
+                "if(pmod(c_custkey, 10) = 0, NULL, first_order) AS user_reg_tm",
             )
         )
 
     def products(self) -> DataFrame:
-        size = F.col("p_size")
-        return self._table("part").filter(F.col("p_type") == TARGET_TYPE).select(
-            F.col("p_partkey").alias("sku_id"),
-            (F.pmod(size, F.lit(4)) - 1).alias("a1"),
-            (F.pmod(size, F.lit(3)) - 1).alias("a2"),
-            F.pmod(size, F.lit(3)).alias("a3"),
+        return self._table("part").filter(f"p_type = '{TARGET_TYPE}'").selectExpr(
+            "p_partkey AS sku_id",
+            "pmod(p_size, 4) - 1 AS a1",
+            "pmod(p_size, 3) - 1 AS a2",
+            "pmod(p_size, 3) AS a3",
         )
 
     def comments(self) -> DataFrame:
@@ -107,23 +107,18 @@ class RetailTables:
         yearly = (
             self._table("lineitem")
             .groupBy(F.col("l_partkey").alias("sku_id"), F.year("l_shipdate").alias("year"))
-            .agg(
-                F.count(F.lit(1)).alias("lines"),
-                F.count_if(F.col("l_returnflag") == "R").alias("bad"),
-            )
+            .agg(F.expr("count(1) AS lines"), F.expr("count_if(l_returnflag = 'R') AS bad"))
         )
-        later = F.sequence(F.greatest(F.col("year") + 1, F.lit(first)), F.lit(last))
         snapshots = (
-            yearly.filter(F.col("year") < last)
-            .withColumn("snapshot", F.explode(later))
-            .groupBy("sku_id", F.make_date("snapshot", F.lit(1), F.lit(1)).alias("dt"))
+            yearly.filter(f"year < {last}")
+            .selectExpr("*", f"explode(sequence(greatest(year + 1, {first}), {last})) AS snapshot")
+            .groupBy("sku_id", F.expr("make_date(snapshot, 1, 1)").alias("dt"))
             .agg(F.sum("lines").alias("lines"), F.sum("bad").alias("bad"))
         )
-        rate = F.col("bad") / F.col("lines")
-        return snapshots.select(
+        return snapshots.selectExpr(
             "dt",
             "sku_id",
-            F.pmod("lines", F.lit(5)).cast("int").alias("comment_num"),
-            F.when(F.col("bad") * 3 > F.col("lines"), 1).otherwise(0).alias("has_bad_comment"),
-            rate.alias("bad_comment_rate"),
+            "cast(pmod(lines, 5) AS INT) AS comment_num",
+            "if(bad * 3 > lines, 1, 0) AS has_bad_comment",
+            "bad / lines AS bad_comment_rate",
         )

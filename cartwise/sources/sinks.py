@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -49,3 +52,9 @@ def materialise(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(spark.conf.get(_CHECKPOINT_CONF))
     return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A fresh folder below the session's shared checkpoint folder; a local one only where none is set."""
+    shared = spark.conf.get(_CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    return f"{(shared or tempfile.mkdtemp(prefix='cartwise-')).rstrip('/')}/{uuid.uuid4().hex}"
