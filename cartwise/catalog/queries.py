@@ -240,7 +240,9 @@ def _operators() -> dict[str, Callable[[Inputs], DataFrame]]:
         "ui_cart_share": lambda x: pf.ui_cart_share(x.context()),
         "ui_browse_click": lambda x: pf.ui_browse_click(x.context()),
         "ub_share": lambda x: pf.ub_share(x.context()),
-        "item_features": lambda x: pf.add_item_features(_keyed_pairs(x), x.context()),
+        "item_features": lambda x: pf.add_item_features(
+            _keyed_pairs(x), pf.item_table(x.context())
+        ),
         "brand_features": lambda x: pf.add_brand_features(_keyed_pairs(x), x.context()),
         "sku_features": lambda x: pf.sku_features(x.context(decayed=True), x.pair_positives()),
         "training_table": lambda x: pf.training_table(x.context(decayed=True), x.pair_positives()),

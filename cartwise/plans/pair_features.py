@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from cartwise.functions import aggregates
 from cartwise.functions.aggregates import count_where, first_where, is_type, last_where, weight_where
 from cartwise.functions.exprs import Exprs, aggregate, project
+from cartwise.functions.joins import lookup_join
 from cartwise.functions.ratios import ratio_zero_as_one, zero_fill
 from cartwise.operators import items as item_ops
 from cartwise.operators.labels import with_label
@@ -247,27 +248,35 @@ def ub_share(ctx: FeatureContext) -> DataFrame:
 
 
 def item_table(ctx: FeatureContext) -> DataFrame:
-    """Flow, comment and attribute columns per item seen in the window, one row per item."""
-    comments = item_ops.comment_snapshot(ctx.comments, ctx.end)
-    return (
+    """Flow, attribute, comment and best-seller columns, one row per item seen in the window."""
+    top = item_ops.top_by_buys(ctx.actions, ctx.window.back(days=7), ctx.cate, "sku_id", TOP_N)
+    known = (
         item_ops.flow_ratios(ctx.actions, ctx.window)
         .join(item_ops.attribute_onehot(ctx.products), "sku_id", "left")
-        .join(comments, "sku_id", "left")
+        .join(item_ops.comment_snapshot(ctx.comments, ctx.end), "sku_id", "left")
     )
+    return item_ops.flag_top(known, top, "sku_id", "top_item")
 
 
-def add_item_features(df: DataFrame, ctx: FeatureContext) -> DataFrame:
-    """Item columns plus the best-seller flag on rows that carry `sku_id`."""
-    top = item_ops.top_by_buys(ctx.actions, ctx.window.back(days=7), ctx.cate, "sku_id", TOP_N)
-    return item_ops.flag_top(df.join(item_table(ctx), "sku_id", "left"), top, "sku_id", "top_item")
-
-
-def add_brand_features(df: DataFrame, ctx: FeatureContext) -> DataFrame:
-    """Bad-comment rate and best-seller flag on rows that carry `brand`."""
+def brand_table(ctx: FeatureContext) -> DataFrame:
+    """Bad-comment rate and best-seller flag, one row per brand with either."""
     top = item_ops.top_by_buys(ctx.actions, ctx.window.back(days=7), ctx.cate, "brand", TOP_N)
     history = WindowSpec(ctx.log_start or ctx.window.start, ctx.end)
     rates = item_ops.brand_bad_rate(ctx.actions, history, ctx.comments)
-    return item_ops.flag_top(df.join(rates, "brand", "left"), top, "brand", "top_brand")
+    flagged = top.selectExpr("brand", "1 AS top_brand")
+    return rates.join(flagged, "brand", "full")
+
+
+def add_item_features(df: DataFrame, items: DataFrame) -> DataFrame:
+    """Item columns on (user, item) rows; items without an entry are no best-sellers."""
+    joined = lookup_join(df, items, "sku_id", ["user_id"])
+    return joined.fillna(0, subset=["top_item"])
+
+
+def add_brand_features(df: DataFrame, ctx: FeatureContext) -> DataFrame:
+    """Brand columns on (user, item) rows."""
+    joined = lookup_join(df, brand_table(ctx), "brand", ["user_id", "sku_id"])
+    return joined.fillna(0, subset=["top_brand"])
 
 
 # --- assembled tables -------------------------------------------------------------------------
@@ -298,14 +307,14 @@ def pair_features(ctx: FeatureContext, positives: DataFrame | None = None) -> Da
 
 
 def _assembled(ctx: FeatureContext, users: DataFrame, extra: Exprs) -> DataFrame:
-    """Pairs -> brand shares -> item -> brand -> sales -> user, narrow lookups before the wide user side.
+    """Pairs -> brand shares -> item -> brand -> user, each side assembled to one row per key first.
 
-    Only candidate rows move between the joins. Lookups small enough are broadcast by size, others are
-    sort-merge joins that adaptive execution splits on hot items or brands.
+    Only candidate rows move between the joins. A hot item or brand is spread by the lookup join; a user
+    owns at most the category's items, and adaptive execution splits that join when it is skewed.
     """
     pairs = _candidate_pairs(ctx).join(_brand_block(ctx), ["user_id", "brand"], "left")
-    sales = item_ops.sale_ratios(ctx.actions, ctx.end)
-    with_items = add_item_features(pairs, ctx).join(sales, "sku_id", "left")
+    items = item_table(ctx).join(item_ops.sale_ratios(ctx.actions, ctx.end), "sku_id", "left")
+    with_items = add_item_features(pairs, items)
     joined = add_brand_features(with_items, ctx).join(users, "user_id")
     columns = {
         **pair_feature_columns(),

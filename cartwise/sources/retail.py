@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwise.functions.joins import lookup_join
 from cartwise.windows import WindowSpec
 
 # Event type -> action type, part type -> category, market segment -> user level.
@@ -58,7 +59,8 @@ class RetailTables:
             r"cast(regexp_extract(p_brand, r'Brand#(\d+)', 1) AS INT) AS brand",
         )
         keyed = events.selectExpr("*", "cast(get_json_object(props, '$.k') AS BIGINT) AS sku_id")
-        return keyed.join(items, "sku_id").selectExpr(
+        joined = lookup_join(keyed, items, "sku_id", ["user_id", "ts"], how="inner")
+        return joined.selectExpr(
             "user_id",
             "sku_id",
             f"timestampadd(MICROSECOND, -({micros}), ts) AS time",

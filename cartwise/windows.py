@@ -110,8 +110,14 @@ class Suffixes:
 def scan_window(
     actions: DataFrame, window: WindowSpec, cate: int | None = None, columns: list[str] | None = None
 ) -> DataFrame:
-    """Rows with ``start <= time < end``, optionally of one category and projected to `columns`."""
+    """Rows with ``start <= time < end``, optionally of one category and projected to `columns`.
+
+    A log partitioned by `date` is also filtered on that column, so whole days are never opened.
+    """
     rows = actions.filter(window.contains())
+    if "date" in actions.columns:
+        last = window.end - timedelta(microseconds=1)
+        rows = rows.filter(F.col("date").between(F.lit(window.start.date()), F.lit(last.date())))
     if cate is not None:
         rows = rows.filter(F.col("cate") == cate)
     return rows if columns is None else rows.select(*columns)
