@@ -44,19 +44,25 @@ def weight_where(*conds: str | None) -> str:
     return f"coalesce({sum_where('weight', *conds)}, 0.0D)"
 
 
-def active_days(end: datetime, span_seconds: int, where: str | None = None) -> str:
-    """Distinct calendar days among the grouped rows, as the population of a day bitmap.
+def day_words(end: datetime, span_seconds: int) -> list[str]:
+    """Day bitmap of one row as 63-bit words: the bit of its calendar day's distance to `end`.
 
-    A row sets the bit of its day's distance to `end`; OR-ing bitmaps replaces the second shuffle of a
-    distinct count. `span_seconds` bounds the row ages and so fixes the number of 63-bit words.
+    `span_seconds` bounds the row ages and so fixes the number of words.
     """
     back = f"datediff(DATE'{end.date().isoformat()}', to_date(time))"
-    words = (span_seconds // DAY + 1) // _BITS + 1
-    counts = []
-    for w in range(words):
+    words = []
+    for w in range((span_seconds // DAY + 1) // _BITS + 1):
         low = w * _BITS
-        in_word = None if words == 1 else f"{back} BETWEEN {low} AND {low + _BITS - 1}"
-        cond = _and(where, in_word)
-        bit = f"shiftleft(1L, {back} - {low})"
-        counts.append(f"coalesce(bit_count(bit_or({f'if({cond}, {bit}, NULL)' if cond else bit})), 0)")
-    return f"cast({' + '.join(counts)} AS BIGINT)"
+        in_word = f"{back} BETWEEN {low} AND {low + _BITS - 1}"
+        words.append(f"if({in_word}, shiftleft(1L, {back} - {low}), 0L)")
+    return words
+
+
+def active_days(end: datetime, span_seconds: int, where: str | None = None) -> str:
+    """Distinct calendar days among the grouped rows, as the population of a day bitmap.
+
+    OR-ing bitmaps replaces the second shuffle of a distinct count.
+    """
+    words = day_words(end, span_seconds)
+    ors = [f"bit_or(if({where}, {word}, 0L))" if where else f"bit_or({word})" for word in words]
+    return f"cast({' + '.join(f'bit_count({o})' for o in ors)} AS BIGINT)"

@@ -8,13 +8,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from cartwise.functions import aggregates
-from cartwise.functions.aggregates import count_where, first_where, is_type, last_where, weight_where
+from cartwise.functions.aggregates import count_where, is_type
 from cartwise.functions.exprs import Exprs, aggregate, project
 from cartwise.functions.joins import lookup_join
 from cartwise.functions.ratios import ratio_zero_as_one, zero_fill
 from cartwise.operators import items as item_ops
 from cartwise.operators.labels import with_label
+from cartwise.operators.rollup import (
+    days_where,
+    oldest_where,
+    rollup,
+    rows_where,
+    weights_where,
+    within,
+    youngest_where,
+)
 from cartwise.operators.sequence import dwell_multi, visit_runs_multi
 from cartwise.plans import user_features as uf
 from cartwise.plans.context import FeatureContext
@@ -49,29 +57,31 @@ def pair_block(ctx: FeatureContext) -> DataFrame:
     hours = Suffixes.hours(ctx.end, COUNT_HOURS)
     days = Suffixes.days(ctx.end, (*TOTAL_DAYS, ctx.candidate_days), ctx.window)
     both = Suffixes(ctx.end, hours.spans + days.spans)
-    full, month = days.within("full"), days.within("28d")
+    longest = max(seconds for _, seconds in both.spans)
+    full, month = within(days, "full"), within(days, "28d")
     exprs: Exprs = {
-        "cate": "max(cate)",
+        "cate": f"{int(ctx.cate)}",
         "brand": "max(brand)",
-        "p_age": "min(age)",
-        "p_first": last_where("age", full),
-        "p_last": first_where("age", full),
-        "p_carts_full": count_where(is_type(CART), full),
+        "p_age": "min(youngest)",
+        "p_first": oldest_where(full),
+        "p_last": youngest_where(full),
+        "p_carts_full": rows_where(is_type(CART), full),
     }
     for w in days.labels:
-        exprs[f"p_days_{w}"] = aggregates.active_days(ctx.end, days.seconds(w), days.within(w))
+        exprs[f"p_days_{w}"] = days_where(ctx.end, longest, within(days, w))
     for d in TOTAL_DAYS:
-        exprs[f"p_total_{d}d"] = count_where(days.within(f"{d}d"))
+        exprs[f"p_total_{d}d"] = rows_where(within(days, f"{d}d"))
     for w in hours.labels:
         for t in NON_BUY_TYPES:
-            exprs[f"p_cnt_{t}_{w}"] = count_where(is_type(t), hours.within(w))
+            exprs[f"p_cnt_{t}_{w}"] = rows_where(is_type(t), within(hours, w))
     for t in LAST_TYPES:
-        exprs[f"p_last_{t}"] = first_where("age", is_type(t), full)
+        exprs[f"p_last_{t}"] = youngest_where(is_type(t), full)
     if ctx.curve is not None:
-        exprs["p_decay"] = weight_where(month)
+        exprs["p_decay"] = weights_where(month)
         for t in NON_BUY_TYPES:
-            exprs[f"p_decay_{t}"] = weight_where(is_type(t), month)
-    return aggregate(ctx.weighted(both.scan(ctx.actions, ctx.cate)), PAIR, exprs)
+            exprs[f"p_decay_{t}"] = weights_where(is_type(t), month)
+    rows = ctx.weighted(both.scan(ctx.actions, ctx.cate))
+    return aggregate(rollup(rows, both, PAIR, ["brand"]), PAIR, exprs)
 
 
 def _if_seen(seconds: int, sql: str) -> str:

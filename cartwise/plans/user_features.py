@@ -9,12 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.functions import aggregates
-from cartwise.functions.aggregates import count_where, first_where, is_type, last_where, weight_where
+from cartwise.functions.aggregates import is_type
 from cartwise.functions.exprs import Exprs, aggregate, project
 from cartwise.functions.ratios import ratio_or_one, ratio_zero_as_one
 from cartwise.operators.labels import with_label
 from cartwise.operators.recency import user_base
+from cartwise.operators.rollup import (
+    days_where,
+    oldest_where,
+    rollup,
+    rows_where,
+    weights_where,
+    within,
+    youngest_where,
+)
 from cartwise.operators.sequence import user_sequence_block
 from cartwise.plans.context import FeatureContext
 from cartwise.schema import NON_BUY_TYPES, TIME_ZONES, USER_TOTAL_TYPES, ActionType
@@ -46,40 +54,41 @@ def user_block(ctx: FeatureContext) -> DataFrame:
     pruned from the aggregate by the optimizer.
     """
     s = Suffixes.days(ctx.end, (*USER_SPANS, ctx.candidate_days), ctx.window)
-    here, full = f"cate = {int(ctx.cate)}", s.within("full")
-    lately = f"age <= {int(ctx.candidate_days * DAY)}"
-    week, fortnight = s.within("7d"), s.within("15d")
+    full, week, fortnight = within(s, "full"), within(s, "7d"), within(s, "15d")
+    lately = f"band <= {int(ctx.candidate_days * DAY)}"
     exprs: Exprs = {
-        "c_rows_lately": count_where(here, lately),
-        "c_buys_lately": count_where(is_type(BUY), here, lately),
-        "u_rows_full": count_where(full),
-        "u_last_dist": first_where("age", full),
-        "u_first_dist": last_where("age", full),
-        "c_last_dist": first_where("age", here, full),
-        "o_rows_7d": count_where(f"NOT ({here})", week),
-        "u_carts_full": count_where(is_type(CART), full),
-        "c_browse_full": count_where(is_type(BROWSE), here, full),
-        "c_browse_7d": count_where(is_type(BROWSE), here, week),
-        "c_buys_full": count_where(is_type(BUY), here, full),
-        "c_browse_15d": count_where(is_type(BROWSE), here, fortnight),
-        "c_click_15d": count_where(is_type(CLICK), here, fortnight),
+        "c_rows_lately": rows_where("here", lately),
+        "c_buys_lately": rows_where(is_type(BUY), "here", lately),
+        "u_rows_full": rows_where(full),
+        "u_last_dist": youngest_where(full),
+        "u_first_dist": oldest_where(full),
+        "c_last_dist": youngest_where("here", full),
+        "o_rows_7d": rows_where("NOT here", week),
+        "u_carts_full": rows_where(is_type(CART), full),
+        "c_browse_full": rows_where(is_type(BROWSE), "here", full),
+        "c_browse_7d": rows_where(is_type(BROWSE), "here", week),
+        "c_buys_full": rows_where(is_type(BUY), "here", full),
+        "c_browse_15d": rows_where(is_type(BROWSE), "here", fortnight),
+        "c_click_15d": rows_where(is_type(CLICK), "here", fortnight),
     }
+    longest = max(seconds for _, seconds in s.spans)
     for w in USER_DAY_SPANS:
-        exprs[f"u_days_{w}"] = aggregates.active_days(ctx.end, s.seconds(w), s.within(w))
+        exprs[f"u_days_{w}"] = days_where(ctx.end, longest, within(s, w))
     for w in CATE_DAY_SPANS:
-        seen = f"{here} AND {s.within(w)}"
-        exprs[f"c_days_{w}"] = aggregates.active_days(ctx.end, s.seconds(w), seen)
+        exprs[f"c_days_{w}"] = days_where(ctx.end, longest, "here", within(s, w))
     for w in USER_TOTAL_SPANS:
-        exprs[f"u_total_{w}"] = count_where(is_type(*USER_TOTAL_TYPES), s.within(w))
+        exprs[f"u_total_{w}"] = rows_where(is_type(*USER_TOTAL_TYPES), within(s, w))
     for w in CATE_TOTAL_SPANS:
-        exprs[f"c_total_{w}"] = count_where(here, s.within(w))
+        exprs[f"c_total_{w}"] = rows_where("here", within(s, w))
     for t in CATE_COUNT_TYPES:
-        exprs[f"c_cnt_{t}_7d"] = count_where(is_type(t), here, week)
+        exprs[f"c_cnt_{t}_7d"] = rows_where(is_type(t), "here", week)
     for t in NON_BUY_TYPES if ctx.curve is not None else ():
-        exprs[f"c_decay_{t}_15d"] = weight_where(is_type(t), here, fortnight)
+        exprs[f"c_decay_{t}_15d"] = weights_where(is_type(t), "here", fortnight)
     for z in TIME_ZONES:
-        exprs[f"c_tz_{z}_7d"] = count_where(f"time_zone = {z}", here, week)
-    return aggregate(ctx.weighted(s.scan(ctx.actions)), USER, exprs)
+        exprs[f"c_tz_{z}_7d"] = rows_where(f"zone = {z}", "here", week)
+    rows = ctx.weighted(s.scan(ctx.actions)).selectExpr("*", f"cate = {int(ctx.cate)} AS here")
+    zoned = rows.selectExpr("*", f"if(here AND age <= {7 * DAY}, time_zone, NULL) AS zone")
+    return aggregate(rollup(zoned, s, USER, ["here", "zone"]), USER, exprs)
 
 
 def recent_non_buyers(block: DataFrame) -> DataFrame:
