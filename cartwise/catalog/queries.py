@@ -18,7 +18,7 @@ from cartwise.plans import user_features as uf
 from cartwise.plans.context import FeatureContext
 from cartwise.sources.logs import union_months
 from cartwise.sources.retail import RetailTables
-from cartwise.sources.sinks import scratch_folder
+from cartwise.sources.sinks import scratch_folder, stage_actions
 from cartwise.windows import Suffixes, WindowSpec, scan_window
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,9 +71,15 @@ class Inputs:
     def fitted_curve(self) -> DataFrame:
         return decay.fit_curve(self.curve())
 
-    def context(self, window: WindowSpec = cfg.WINDOW, decayed: bool = False) -> FeatureContext:
+    @cached_property
+    def staged_actions(self) -> DataFrame:
+        return stage_actions(self.actions.drop("value"))
+
+    def context(
+        self, window: WindowSpec = cfg.WINDOW, decayed: bool = False, staged: bool = False
+    ) -> FeatureContext:
         return FeatureContext(
-            actions=self.actions,
+            actions=self.staged_actions if staged else self.actions,
             users=self.users,
             products=self.products,
             comments=self.comments,
@@ -244,8 +250,8 @@ def _operators() -> dict[str, Callable[[Inputs], DataFrame]]:
             _keyed_pairs(x), pf.item_table(x.context())
         ),
         "brand_features": lambda x: pf.add_brand_features(_keyed_pairs(x), x.context()),
-        "sku_features": lambda x: pf.sku_features(x.context(decayed=True), x.pair_positives()),
-        "training_table": lambda x: pf.training_table(x.context(decayed=True), x.pair_positives()),
+        "sku_features": lambda x: pf.sku_features(x.context(decayed=True, staged=True), x.pair_positives()),
+        "training_table": lambda x: pf.training_table(x.context(decayed=True, staged=True), x.pair_positives()),
         "rolling_splits": lambda x: splits.split_candidates(
             x.actions,
             x.products,
@@ -290,7 +296,7 @@ def _train_user_model(x: Inputs) -> DataFrame:
 def _train_sku_model(x: Inputs) -> DataFrame:
     label = _train_split().ahead(days=cfg.SPLIT_LABEL_DAYS)
     positives = labels.label_pairs_known(x.actions, label, x.products, x.users)
-    table = pf.training_table(x.context(_train_split(), decayed=True), positives)
+    table = pf.training_table(x.context(_train_split(), decayed=True, staged=True), positives)
     params = replace(models.PAIR_MODEL, rounds=cfg.MODEL_ROUNDS)
     return models.score(models.train(table, params), table).select(U, I, "score")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.aggregates import is_type, weight_where
 from cartwise.functions.exprs import aggregate
-from cartwise.schema import ALL_TYPES, TIME_DECAY, USER_TOTAL_TYPES
+from cartwise.schema import ALL_TYPES, USER_TOTAL_TYPES
 from cartwise.windows import HOUR, WindowSpec, age_seconds, scan_window
 
 CURVE_HOURS = 720
@@ -103,4 +103,7 @@ def fit_curve(curve: DataFrame) -> DataFrame:
     plans that use it several times then do not learn it again.
     """
     rows = curve.select("time_dist", "weight").collect()
-    return curve.sparkSession.createDataFrame(rows, TIME_DECAY)
+    cells = ", ".join(f"({r.time_dist}, {'NULL' if r.weight is None else repr(r.weight) + 'D'})" for r in rows)
+    return curve.sparkSession.sql(
+        f"SELECT time_dist, cast(weight AS DOUBLE) AS weight FROM VALUES {cells} AS c(time_dist, weight)"
+    )

@@ -10,6 +10,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # The assembled tables compile more classes than the default cache of 100 keeps, so that every run
+    # would compile them again.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     # The pair table is wider than the default limit for whole-stage code generation.
     "spark.sql.codegen.maxFields": "300",
 }

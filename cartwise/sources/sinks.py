@@ -58,3 +58,17 @@ def scratch_folder(spark: SparkSession) -> str:
     """A fresh folder below the session's shared checkpoint folder; a local one only where none is set."""
     shared = spark.conf.get(_CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     return f"{(shared or tempfile.mkdtemp(prefix='cartwise-')).rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def stage_actions(actions: DataFrame) -> DataFrame:
+    """The log as a table in the session's shared folder, for plans that scan it many times.
+
+    Rows are written as they come, without a shuffle: a log read in time order keeps narrow time ranges
+    per row group, so window filters still skip most of it. Where no folder is configured the log is
+    returned as it is.
+    """
+    if not has_checkpoint_dir(actions):
+        return actions
+    folder = scratch_folder(actions.sparkSession)
+    actions.write.parquet(folder)
+    return actions.sparkSession.read.schema(actions.schema).parquet(folder)

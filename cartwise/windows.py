@@ -66,7 +66,7 @@ class WindowSpec:
 
 def age_seconds(end: datetime, column: str = "time") -> Column:
     """Whole seconds from `column` to `end`."""
-    return F.expr(f"timestampdiff(SECOND, {column}, {_literal(end)})")
+    return F.expr(f"({_literal(end)} - {column}) DIV INTERVAL '1' SECOND")
 
 
 @dataclass(frozen=True)
