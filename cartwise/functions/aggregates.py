@@ -27,11 +27,6 @@ def first_where(column: str, *conds: str | None) -> str:
     return f"min(if({_and(*conds)}, {column}, NULL))"
 
 
-def last_where(column: str, *conds: str | None) -> str:
-    """Largest value over matching rows."""
-    return f"max(if({_and(*conds)}, {column}, NULL))"
-
-
 def sum_where(column: str, *conds: str | None) -> str:
     """Sum over matching rows, NULL when there is none."""
     return f"sum(if({_and(*conds)}, {column}, NULL))"

@@ -10,7 +10,7 @@ _SALT = "_salt"
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate, an upper bound for plans without row-multiplying joins."""
+    """The optimizer's size estimate, the figure Spark's own broadcast choice is based on."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 

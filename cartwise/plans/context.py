@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -16,8 +16,8 @@ from cartwise.windows import WindowSpec
 class FeatureContext:
     """Inputs of the assembled feature tables. Frames are lazy; nothing is read here.
 
-    An item belongs to one category and one brand; the assembled tables rely on it, and a mapping that
-    breaks it shows up as a duplicate key in `require_unique`.
+    An item belongs to one category and one brand; the assembled tables rely on it. Running
+    `require_unique(item_category_brand(actions, window), ["sku_id"])` checks a log for it.
     """
 
     actions: DataFrame
@@ -35,9 +35,6 @@ class FeatureContext:
     # First day of the log: brand membership of items is taken from there, not from the window start.
     log_start: datetime | None = None
 
-    def over(self, window: WindowSpec) -> FeatureContext:
-        return replace(self, window=window)
-
     def weighted(self, rows: DataFrame) -> DataFrame:
         return rows if self.curve is None else with_weights(rows, self.curve)
 

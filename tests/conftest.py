@@ -28,7 +28,9 @@ def spark():
     session.stop()
 
 
-LOG_SCHEMA = "user_id long, sku_id long, time timestamp_ntz, model_id int, type int, cate int, brand int, time_zone int"
+LOG_SCHEMA = (
+    "user_id long, sku_id long, time timestamp_ntz, model_id int, type int, cate int, brand int, time_zone int"
+)
 
 
 @pytest.fixture

@@ -34,7 +34,9 @@ def ctx(spark, make_log):
         actions=make_log(rows),
         users=spark.createDataFrame([(u, u % 5 + 1, None) for u in range(40)], USERS),
         products=spark.createDataFrame([(i, i % 4, 1, 2) for i in range(8)], PRODUCTS),
-        comments=spark.createDataFrame([(datetime(2024, 3, 1).date(), i, i % 5, 0, 0.1) for i in range(8)], COMMENTS),
+        comments=spark.createDataFrame(
+            [(datetime(2024, 3, 1).date(), i, i % 5, 0, 0.1) for i in range(8)], COMMENTS
+        ),
         curve=spark.createDataFrame([(h, 1.0 / h) for h in range(1, 721)], TIME_DECAY),
         window=W,
         cate=8,
