@@ -151,16 +151,6 @@ def scan_licences(docs: DataFrame, sentences: dict[str, str] | None = None, rule
     sentences = SENTENCES if sentences is None else sentences
     moot = MOOT if moot is None else moot
     known = F.create_map(*[F.lit(x) for pair in _known(sentences).items() for x in pair])
-    rule_table = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("rule"),
-                F.lit(licence).alias("licence"),
-                F.lit("," + ",".join(_expanded(parts, sentences)) + ",").alias("ids"),
-            )
-            for name, licence, parts in rules
-        ]
-    )
     text = text_or_empty()
     unwrapped = F.regexp_replace(F.regexp_replace(text, PARAGRAPH, "\u2029"), LINE_JOIN, " ")
     read = docs.select(
@@ -169,9 +159,14 @@ def scan_licences(docs: DataFrame, sentences: dict[str, str] | None = None, rule
         _sentence_ids(F.translate(unwrapped, "\u2029", "\n"), known).alias("joined"),
     )
     joined = lambda c: F.concat(F.lit(","), F.array_join(c, ","), F.lit(","))
-    matched = read.withColumns({"a": joined("lines"), "b": joined("joined")}).withColumn(
-        "hits", F.filter(rule_table, lambda r: F.contains(F.col("a"), r["ids"]) | F.contains(F.col("b"), r["ids"]))
-    )
+    matched = read.withColumns({"a": joined("lines"), "b": joined("joined")})
+    # One test per rule, not a lambda over a rule table: a lambda would work out `a` and `b` for each rule anew.
+    tests = []
+    for name, licence, parts in rules:
+        ids = F.lit("," + ",".join(_expanded(parts, sentences)) + ",")
+        hit = F.contains(F.col("a"), ids) | F.contains(F.col("b"), ids)
+        tests.append(F.when(hit, F.struct(F.lit(name).alias("rule"), F.lit(licence).alias("licence"))))
+    matched = matched.withColumn("hits", F.filter(F.array(*tests), lambda r: r.isNotNull()))
     names = F.transform("hits", lambda r: r["rule"])
     for weaker, stronger in moot.items():
         matched = matched.withColumn(

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import content_sort, licence_rules, sharding
+from cartwise.llm import content_sort, licence_rules, sharding, trie_bpe
 from cartwise.llm.shared import table
 
 SHARDS = 24
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +36,17 @@ def op2_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.mark_copies(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document to BPE ids and back."""
+    coded = trie_bpe.encode_decode(table(spark, sf_dir, "documents"), WORD_BPE)
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op7_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of every document by sentence rules."""
     return licence_rules.scan_licences(table(spark, sf_dir, "documents"))
@@ -55,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             op1_virtual_slots,
             op2_content_sort,
+            op3_trie_bpe,
             op7_licence_rules,
         )
     }
