@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import content_sort, licence_rules, sharding, trie_bpe
+from cartwise.llm import content_sort, licence_rules, sharding, simple8b, trie_bpe
 from cartwise.llm.shared import table
 
 SHARDS = 24
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +48,12 @@ def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document in Simple-8b files, read back from them."""
+    folder, manifest = simple8b.write_ids(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2)
+    return simple8b.read_ids(spark, folder, manifest)
+
+
 def op7_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of every document by sentence rules."""
     return licence_rules.scan_licences(table(spark, sf_dir, "documents"))
@@ -69,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op1_virtual_slots,
             op2_content_sort,
             op3_trie_bpe,
+            op5_simple8b,
             op7_licence_rules,
         )
     }

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,3 +55,48 @@ def partitions(spark: SparkSession) -> int:
 
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def map_batches(
+    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """`mapInArrow` with this package made known to the Python workers of all executors."""
+    context = df.sparkSession.sparkContext
+    if not getattr(context, "cartwise_shipped", False):
+        top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = os.path.join(tempfile.mkdtemp(prefix="cartwise-"), "cartwise_package.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(top):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.join("cartwise", os.path.relpath(full, top)))
+        context.addPyFile(path)
+        context.cartwise_shipped = True
+    return df.mapInArrow(work, schema)
+
+
+def type_of(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
+def open_store(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a folder or file name, for tasks that write formats Spark has no writer for."""
+    return fs.FileSystem.from_uri(uri)
+
+
+SLICE_BYTES = 4 << 20  # text that a Python worker takes at a time
+
+
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about `limit` bytes of text each; a longer text is a part of its own."""
+    if batch.num_rows == 0:
+        return
+    lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    start = size = 0
+    for i, n in enumerate(lengths):
+        if size and size + n > limit:
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += n
+    yield batch.slice(start)

@@ -26,11 +26,12 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from cartwise.llm.shared import map_batches, slices, type_of
+
 END = "</w>"
 NEVER = 1 << 60
 KEPT_WORDS = 300_000  # words per cache generation
 KEPT_PAIRS = 1_000_000
-SLICE_BYTES = 4 << 20  # text that is held as words at a time
 
 
 class TrieBpe:
@@ -258,20 +259,6 @@ def _codec(spec: str) -> TextCodec:
     return TextCodec(spec)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about `limit` bytes of text each; a longer text is a part of its own."""
-    if batch.num_rows == 0:
-        return
-    lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
-    start = size = 0
-    for i, n in enumerate(lengths):
-        if size and size + n > limit:
-            yield batch.slice(start, i - start)
-            start, size = i, 0
-        size += n
-    yield batch.slice(start)
-
-
 def encode_decode(docs: DataFrame, tokenizer_file: str) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit), n_tokens, decoded. The vocabulary file is read by the
     driver and sent to the executors; its size does not depend on the corpus."""
@@ -294,7 +281,8 @@ def encode_decode(docs: DataFrame, tokenizer_file: str) -> DataFrame:
                     names,
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        work, f"doc_id {kind}, ids binary, n_tokens long, decoded string"
+    return map_batches(
+        docs.select("doc_id", "text"),
+        work,
+        f"doc_id {type_of(docs, 'doc_id')}, ids binary, n_tokens long, decoded string",
     )
