@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import content_sort, licence_rules, sharding, simple8b, trie_bpe
+from cartwise.llm import content_sort, licence_rules, minmax, sharding, simple8b, trie_bpe, winnowing
 from cartwise.llm.shared import table
 
 SHARDS = 24
@@ -54,11 +54,29 @@ def op5_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.read_ids(spark, folder, manifest)
 
 
+def op6_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 3-word shingles, similarity 0.85."""
+    return minmax.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op7_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of every document by sentence rules."""
     return licence_rules.scan_licences(table(spark, sf_dir, "documents"))
 
 
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside 10-word windows of benchmark items."""
+    found = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 OP2_SQL = """
 SELECT doc_id,
     max(doc_id) OVER g AS keep_id,
@@ -77,7 +95,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op2_content_sort,
             op3_trie_bpe,
             op5_simple8b,
+            op6_minmax,
             op7_licence_rules,
+            op8_winnowing,
         )
     }
 
