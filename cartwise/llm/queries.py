@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import content_sort, licence_rules, minmax, sharding, simple8b, trie_bpe, winnowing
+from cartwise.llm import (
+    content_sort,
+    licence_rules,
+    minmax,
+    sharding,
+    simple8b,
+    trie_bpe,
+    warc_chunks,
+    winnowing,
+)
 from cartwise.llm.shared import table
 
 SHARDS = 24
@@ -77,6 +86,12 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records, read back from the archives."""
+    folder, manifest = warc_chunks.write_archives(table(spark, sf_dir, "pages"))
+    return warc_chunks.records(warc_chunks.read_chunks(spark, folder, manifest, with_data=False))
+
+
 OP2_SQL = """
 SELECT doc_id,
     max(doc_id) OVER g AS keep_id,
@@ -98,6 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op6_minmax,
             op7_licence_rules,
             op8_winnowing,
+            op10_warc_chunks,
         )
     }
 
