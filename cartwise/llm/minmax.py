@@ -276,3 +276,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(False)).alias("kept"),
     )
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, the one of the smallest identifier, with the columns of the input.
+    Rows without words or identifier stay; rows are told by their identifier."""
+    found = near_duplicates(docs, size, percent)
+    gone = found.where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")

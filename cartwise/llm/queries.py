@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.llm import (
+    centroids,
     content_sort,
     licence_rules,
     minmax,
@@ -46,17 +47,21 @@ def op2_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.mark_copies(table(spark, sf_dir, "documents"), keep="largest")
 
 
-def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document to BPE ids and back."""
-    coded = trie_bpe.encode_decode(table(spark, sf_dir, "documents"), WORD_BPE)
+def token_digests(coded: DataFrame, *more: str) -> DataFrame:
     return coded.select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        *more,
     )
 
 
+def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document to BPE ids and back."""
+    return token_digests(trie_bpe.encode_decode(table(spark, sf_dir, "documents"), WORD_BPE))
+
+
 def op5_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document in Simple-8b files, read back from them."""
     folder, manifest = simple8b.write_ids(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2)
@@ -86,6 +91,13 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; every fifth document by checksum is held out of the training."""
+    docs = table(spark, sf_dir, "documents")
+    found = centroids.identify(docs, centroids.fit(docs))
+    return found.select("doc_id", centroids.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op10_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as WARC records, read back from the archives."""
     folder, manifest = warc_chunks.write_archives(table(spark, sf_dir, "pages"))
@@ -113,6 +125,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op6_minmax,
             op7_licence_rules,
             op8_winnowing,
+            op9_centroids,
             op10_warc_chunks,
         )
     }

@@ -268,3 +268,10 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         )
     )
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows without a hit word, with the columns of the input. Rows are told by their identifier."""
+    found = decontaminate(docs, items)
+    hit = found.where("n_hit > 0").select(F.col("doc_id").alias("hit_id")).distinct()
+    return docs.join(hit, docs["doc_id"] == hit["hit_id"], "left_anti")
