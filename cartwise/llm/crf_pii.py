@@ -1,0 +1,432 @@
+"""Personal data: exact base patterns, and a linear-chain conditional random field over word shapes.
+
+Base matches of emails, IP addresses, card numbers and phone numbers follow fixed patterns and are never
+changed. A linear-chain CRF, trained on the small labelled table below, adds spans that the patterns leave
+out (national phone numbers, spelled-out addresses, keys, identity numbers). Its features are the shape of a
+word, its marks and the words beside it; labels are begin and inside of each kind, and outside.
+
+Only words with a digit, an at sign or a bracketed at or dot can carry a label other than outside. So a text
+falls apart into runs of such words between plain ones, and decoding the runs alone is the exact Viterbi path
+of the whole text. Runs of a batch are decoded side by side in numpy, in order of length; a run of more than
+RUN words is decoded with the same recursion in one row of the batch.
+
+Defined cases: null and empty texts have no spans; repeated rows give repeated results; an empty table gives
+no rows; other columns are ignored. Offsets count code points, the end is exclusive.
+"""
+
+from __future__ import annotations
+
+import functools
+import re
+from collections.abc import Iterator
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+from cartwise.llm.shared import map_batches, slices, type_of
+
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "id", "key")  # in the order of results
+LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
+
+#: The labelled table: text with [kind:span] marks. Small on purpose, and fixed.
+LABELLED = (
+    "call me at [phone:(555) 123-4567] after six",
+    "phone [phone:555-123-4567] or mail",
+    "tel. [phone:(743) 555-3824] now",
+    "her number is [phone:415 555 0133] at home",
+    "fax: [phone:555.867.5309] please",
+    "reach us under [phone:+1 (521) 555-6210] today",
+    "dial [phone:+44 20 7946 0958] for help",
+    "mobile [phone:0171 5550 123] works",
+    "the office [phone:(202) 555-0147], room two",
+    "call [phone:1-800-555-0199] toll free",
+    "write to [email:anna.smith@example.com] soon",
+    "mail [email:bob_99@mail3.example.org] today",
+    "contact [email:jo@example] inside",
+    "send it to [email:max(at)example.com] please",
+    "mail [email:eva[at]example[dot]org] for it",
+    "[email:admin@localhost] gets it",
+    "the server [ip:192.168.0.14] is down",
+    "from [ip:10.0.0.7] to [ip:172.16.254.1] only",
+    "host [ip:8.8.8.8:53] answers",
+    "pays with [card:4111 1111 1111 1111] today",
+    "card [card:5500-0000-0000-0004] expired",
+    "number [card:4012888888881881] was used",
+    "the card [card:340000000000009] is blue",
+    "ssn [id:078-05-1120] on file",
+    "his social security number is [id:219-09-9999] now",
+    "ssn: [id:457-55-5462] was lost",
+    "token [key:24be64439e3e49cf46b2d7c90f3602a3d0b907ff] leaked",
+    'api_key = "[key:f33e61083db5dbdf4bd2369d2f80176e57f7fda2]"',
+    "secret [key:9f86d081884c7d659a2feaa0c55ad015a3bf4f1b] was found",
+    'key "[key:11acdfb36bb72224148e6160f674b4be45601bff]"',
+    "in 2019 there were 3,400 people",
+    "licensed under the apache license, version 2.0.",
+    "license, version 3. and more",
+    "licensed under cc by-nc 4.0.",
+    "see section 3.2.1 of the paper",
+    "version 10.4.12 came in 2021",
+    "on 2024-01-15 at 10:30 we met",
+    "the 1st and 2nd of May 1998",
+    "it cost $1,250.99 or 1.100 euros",
+    "pages 12-17 and 230-245 are gone",
+    "he was 34 and she 29 years old",
+    "room 101, floor 3, 20% off",
+    "order 2123465659789240 was sent",
+    "number 4785380592391140 is no card",
+    "part 8007782375593430 in stock",
+    "item 12345678 and 99887766",
+    "call 5 people in 10 days",
+    "tel aviv has 400000 people",
+    "isbn 978-3-16-148410-0 is a book",
+    "a b2 c3d4 e5 mp3 x86 h264",
+    "chapter 5 : 12 - 14",
+    "score 3-2 after 90 minutes",
+    "it is @ home",
+    "follow @name on the net",
+    "1984 1985 1986 1987",
+    "10 20 30 40 50 60 70 80",
+    "5551234 is a number",
+    "0.5 0.25 0.125 of all",
+    "q1 2020 and q2 2021",
+    "build 20210314.7 passed",
+)
+
+WORD = re.compile("[^ \t\n\r\x0b\x0c]+")
+MARK = re.compile("[0-9@]|[(\\[](?:at|dot)[)\\]]")
+CORE = re.compile("[0-9A-Za-z+@(\\[].*[0-9A-Za-z)\\]]|[0-9A-Za-z@]", re.S)
+RUN = 64
+
+
+class Span(NamedTuple):
+    kind: str
+    start: int
+    end: int
+
+
+# --- Base patterns ------------------------------------------------------------------------------------
+
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+HOST = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+CARD = re.compile("[0-9](?:[ -]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+DIGIT = re.compile("[0-9]")
+
+
+def luhn(digits: str) -> bool:
+    total = sum(map(int, digits[-1::-2])) + sum(sum(divmod(2 * int(d), 10)) for d in digits[-2::-2])
+    return total % 10 == 0
+
+
+def _emails(text: str) -> Iterator[Span]:
+    """Leftmost matches, found from the at signs: each run of local characters ends at one of them at most."""
+    done, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in LOCAL:
+            start -= 1
+        match = HOST.match(text, at) if start < at else None
+        if match:
+            yield Span("email", start, match.end())
+            done = match.end()
+        at = text.find("@", max(at + 1, done))
+
+
+def base_spans(text: str) -> list[Span]:
+    """By kind in the order of BASE_KINDS, then by start."""
+    out = list(_emails(text)) if "@" in text else []
+    if DIGIT.search(text):
+        for m in IP.finditer(text):
+            parts = [p.lstrip("0") or "0" for p in m[0].split(".")]
+            if all(len(p) <= 3 and int(p) <= 255 for p in parts):
+                out.append(Span("ip", m.start(), m.end()))
+        for m in CARD.finditer(text):
+            digits = m[0].replace(" ", "").replace("-", "")
+            if 16 <= len(digits) <= 19 and luhn(digits):
+                out.append(Span("card", m.start(), m.end()))
+        if "+" in text:
+            for m in PHONE.finditer(text):
+                if 8 <= sum("0" <= c <= "9" for c in m[0]) <= 15:
+                    out.append(Span("phone", m.start(), m.end()))
+    return out
+
+
+# --- Features -----------------------------------------------------------------------------------------
+
+
+def shape(word: str) -> str:
+    """Runs of digits and letters with their length up to four (then 5 and 9 stand for more), other signs."""
+    out, last, run = [], "", 0
+    for c in [*word[:64], ""]:
+        kind = "d" if "0" <= c <= "9" else "a" if c.isalpha() else c
+        if kind == last and kind in ("d", "a"):
+            run += 1
+            continue
+        if last:
+            out.append(last if run == 0 else f"{last}{run if run < 5 else 5 if run < 9 else 9}")
+        last, run = kind, 1 if kind in ("d", "a") else 0
+    return "".join(out)
+
+
+@functools.lru_cache(maxsize=65536)
+def word_features(word: str) -> tuple[str, ...]:
+    core = CORE.search(word)
+    core = core[0] if core else word
+    digits = re.sub("[^0-9]", "", core[:64])
+    found = [
+        "bias",
+        f"shape={shape(core)}",
+        f"signs={re.sub('[0-9A-Za-z]+', 'w', core)[:12]}",
+        f"digits={min(len(digits), 20)}",
+        f"first={core[0] if not core[0].isalnum() else 'w'}",
+        f"end={word[-1] if not word[-1].isalnum() else 'w'}",
+    ]
+    if len(digits) == len(core) and 13 <= len(digits) <= 19:
+        found.append(f"number luhn={luhn(digits)}")
+    if re.fullmatch("[0-9a-f]{32,64}|[0-9A-F]{32,64}", core) and re.search("[a-fA-F]", core) and digits:
+        found.append("hex")
+    if "@" in core[1:-1] or re.search(r"\w[(\[]at[)\]]\w", core):
+        found.append("has at")
+    parts = core.split(":")[0].split(".")
+    if len(parts) == 4 and all(p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts):
+        found.append("octets")
+    if re.fullmatch("[0-9]{3}-[0-9]{2}-[0-9]{4}", core):
+        found.append("three groups")
+    if re.fullmatch(r"1?[ .-]?[(]?[0-9]{3}[)]?[.-][0-9]{3}[.-][0-9]{4}", core):
+        found.append("ten digits in groups")
+    return tuple(found)
+
+
+def _beside(word: str | None) -> str:
+    """A neighbour as a feature: plain words as they are, others by their shape."""
+    if word is None:
+        return "none"
+    return re.sub("[^a-z]", "", word.lower()[:24]) if not MARK.search(word) else shape(word[:24])
+
+
+def run_features(words: list[str], before: str | None, after: str | None) -> list[list[str]]:
+    names = [_beside(before), *map(_beside, words), _beside(after)]
+    return [
+        [*word_features(w), f"before={names[i]}", f"after={names[i + 2]}"] for i, w in enumerate(words)
+    ]
+
+
+# --- The chain ----------------------------------------------------------------------------------------
+
+
+class Crf(NamedTuple):
+    index: dict[str, int]
+    weights: np.ndarray  # feature x label
+    moves: np.ndarray  # (label or start) x (label or end)
+
+    def emissions(self, features: list[list[str]]) -> np.ndarray:
+        return np.stack(
+            [self.weights[[self.index[f] for f in fs if f in self.index]].sum(axis=0) for fs in features]
+        )
+
+
+def allowed_moves() -> np.ndarray:
+    """0 where a move is allowed, else minus infinity: inside follows begin or inside of its kind only. The
+    last row is the start, the last column the end of a run; beyond both everything is outside."""
+    n = len(LABELS)
+    moves = np.zeros((n + 1, n + 1))
+    for j, name in enumerate(LABELS):
+        if name[0] == "I":
+            moves[:, j] = -np.inf
+            moves[[j - 1, j], j] = 0
+    return moves
+
+
+def viterbi(emissions: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Best labels of runs of equal length: emissions are (runs, words, labels)."""
+    runs, length, n = emissions.shape
+    best = moves[n, :n] + emissions[:, 0]
+    back = np.zeros((runs, length, n), np.int8)
+    for t in range(1, length):
+        through = best[:, :, None] + moves[None, :n, :n]
+        back[:, t] = through.argmax(axis=1)
+        best = through.max(axis=1) + emissions[:, t]
+    labels = np.zeros((runs, length), np.int8)
+    labels[:, -1] = (best + moves[:n, n]).argmax(axis=1)
+    for t in range(length - 1, 0, -1):
+        labels[:, t - 1] = back[np.arange(runs), t, labels[:, t]]
+    return labels
+
+
+def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
+    top = x.max(axis=axis, keepdims=True)
+    return (np.log(np.exp(x - top).sum(axis=axis, keepdims=True)) + top).squeeze(axis)
+
+
+def _gradient(crf: Crf, rows: list[list[int]], labels: list[int], counts: tuple[np.ndarray, np.ndarray]) -> None:
+    """Adds observed minus expected counts of one run (forward and backward in logarithms)."""
+    n, length = len(LABELS), len(rows)
+    emit = np.stack([crf.weights[r].sum(axis=0) for r in rows])
+    inner = np.maximum(crf.moves, -1e9)
+    fore, rear = np.zeros((length, n)), np.zeros((length, n))
+    fore[0] = inner[n, :n] + emit[0]
+    for t in range(1, length):
+        fore[t] = _logsum(fore[t - 1][:, None] + inner[:n, :n], 0) + emit[t]
+    rear[-1] = inner[:n, n]
+    for t in range(length - 2, -1, -1):
+        rear[t] = _logsum(inner[:n, :n] + (emit[t + 1] + rear[t + 1])[None, :], 1)
+    total = _logsum(fore[-1] + rear[-1], 0)
+    of_words, of_moves = counts
+    for t, r in enumerate(rows):
+        seen = -np.exp(fore[t] + rear[t] - total)
+        seen[labels[t]] += 1
+        of_words[r] += seen
+        if t:
+            of_moves[:n, :n] -= np.exp(fore[t - 1][:, None] + inner[:n, :n] + (emit[t] + rear[t])[None] - total)
+            of_moves[labels[t - 1], labels[t]] += 1
+    of_moves[n, :n] -= np.exp(inner[n, :n] + emit[0] + rear[0] - total)
+    of_moves[n, labels[0]] += 1
+    of_moves[:n, n] -= np.exp(fore[-1] + inner[:n, n] - total)
+    of_moves[labels[-1], n] += 1
+
+
+class Run(NamedTuple):
+    words: list[str]
+    starts: list[int]
+    before: str | None
+    after: str | None
+
+
+def runs_of(text: str) -> Iterator[Run]:
+    """Runs of words that may carry a label, with the plain words beside them."""
+    if not MARK.search(text):
+        return
+    words: list[str] = []
+    starts: list[int] = []
+    before = last = None
+    for m in WORD.finditer(text):
+        w = m[0]
+        if MARK.search(w):
+            if not words:
+                before = last
+            words.append(w)
+            starts.append(m.start())
+        elif words:
+            yield Run(words, starts, before, w)
+            words, starts = [], []
+        last = w
+    if words:
+        yield Run(words, starts, before, None)
+
+
+def _labelled_runs() -> Iterator[tuple[Run, list[int]]]:
+    for marked in LABELLED:
+        text, spans, at = "", [], 0
+        for m in re.finditer(r"\[(email|ip|card|phone|id|key):((?:[^\[\]]|\[at\]|\[dot\])+)\]", marked):
+            text += marked[at : m.start()]
+            spans.append((m[1], len(text), len(text) + len(m[2])))
+            text, at = text + m[2], m.end()
+        text += marked[at:]
+        for run in runs_of(text):
+            labels = []
+            for word, start in zip(run.words, run.starts, strict=True):
+                kind = next(((k, s) for k, s, e in spans if s < start + len(word) and start < e), None)
+                if kind is None:
+                    labels.append(0)
+                else:
+                    first = start <= kind[1] < start + len(word)
+                    labels.append(LABELS.index(f"{'B' if first else 'I'}-{kind[0]}"))
+            yield run, labels
+
+
+def train(rounds: int = 150, step: float = 0.3, penalty: float = 0.02) -> Crf:
+    """Maximum likelihood with a quadratic penalty, by Adagrad over the whole table."""
+    data = list(_labelled_runs())
+    features = [run_features(r.words, r.before, r.after) for r, _ in data]
+    names = sorted({f for run in features for fs in run for f in fs})
+    index = {f: i for i, f in enumerate(names)}
+    rows = [[[index[f] for f in fs] for fs in run] for run in features]
+    crf = Crf(index, np.zeros((len(names), len(LABELS))), allowed_moves())
+    open_ = np.isfinite(crf.moves)
+    squares = [np.full_like(crf.weights, 1e-8), np.full_like(crf.moves, 1e-8)]
+    for _ in range(rounds):
+        counts = (np.zeros_like(crf.weights), np.zeros_like(crf.moves))
+        for r, (_, labels) in zip(rows, data, strict=True):
+            _gradient(crf, r, labels, counts)
+        counts[0][:] -= penalty * crf.weights
+        counts[1][open_] -= penalty * crf.moves[open_]
+        counts[1][~open_] = 0
+        for weights, gradient, square in zip(crf[1:], counts, squares, strict=True):
+            square += gradient**2
+            weights += step * gradient / np.sqrt(square)
+    return crf
+
+
+def added_spans(crf: Crf, texts: list[str]) -> list[list[Span]]:
+    """Spans that the chain finds in each text."""
+    out: list[list[Span]] = [[] for _ in texts]
+    by_length: dict[int, list[tuple[int, Run]]] = {}
+    for i, text in enumerate(texts):
+        for run in runs_of(text):
+            by_length.setdefault(len(run.words), []).append((i, run))
+    for length, found in by_length.items():
+        many = max(1, 4096 // length)
+        for start in range(0, len(found), many):
+            part = found[start : start + many]
+            emissions = np.stack([crf.emissions(run_features(r.words, r.before, r.after)) for _, r in part])
+            for (i, run), labels in zip(part, viterbi(emissions, crf.moves), strict=True):
+                out[i] += _spans(run, labels.tolist())
+    return out
+
+
+def _spans(run: Run, labels: list[int]) -> Iterator[Span]:
+    t = 0
+    while t < len(labels):
+        name = LABELS[labels[t]]
+        last = t
+        if name != "O":
+            while last + 1 < len(labels) and LABELS[labels[last + 1]] == f"I-{name[2:]}":
+                last += 1
+            first_core, last_core = CORE.search(run.words[t]), CORE.search(run.words[last])
+            if first_core and last_core:
+                yield Span(name[2:], run.starts[t] + first_core.start(), run.starts[last] + last_core.end())
+        t = last + 1
+
+
+def merged(base: list[Span], more: list[Span]) -> list[Span]:
+    """All base spans, and of the others those that touch no base span, by kind and then start."""
+    clear, at = [], 0
+    covered = sorted((s.start, s.end) for s in base)
+    furthest: list[int] = []
+    for _, end in covered:
+        furthest.append(max(end, furthest[-1] if furthest else end))
+    for s in sorted(more, key=lambda s: s.start):
+        while at < len(covered) and covered[at][0] < s.end:
+            at += 1
+        if at == 0 or furthest[at - 1] <= s.start:
+            clear.append(s)
+    return sorted([*base, *clear], key=lambda s: (KINDS.index(s.kind), s.start, s.end))
+
+
+SPANS = "array<struct<kind string, start long, end long>>"
+_KIND = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+
+
+def find_pii(docs: DataFrame, crf: Crf | None = None) -> DataFrame:
+    """doc_id, base (spans of the patterns) and spans (base and added ones) of each row."""
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(crf or train()))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Crf(*sent.value)
+        for batch in batches:
+            for part in slices(batch):
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                base = [base_spans(t) for t in texts]
+                spans = [merged(b, m) for b, m in zip(base, added_spans(known, texts), strict=True)]
+                rows = [[[s._asdict() for s in found] for found in column] for column in (base, spans)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), *(pa.array(r, _KIND) for r in rows)], ["doc_id", "base", "spans"]
+                )
+
+    schema = f"doc_id {type_of(docs, 'doc_id')}, base {SPANS}, spans {SPANS}"
+    schema = schema.replace("kind string", "kind: string").replace("start long", "start: long").replace("end long", "`end`: long")
+    return map_batches(docs.select("doc_id", "text"), work, schema)

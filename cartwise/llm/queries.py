@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cartwise.llm import (
     centroids,
     content_sort,
+    crf_pii,
     licence_rules,
     minmax,
     sharding,
@@ -62,6 +63,21 @@ def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(trie_bpe.encode_decode(table(spark, sf_dir, "documents"), WORD_BPE))
 
 
+def op4_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base patterns and what the trained chain adds."""
+    found = crf_pii.find_pii(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    joined = lambda c: F.array_join(
+        F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in crf_pii.BASE_KINDS],
+        F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
+
+
 def op5_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document in Simple-8b files, read back from them."""
     folder, manifest = simple8b.write_ids(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2)
@@ -121,6 +137,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op1_virtual_slots,
             op2_content_sort,
             op3_trie_bpe,
+            op4_crf_pii,
             op5_simple8b,
             op6_minmax,
             op7_licence_rules,
