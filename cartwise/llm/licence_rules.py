@@ -16,6 +16,7 @@ an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,23 +120,26 @@ def normal_form(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
 
 
+def _pieces(text: str) -> list[str]:
+    return [normal_form(p) for p in re.sub(SENTENCE_END, r"\1" + "\n", text).split("\n")]
+
+
 def _known(sentences: dict[str, str]) -> dict[str, str]:
     """Normalised piece -> identifier. A sentence with an end inside is known by the pieces it is cut into:
-    the last one carries the identifier, the others `identifier/1`, `/2`, ..."""
+    the last one carries the identifier, the others `identifier/1`, `/2`, ...; a piece that several sentences
+    have keeps its first identifier."""
     known: dict[str, str] = {}
     for name, text in sentences.items():
-        pieces = [normal_form(p) for p in re.sub(SENTENCE_END, r"\1" + "\n", text).split("\n")]
-        for i, piece in enumerate(pieces, 1):
-            known[piece] = name if i == len(pieces) else f"{name}/{i}"
+        *heads, last = _pieces(text)
+        for i, piece in enumerate(heads, 1):
+            known.setdefault(piece, f"{name}/{i}")
+        known.setdefault(last, name)
     return known
 
 
 def _expanded(rule: tuple[str, ...], sentences: dict[str, str]) -> list[str]:
-    names: list[str] = []
-    for name in rule:
-        pieces = re.sub(SENTENCE_END, r"\1" + "\n", sentences[name]).count("\n")
-        names += [f"{name}/{i + 1}" for i in range(pieces)] + [name]
-    return names
+    known = _known(sentences)
+    return [known[piece] for name in rule for piece in _pieces(sentences[name])]
 
 
 def _sentence_ids(text: Column, known: Column) -> Column:
@@ -145,6 +149,10 @@ def _sentence_ids(text: Column, known: Column) -> Column:
     return F.filter(ids, lambda x: x.isNotNull())
 
 
+def _is_not(rule: str) -> Callable[[Column], Column]:
+    return lambda hit: hit["rule"] != rule
+
+
 def scan_licences(docs: DataFrame, sentences: dict[str, str] | None = None, rules=RULES, moot=None) -> DataFrame:
     """doc_id, sentence_ids (of the reading with more known sentences, the line reading at a tie), n_known,
     rules and licences, each sorted and joined by commas."""
@@ -169,11 +177,9 @@ def scan_licences(docs: DataFrame, sentences: dict[str, str] | None = None, rule
     matched = matched.withColumn("hits", F.filter(F.array(*tests), lambda r: r.isNotNull()))
     names = F.transform("hits", lambda r: r["rule"])
     for weaker, stronger in moot.items():
+        others = F.filter("hits", _is_not(weaker))
         matched = matched.withColumn(
-            "hits",
-            F.when(
-                F.array_contains(names, stronger), F.filter("hits", lambda r, w=weaker: r["rule"] != w)
-            ).otherwise(F.col("hits")),
+            "hits", F.when(F.array_contains(names, stronger), others).otherwise(F.col("hits"))
         )
     best = F.when(F.size("joined") > F.size("lines"), F.col("joined")).otherwise(F.col("lines"))
     return matched.select(
