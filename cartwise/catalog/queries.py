@@ -73,7 +73,7 @@ class Inputs:
 
     @cached_property
     def staged_actions(self) -> DataFrame:
-        return stage_actions(self.actions.drop("value"))
+        return stage_actions(self.actions.drop("value", "ts"), cfg.STAGED)
 
     def context(
         self, window: WindowSpec = cfg.WINDOW, decayed: bool = False, staged: bool = False
@@ -108,11 +108,12 @@ class Inputs:
 
 
 def _months(x: Inputs) -> DataFrame:
-    """The log cut into thirds and merged again."""
-    raw = x.tables.raw_actions().drop("value")
-    cuts = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"]
-    parts = [scan_window(raw, WindowSpec.of(a, b)) for a, b in zip(cuts, cuts[1:])]
-    return union_months(parts)
+    """The log cut into three parts, the first and the last without an outer bound, and merged again."""
+    raw = x.tables.raw_actions().drop("value", "ts")
+    first, second = (F.expr(f"TIMESTAMP_NTZ'{day} 00:00:00'") for day in ("2024-01-11", "2024-01-21"))
+    time = F.col("time")
+    parts = [time < first, (time >= first) & (time < second), (time >= second) | time.isNull()]
+    return union_months([raw.filter(part) for part in parts])
 
 
 def _keyed_pairs(x: Inputs) -> DataFrame:

@@ -10,6 +10,8 @@ CATE = 8
 WINDOW = WindowSpec.of("2024-01-01", "2024-01-25")
 SUB = WINDOW.back(days=7)
 LABEL = WINDOW.ahead(days=5)
+# The longest window that a feature of any split reaches back to.
+STAGED = WINDOW.back(days=65)
 # The curve is learned one split earlier, so its label window ends where the features end.
 CURVE_WINDOW = WindowSpec.of("2024-01-01", "2024-01-20")
 CURVE_LABEL = CURVE_WINDOW.ahead(days=5)
@@ -17,7 +19,7 @@ DEFAULT_REG, REG_CUTOFF = datetime(1995, 1, 1), datetime(1996, 1, 1)
 COMMENT_END = datetime(2001, 6, 1)
 # Events of one user lie hours apart here, so dwell time uses a six-hour gap besides the default.
 MAX_GAP = 21600
-TOP_RANKED = 50
+TOP_RANKED = 500
 # Short model settings; the tuned ones are parameters of the library.
 MODEL_ROUNDS, MODEL_FOLDS = 5, 2
 TOPICS, TOPIC_ROUNDS = 3, 5

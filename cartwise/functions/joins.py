@@ -5,36 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 32
 _SALT = "_salt"
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate, the figure Spark's own broadcast choice is based on."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    size = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
-    return int(size)
-
-
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
     key: str,
     spread_by: list[str],
     how: str = "left",
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Joins `rows` with a lookup of unique keys.
 
-    A lookup below the session's broadcast limit is left to Spark, which broadcasts it. A larger one is
-    repeated once per salt and joined on (key, salt), so that the rows of one key spread over `salts`
-    tasks; `spread_by` are the columns the salt is hashed from. Every row meets its key either way.
+    A plain join, which adaptive execution turns into a broadcast or splits where it is skewed. With `salts`
+    the lookup is repeated once per salt and joined on (key, salt), so that the rows of one key spread over
+    that many tasks; `spread_by` are the columns the salt is hashed from. Every row meets its key either way.
     """
-    if estimated_bytes(lookup) <= broadcast_limit(lookup):
+    if salts is None:
         return rows.join(lookup, key, how)
     salted_rows = rows.withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     repeated = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from cartwise.functions.aggregates import count_where, is_type
 from cartwise.functions.exprs import aggregate, project
 from cartwise.functions.ratios import ratio_or_null, ratio_or_one
+from cartwise.operators.rollup import rollup, rows_where, within
 from cartwise.schema import ALL_TYPES, NON_BUY_TYPES, TIME_ZONES, USER_TOTAL_TYPES, ActionType
 from cartwise.windows import Suffixes, WindowSpec, scan_window
 
@@ -24,16 +25,16 @@ def action_counts(
 def action_counts_multi(
     actions: DataFrame, suffixes: Suffixes, keys: list[str], types=ALL_TYPES, cate: int | None = None
 ) -> DataFrame:
-    """`cnt_<type>_<window>` for many trailing windows in one pass.
+    """`cnt_<type>_<window>` for many trailing windows in one pass over counts per type and age band.
 
     A window in which the key has no row at all gives NULL, as an absent key would after a left join.
     """
     exprs = {}
     for label in suffixes.labels:
-        seen = suffixes.within(label)
+        seen = within(suffixes, label)
         for t in types:
-            exprs[f"cnt_{t}_{label}"] = f"if(max({seen}), {count_where(is_type(t), seen)}, NULL)"
-    return aggregate(suffixes.scan(actions, cate), keys, exprs)
+            exprs[f"cnt_{t}_{label}"] = f"if(max({seen}), {rows_where(is_type(t), seen)}, NULL)"
+    return aggregate(rollup(suffixes.scan(actions, cate), suffixes, keys, []), keys, exprs)
 
 
 def time_zone_counts(

@@ -12,6 +12,8 @@ from cartwise.windows import HOUR, WindowSpec, age_seconds, scan_window
 
 CURVE_HOURS = 720
 
+MOST_HOURS = 10 * 366 * 24
+
 
 def decay_curve(
     actions: DataFrame, window: WindowSpec, buyers: DataFrame, cate: int, hours: int = CURVE_HOURS
@@ -48,16 +50,18 @@ def decay_curve(
     return share.select("time_dist", F.try_divide(F.col("share") - low, high - low).alias("weight"))
 
 
-def with_weights(rows: DataFrame, curve: DataFrame) -> DataFrame:
-    """Adds `weight` to rows that carry `age`: that of the hour distance, whole hours of age plus one.
+def with_weights(rows: DataFrame, curve: DataFrame, age: str = "age") -> DataFrame:
+    """Adds `weight` to rows with an age in whole seconds: that of the hour distance, whole hours plus one.
 
     Rows beyond the curve get NULL.
 
-    A curve has one row per hour distance (720 by default), which bounds the broadcast.
+    A curve has one row per hour distance (720 by default). Hours beyond MOST_HOURS are left out, which
+    bounds the broadcast whatever the caller passes.
     """
+    bounded = curve.where(f"time_dist BETWEEN 1 AND {MOST_HOURS}").groupBy("time_dist")
     return (
-        rows.withColumn("time_dist", F.expr(f"cast(age DIV {HOUR} AS INT) + 1"))
-        .join(F.broadcast(curve.select("time_dist", "weight")), "time_dist", "left")
+        rows.withColumn("time_dist", F.expr(f"cast({age} DIV {HOUR} AS INT) + 1"))
+        .join(F.broadcast(bounded.agg(F.first("weight").alias("weight"))), "time_dist", "left")
         .drop("time_dist")
     )
 

@@ -24,7 +24,7 @@ def fuse_rankings(pair_scores: DataFrame, user_scores: DataFrame, top_n: int = 5
     best = best_items(pair_scores)
     top_pairs = best.orderBy(F.desc("score"), "user_id", "sku_id").limit(top_n)
     top_users = user_scores.orderBy(F.desc("score"), "user_id").limit(top_n).select("user_id")
-    of_users = best.join(F.broadcast(top_users), "user_id", "left_semi")
+    of_users = best.join(top_users, "user_id", "left_semi")
     both = top_pairs.select("user_id", "sku_id", F.lit(0).alias("source")).unionByName(
         of_users.select("user_id", "sku_id", F.lit(1).alias("source"))
     )

@@ -36,7 +36,7 @@ class FeatureContext:
     log_start: datetime | None = None
 
     def weighted(self, rows: DataFrame) -> DataFrame:
-        return rows if self.curve is None else with_weights(rows, self.curve)
+        return rows if self.curve is None else with_weights(rows, self.curve, "whole_age")
 
     @property
     def end(self) -> datetime:

@@ -19,7 +19,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.sources.sinks import has_checkpoint_dir, materialise
+from cartwise.sources.sinks import materialise
 
 MISSING = -1.0
 LABEL, FEATURES, WEIGHT, FOLD = "label", "features", "row_weight", "fold"
@@ -91,7 +91,7 @@ def prepare(table: DataFrame, positive_weight: float = 1.0) -> DataFrame:
     rows = assembler(columns).transform(dense(table, columns)).withColumn(WEIGHT, weight)
     keys = [c for c in KEY_COLUMNS if c in table.columns]
     vectors = rows.select(*keys, WEIGHT, FEATURES)
-    return materialise(vectors) if has_checkpoint_dir(vectors) else vectors.persist()
+    return materialise(vectors)
 
 
 def train(table: DataFrame, params: BoostingParams) -> PipelineModel:

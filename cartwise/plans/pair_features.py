@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from cartwise.functions.aggregates import count_where, is_type
+from cartwise.functions.aggregates import is_type
 from cartwise.functions.exprs import Exprs, aggregate, project
 from cartwise.functions.joins import lookup_join
 from cartwise.functions.ratios import ratio_zero_as_one, zero_fill
@@ -62,7 +62,7 @@ def pair_block(ctx: FeatureContext) -> DataFrame:
     exprs: Exprs = {
         "cate": f"{int(ctx.cate)}",
         "brand": "max(brand)",
-        "p_age": "min(youngest)",
+        "p_age": "min(nearest)",
         "p_first": oldest_where(full),
         "p_last": youngest_where(full),
         "p_carts_full": rows_where(is_type(CART), full),
@@ -193,10 +193,6 @@ def ui_day_ratios(ctx: FeatureContext) -> DataFrame:
     return project(_full_pairs(ctx).join(uf.user_block(ctx), "user_id", "left"), PAIR, day_columns())
 
 
-def ui_multi_window_counts(ctx: FeatureContext) -> DataFrame:
-    return project(_seen(pair_block(ctx), COUNT_HOURS[-1] * HOUR), PAIR, count_columns())
-
-
 def ui_uc_totals(ctx: FeatureContext) -> DataFrame:
     pairs = _seen(pair_block(ctx), TOTAL_DAYS[-1] * DAY)
     return project(pairs.join(uf.user_block(ctx), "user_id", "left"), PAIR, total_columns())
@@ -239,8 +235,8 @@ def ui_browse_click(ctx: FeatureContext) -> DataFrame:
 
 def _brand_block(ctx: FeatureContext) -> DataFrame:
     s = Suffixes.days(ctx.end, BRAND_DAYS)
-    totals = {f"ub_total_{w}": count_where(s.within(w)) for w in s.labels}
-    return aggregate(s.scan(ctx.actions), ["user_id", "brand"], {"ub_age": "min(age)", **totals})
+    keys, totals = ["user_id", "brand"], {f"ub_total_{w}": rows_where(within(s, w)) for w in s.labels}
+    return aggregate(rollup(s.scan(ctx.actions), s, keys, []), keys, {"ub_age": "min(nearest)", **totals})
 
 
 def brand_share_columns() -> Exprs:
@@ -293,13 +289,15 @@ def add_brand_features(df: DataFrame, ctx: FeatureContext) -> DataFrame:
 
 
 def _candidate_pairs(ctx: FeatureContext) -> DataFrame:
-    """Pair block of pairs seen lately, with dwell and runs. All three are keyed by (user, item)."""
+    """Pair block of the candidate users' pairs seen lately, with dwell and runs, all keyed by (user, item)."""
+    ctx = uf.of_candidates(ctx)
     recent = _seen(pair_block(ctx), ctx.candidate_days * DAY)
     return recent.join(_pair_dwell(ctx), PAIR, "left").join(_pair_runs(ctx), PAIR, "left")
 
 
 def _user_side(ctx: FeatureContext) -> DataFrame:
-    """Candidate users with the denominators of the pair features. Buyers drop out in the join."""
+    """Candidate users with the denominators of the pair features."""
+    ctx = uf.of_candidates(ctx)
     return uf.recent_non_buyers(uf.user_block(ctx)).join(cate_dwell(ctx), "user_id", "left")
 
 
@@ -319,10 +317,10 @@ def pair_features(ctx: FeatureContext, positives: DataFrame | None = None) -> Da
 def _assembled(ctx: FeatureContext, users: DataFrame, extra: Exprs) -> DataFrame:
     """Pairs -> brand shares -> item -> brand -> user, each side assembled to one row per key first.
 
-    Only candidate rows move between the joins. A hot item or brand is spread by the lookup join; a user
-    owns at most the category's items, and adaptive execution splits that join when it is skewed.
+    Only candidate rows move between the joins. A user owns at most the category's items; adaptive execution
+    broadcasts small item and brand tables and splits a join on a hot key.
     """
-    pairs = _candidate_pairs(ctx).join(_brand_block(ctx), ["user_id", "brand"], "left")
+    pairs = _candidate_pairs(ctx).join(_brand_block(uf.of_candidates(ctx)), ["user_id", "brand"], "left")
     items = item_table(ctx).join(item_ops.sale_ratios(ctx.actions, ctx.end), "sku_id", "left")
     with_items = add_item_features(pairs, items)
     joined = add_brand_features(with_items, ctx).join(users, "user_id")

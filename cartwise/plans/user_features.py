@@ -6,6 +6,8 @@ column. Candidates, buyers and rule users are conditions on those aggregates rat
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,6 +93,15 @@ def user_block(ctx: FeatureContext) -> DataFrame:
     return aggregate(rollup(zoned, s, USER, ["here", "zone"]), USER, exprs)
 
 
+def of_candidates(ctx: FeatureContext) -> FeatureContext:
+    """The context with the candidates' part of the log: their rows are chosen by one narrow aggregate over
+    the last `candidate_days` before anything wide is computed or shuffled."""
+    recent = scan_window(ctx.actions, ctx.window.back(days=ctx.candidate_days), ctx.cate)
+    buys = aggregate(recent, USER, {"buys": f"count_if({is_type(BUY)})"})
+    candidates = buys.filter("buys = 0").select("user_id")
+    return replace(ctx, actions=ctx.actions.join(candidates, "user_id", "left_semi"))
+
+
 def recent_non_buyers(block: DataFrame) -> DataFrame:
     """Users active in the target category in the last `candidate_days` who did not buy there."""
     return block.filter("c_rows_lately > 0 AND c_buys_lately = 0")
@@ -225,6 +236,7 @@ def user_feature_columns() -> Exprs:
 def candidate_user_frame(ctx: FeatureContext) -> DataFrame:
     """The user block of the candidates with sequences, other purchases and attributes joined on."""
     base = user_base(ctx.users, ctx.end, ctx.default_reg, ctx.reg_cutoff)
+    ctx = of_candidates(ctx)
     return (
         recent_non_buyers(user_block(ctx))
         .join(sequence_block(ctx), "user_id", "left")

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Dimension files may come in GBK, which the CSV reader accepts only with this flag.
+    "spark.sql.legacy.javaCharsets": "true",
     # The assembled tables compile more classes than the default cache of 100 keeps, so that every run
     # would compile them again.
     "spark.sql.codegen.cache.maxEntries": "2000",

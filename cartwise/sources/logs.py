@@ -8,10 +8,6 @@ from pyspark.sql import types as T
 
 from cartwise import schema
 
-# Dimension files come in GBK, which Spark's CSV reader accepts only with this flag.
-_CHARSET_FLAG = "spark.sql.legacy.javaCharsets"
-
-
 def normalise_actions(raw: DataFrame) -> DataFrame:
     """Integer user ids and the quarter of the day; works on batch and streaming frames."""
     return raw.withColumn("user_id", F.col("user_id").cast("long")).withColumn(
@@ -45,9 +41,15 @@ def read_dimension_csv(
     """The declared columns of a user, product or comment file; further columns in it are dropped.
 
     The header decides the file's columns, so they are read as strings and cast by name. -1 style codes
-    keep their value; text that does not fit the declared type fails the query.
+    keep their value; text that does not fit the declared type and rows of another length fail the query.
+    Charsets beyond Spark's own list need `spark.sql.legacy.javaCharsets`, which `build_session` sets.
     """
-    if encoding.lower() not in ("utf-8", "us-ascii", "iso-8859-1"):
-        spark.conf.set(_CHARSET_FLAG, "true")
-    raw = spark.read.option("header", True).option("encoding", encoding).csv(path)
+    raw = (
+        spark.read.option("header", True)
+        .option("encoding", encoding)
+        .option("mode", "FAILFAST")
+        # Rows are parsed whole, so that a short row is noticed whatever columns are asked for.
+        .option("columnPruning", False)
+        .csv(path)
+    )
     return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema.fields])

@@ -48,7 +48,8 @@ class RetailTables:
         return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def raw_actions(self, window: WindowSpec | None = None) -> DataFrame:
-        """The log without the derived quarter of the day. A window filters at the scan."""
+        """The log without the derived quarter of the day. A window filters at the scan, as do later window
+        scans by way of `ts`. Events without an item number are dropped."""
         events = self._table("events")
         if window is not None:
             events = events.filter(window.contains("ts"))
@@ -60,12 +61,13 @@ class RetailTables:
             r"cast(regexp_extract(p_brand, r'Brand#(\d+)', 1) AS INT) AS brand",
         )
         # `props` is a flat object with one number; matching it is several times faster than parsing.
-        item = r"""cast(regexp_extract(props, r'"k"\s*:\s*(\d+)', 1) AS BIGINT)"""
+        item = r"""try_cast(regexp_extract(props, r'"k"\s*:\s*(\d+)', 1) AS BIGINT)"""
         keyed = events.selectExpr("*", f"{item} AS sku_id")
         joined = lookup_join(keyed, items, "sku_id", ["user_id", "ts"], how="inner")
         return joined.selectExpr(
             "user_id",
             "sku_id",
+            "ts",
             f"{whole_second} AS time",
             "if(event_type = 'click', cast(pmod(floor(value), 20) AS INT), NULL) AS model_id",
             f"""CASE WHEN event_type <> 'click' THEN {_lookup('event_type', EVENT_TYPES)}
@@ -103,12 +105,12 @@ class RetailTables:
             "pmod(p_size, 3) AS a3",
         )
 
-    def comments(self) -> DataFrame:
-        """Year-start snapshots per item over everything shipped before that day.
+    def comments(self, years: tuple[int, int] = SNAPSHOT_YEARS) -> DataFrame:
+        """Year-start snapshots of the years per item over everything shipped before that day.
 
         Lines are counted per item and year first; only those counts are repeated for later years.
         """
-        first, last = SNAPSHOT_YEARS
+        first, last = years
         yearly = (
             self._table("lineitem")
             .groupBy(F.col("l_partkey").alias("sku_id"), F.year("l_shipdate").alias("year"))

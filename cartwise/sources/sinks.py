@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwise.windows import WindowSpec, scan_window
+
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
@@ -36,39 +39,42 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         writer.format(fmt).save(path)
 
 
-def has_checkpoint_dir(df: DataFrame) -> bool:
-    spark = df.sparkSession
-    return bool(spark.conf.get(_CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir())
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that the driver and all executors reach: `spark.checkpoint.dir` of the session.
 
+    Only a local session, whose executors are the driver, may leave it unset; it then gets a temporary
+    folder. Elsewhere an unset folder is an error, since executors would write to their own disks.
+    """
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        folder = spark.conf.get(_CHECKPOINT_CONF, None)
+        if not folder:
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise ValueError(f"set {_CHECKPOINT_CONF} to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="cartwise-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir().rstrip("/")
 
-def materialise(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder of the session; fails where none is configured.
 
-    Checkpoint files survive lost executors, unlike cached blocks.
-    """
-    spark = df.sparkSession
-    if not has_checkpoint_dir(df):
-        raise ValueError(f"set {_CHECKPOINT_CONF} to a folder that all executors share")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get(_CHECKPOINT_CONF))
+def materialise(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder. Its files survive lost executors, unlike cached blocks, and
+    go with the frame where `spark.cleaner.referenceTracking.cleanCheckpoints` is set."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A fresh folder below the session's shared checkpoint folder; a local one only where none is set."""
-    shared = spark.conf.get(_CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
-    return f"{(shared or tempfile.mkdtemp(prefix='cartwise-')).rstrip('/')}/{uuid.uuid4().hex}"
+    """Name of a new folder below the shared one; its owner clears it after the job."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
-def stage_actions(actions: DataFrame) -> DataFrame:
-    """The log as a table in the session's shared folder, for plans that scan it many times.
+def stage_actions(actions: DataFrame, window: WindowSpec) -> DataFrame:
+    """The rows of the window as a table in the shared folder, for plans that scan them many times.
 
     Rows are written as they come, without a shuffle: a log read in time order keeps narrow time ranges
-    per row group, so window filters still skip most of it. Where no folder is configured the log is
-    returned as it is.
+    per row group, so window filters still skip most of it.
     """
-    if not has_checkpoint_dir(actions):
-        return actions
     folder = scratch_folder(actions.sparkSession)
+    actions = scan_window(actions, window)
     actions.write.parquet(folder)
     return actions.sparkSession.read.schema(actions.schema).parquet(folder)

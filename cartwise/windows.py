@@ -1,7 +1,8 @@
 """Half-open time windows and families of trailing windows that share one end.
 
 Every feature window is a suffix ``[T - d, T)``. A family of suffixes is served by one scan of the
-longest one: rows carry their age in seconds and each window is a comparison on that age.
+longest one: rows carry their age in seconds, rounded up, and each window is a comparison on that age.
+Order-dependent operators take the rows of one such second as one moment.
 """
 
 from __future__ import annotations
@@ -69,6 +70,11 @@ def age_seconds(end: datetime, column: str = "time") -> Column:
     return F.expr(f"({_literal(end)} - {column}) DIV INTERVAL '1' SECOND")
 
 
+def age_seconds_up(end: datetime, column: str = "time") -> Column:
+    """Seconds from `column` to `end`, rounded up: at most `s` just where the row is no older than `s`."""
+    return F.expr(f"({_literal(end)} - {column} + INTERVAL '0.999999' SECOND) DIV INTERVAL '1' SECOND")
+
+
 @dataclass(frozen=True)
 class Suffixes:
     """Trailing windows of one end time, addressed by label and held as lengths in seconds."""
@@ -103,8 +109,9 @@ class Suffixes:
         return f"age <= {self.seconds(label)}"
 
     def scan(self, actions: DataFrame, cate: int | None = None) -> DataFrame:
-        """Rows of the longest window with their age."""
-        return scan_window(actions, self.longest, cate).withColumn("age", age_seconds(self.end))
+        """Rows of the longest window with their age, rounded up for windows and as whole seconds."""
+        rows = scan_window(actions, self.longest, cate)
+        return rows.withColumns({"age": age_seconds_up(self.end), "whole_age": age_seconds(self.end)})
 
 
 def scan_window(
@@ -112,9 +119,13 @@ def scan_window(
 ) -> DataFrame:
     """Rows with ``start <= time < end``, optionally of one category and projected to `columns`.
 
-    A log partitioned by `date` is also filtered on that column, so whole days are never opened.
+    A log partitioned by `date` is also filtered on that column, so whole days are never opened. A log whose
+    `time` is the raw `ts` cut to whole seconds is also filtered on `ts`, which reaches the file scan.
     """
     rows = actions.filter(window.contains())
+    if "ts" in actions.columns:
+        cut = timedelta(seconds=1) if window.end.microsecond else timedelta()
+        rows = rows.filter(WindowSpec(window.start, window.end + cut).contains("ts"))
     if "date" in actions.columns:
         last = window.end - timedelta(microseconds=1)
         rows = rows.filter(F.col("date").between(F.lit(window.start.date()), F.lit(last.date())))

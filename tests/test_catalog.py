@@ -10,9 +10,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from cartwise.catalog import oracle as catalog_oracle
+from cartwise.catalog import queries as catalog_queries
 
 FOLDER = os.environ.get("CARTWISE_TEST_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = catalog_queries.queries(), catalog_oracle.oracle_sql()
 MODELS = {
     "train_user_model",
     "train_sku_model",
@@ -46,6 +48,7 @@ def canonical(columns, rows):
 
 
 def test_registration():
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLE) <= set(driver.oracle_sql())
     assert set(QUERIES) - set(ORACLE) == MODELS
     assert set(ORACLE) <= set(QUERIES)
 

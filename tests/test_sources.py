@@ -6,8 +6,9 @@ import pytest
 
 from cartwise import schema
 from cartwise.sources.logs import read_actions_csv, read_dimension_csv
-from cartwise.sources.sinks import materialise, write_table
+from cartwise.sources.sinks import materialise, scratch_folder, shared_folder, stage_actions, write_table
 from cartwise.streaming.ingest import ingest_new_files
+from cartwise.windows import WindowSpec
 
 HEADER = "user_id,sku_id,time,model_id,type,cate,brand\n"
 FEBRUARY = HEADER + "266079.0,138778,2016-02-01 05:59:59,,1,8,403\n"
@@ -62,10 +63,33 @@ def test_streaming_ingest_takes_each_file_once(spark, tmp_path):
     ]
 
 
-def test_materialise_uses_the_session_folder(spark, tmp_path):
-    df = spark.range(3)
-    if not spark.sparkContext.getCheckpointDir():
-        with pytest.raises(ValueError):
-            materialise(df)
-        spark.sparkContext.setCheckpointDir(str(tmp_path / "shared"))
-    assert materialise(df).count() == 3
+def test_materialise_uses_the_session_folder(spark):
+    assert materialise(spark.range(3)).count() == 3
+    assert scratch_folder(spark).startswith(shared_folder(spark))
+
+
+def test_only_local_sessions_may_lack_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError):
+        shared_folder(Session())
+
+
+def test_staged_rows_are_those_of_the_window(spark, make_log):
+    log = make_log([(1, 1, "2016-03-01", 1), (1, 2, "2016-03-05", 1), (2, 2, "2016-03-10", 4)])
+    staged = stage_actions(log, WindowSpec.of("2016-03-02", "2016-03-10"))
+    assert [r.sku_id for r in staged.collect()] == [2] and staged.schema == log.schema
+
+
+def test_short_dimension_rows_fail(spark, tmp_path):
+    path = write(tmp_path / "users.csv", "user_id,user_lv_cd,user_reg_tm\n1,5,2016-01-26\n2,1\n")
+    with pytest.raises(Exception):
+        read_dimension_csv(spark, path, schema.USERS, "utf-8").collect()
