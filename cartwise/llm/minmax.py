@@ -6,11 +6,12 @@ their Jaccard similarity; so 80 permutations give 160 values, banded 32 x 5. At
 misses all bands with a probability of 7e-9, at 0.80 of 3e-6. Candidates are confirmed on their full sets.
 
 Documents of equal sets form a class and only its smallest document is banded. Links matter by connected
-component, so not all pairs of a bucket are formed: members are first compared with one pivot; while a
-bucket still holds several components, pivots of each component (one per 2^round hash groups) are compared
-with the members of the other components and then leave the bucket. When no bucket holds a pair of
-different components that has not been compared, no link is lost. Rounds grow with the logarithm of a
-bucket's second-largest component.
+component, so not all pairs of a bucket are formed. Members are compared with one pivot per bucket, first
+the smallest and then SAMPLED random ones, which joins what belongs together. Where a bucket then still holds
+several components, its members outside the largest are held against all its members in blocks of BLOCK
+documents: inside a task, numpy bounds the overlap of two sets by the counts of their hashes in GROUPS groups
+(the sum of the smaller counts), and only pairs that the bound lets pass, once for all bands, are compared on
+full sets. The bound never drops a link, so no link between components is lost.
 
 Defined cases: null texts and texts without words have empty sets and are linked with nothing; a text of
 fewer words than a shingle has one shingle, the whole sequence; rows that share an identifier count as one
@@ -24,6 +25,7 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -36,6 +38,9 @@ BANDS = 32
 ROWS = 2 * PERMUTATIONS // BANDS
 KEPT_WORDS = 500_000
 CHUNK = 4096  # shingles that are permuted at a time
+SAMPLED = 2
+BLOCK = 1024
+GROUPS = 256
 
 
 @functools.cache
@@ -136,19 +141,74 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), work, schema)
 
 
+def group_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many hashes fall into each group; sets of more than 65,535 hashes are never bounded by them."""
+    return np.minimum(np.bincount(hashes >> np.uint64(56), minlength=GROUPS), 65535).astype("<u2")
+
+
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id and its full set."""
+    """doc_id, its full set and its counts by group."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = _shingler(size)
         for batch in batches:
             for part in slices(batch, limit=1 << 20):
-                found = [shingler.set_of(t).view(np.int64) for t in part.column("text").to_pylist()]
+                found = [shingler.set_of(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "hashes"]
+                    [
+                        part.column("doc_id"),
+                        pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64())),
+                        pa.array([group_counts(x).tobytes() for x in found], pa.binary()),
+                    ],
+                    ["doc_id", "hashes", "counts"],
                 )
 
-    return map_batches(docs.select("doc_id", "text"), work, f"doc_id {type_of(docs, 'doc_id')}, hashes array<long>")
+    schema = f"doc_id {type_of(docs, 'doc_id')}, hashes array<long>, counts binary"
+    return map_batches(docs.select("doc_id", "text"), work, schema)
+
+
+def block_pairs(left: DataFrame, info: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of different components in a bucket that may be similar, each in its first common band.
+
+    `left` has (band, c, comp), `info` (c, n, bands, counts). A block holds about BLOCK documents.
+    """
+    sized = left.groupBy("band", "comp").agg(F.count("*").alias("held"))
+    buckets = sized.groupBy("band").agg(
+        F.max_by("comp", "held").alias("top"), F.sum("held").alias("m"), F.max("held").alias("most")
+    )
+    buckets = buckets.select(
+        "band",
+        "top",
+        F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int").alias("few"),
+        F.ceil(F.col("m") / BLOCK).cast("int").alias("all"),
+    )
+    rows = left.join(buckets, "band")
+    spread = lambda n: F.pmod(F.xxhash64("c"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    side = lambda asks: ["band", "c", "comp", F.lit(asks).alias("asks")]
+    asked = rows.where("comp <> top").select(*side(True), spread("few").alias("i"), every("all").alias("j"))
+    held = rows.select(*side(False), every("few").alias("i"), spread("all").alias("j"))
+    placed = asked.union(held).join(info, "c")
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        x, y = rows[rows.asks], rows[~rows.asks]
+        ids, sizes, comps = y.c.to_numpy(), y.n.to_numpy(), y.comp.to_numpy()
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": ids[:0], "b": ids[:0]})
+        counts = np.frombuffer(b"".join(y.counts), "<u2").reshape(len(y), GROUPS)
+        keys = np.stack(y.bands.to_numpy())
+        found = []
+        for c, n, comp, mine, band_keys, band in zip(x.c, x.n, x.comp, x.counts, x.bands, x.band, strict=True):
+            at = np.flatnonzero((comps != comp) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)))
+            shared = np.minimum(counts[at], np.frombuffer(mine, "<u2")).sum(axis=1, dtype=np.int64)
+            shared[np.minimum(sizes[at], n) > 65535] = n
+            at = at[100 * shared >= percent * (sizes[at] + n - shared)]
+            first = np.asarray(band_keys)[(keys[at] == band_keys).argmax(axis=1)]
+            found += [(min(c, d), max(c, d)) for d in ids[at[first == band]]]
+        return pd.DataFrame(found, columns=["a", "b"], dtype=ids.dtype)
+
+    kind = type_of(info, "c")
+    return placed.groupBy("band", "i", "j").applyInPandas(compare, f"a {kind}, b {kind}").distinct()
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -187,6 +247,35 @@ def components(links: DataFrame) -> DataFrame:
         labels = stepped.select("node", "label")
 
 
+def _mixed_buckets(left: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members with their component, of the buckets that still hold several components."""
+    left = (
+        left.drop("comp")
+        .join(labels.select(F.col("node").alias("c"), F.col("label").alias("comp")), "c", "left")
+        .withColumn("comp", F.coalesce("comp", "c"))
+    )
+    mixed = left.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    return left.join(mixed.select("band"), "band", "left_semi")
+
+
+def _joined_components(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links. Only the labels at the ends of links are joined anew."""
+    to = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"{side}_l"))
+    between = (
+        links.join(to("a"), "a", "left")
+        .join(to("b"), "b", "left")
+        .select(F.coalesce("a_l", "a").alias("a"), F.coalesce("b_l", "b").alias("b"))
+        .distinct()
+    )
+    merged = components(between).select(F.col("node").alias("label"), F.col("label").alias("new"))
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    known = labels.union(ends.select("node", F.col("node").alias("label")))
+    known = known.groupBy("node").agg(F.min("label").alias("label"))
+    return write_table(
+        known.join(merged, "label", "left").select("node", F.coalesce("new", "label").alias("label")), "labels"
+    )
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable), kept (doc_id = component_id) per row."""
     sketch = write_table(sketches(docs, size), "sketches")
@@ -221,51 +310,31 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     labels = components(write_table(links, "links"))
 
     left = members.drop("pivot")
-    step = 0
-    while True:
-        left = (
-            left.drop("comp")
-            .join(labels.withColumnsRenamed({"node": "c", "label": "comp"}), "c", "left")
-            .withColumn("comp", F.coalesce("comp", "c"))
+    for step in range(SAMPLED):
+        left = write_table(_mixed_buckets(left, labels), "left")
+        pivots = left.groupBy("band").agg(
+            F.min_by(F.struct("c", "n", "comp"), F.xxhash64("c", F.lit(step))).alias("p")
         )
-        mixed = left.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        left = write_table(left.join(mixed.select("band"), "band", "left_semi"), "left")
-        if left.isEmpty():
-            break
-        group = F.pmod(F.xxhash64("c", F.lit(step)), F.lit(1 << min(step, 30)))
-        pivots = left.groupBy("band", "comp", group).agg(F.min_by(F.struct("c", "n"), "c").alias("p"))
-        pivots = pivots.select("band", F.col("comp").alias("p_comp"), F.col("p.c").alias("p"), F.col("p.n").alias("p_n"))
-        pairs = (
-            left.join(pivots, "band")
-            .where("comp <> p_comp")
-            .select(
-                F.least("c", "p").alias("a"),
-                F.greatest("c", "p").alias("b"),
+        pairs = left.join(pivots, "band").where("comp <> p.comp")
+        new, links = confirmed(
+            pairs.select(
+                F.least("c", "p.c").alias("a"),
+                F.greatest("c", "p.c").alias("b"),
                 F.col("n").alias("a_n"),
-                F.col("p_n").alias("b_n"),
-            )
+                F.col("p.n").alias("b_n"),
+            ),
+            checked,
         )
-        new, links = confirmed(pairs, checked)
         checked = checked.union(new)
-        links = write_table(links, "links")
-        # Only components are joined further: links between their labels.
-        to = lambda side: labels.withColumnsRenamed({"node": side, "label": f"{side}_l"})
-        between = (
-            links.join(to("a"), "a", "left")
-            .join(to("b"), "b", "left")
-            .select(F.coalesce("a_l", "a").alias("a"), F.coalesce("b_l", "b").alias("b"))
-            .distinct()
-        )
-        merged = components(between)
-        known = labels.union(links.select(F.col("a"), F.col("a")).union(links.select("b", "b"))).groupBy("node")
-        known = known.agg(F.min("label").alias("label"))
-        labels = write_table(
-            known.join(merged.select(F.col("node").alias("label"), F.col("label").alias("new")), "label", "left")
-            .select("node", F.coalesce("new", "label").alias("label")),
-            "labels",
-        )
-        left = left.join(pivots.select("band", F.col("p").alias("c")), ["band", "c"], "left_anti")
-        step += 1
+        labels = _joined_components(labels, write_table(links, "links"))
+        # A pivot has been compared with all of its bucket that it was not joined with before.
+        left = left.join(pivots.select("band", F.col("p.c").alias("c")), ["band", "c"], "left_anti")
+
+    left = write_table(_mixed_buckets(left, labels), "left")
+    info = classes.select("c", "n", "bands").join(sets.select(F.col("doc_id").alias("c"), "counts").distinct(), "c")
+    pairs = block_pairs(left.select("band", "c", "comp"), info, percent).join(checked, ["a", "b"], "left_anti")
+    links = linked(write_table(pairs, "pairs"), sets, percent)
+    labels = _joined_components(labels, write_table(links, "links"))
 
     reached = classes.join(labels.withColumnRenamed("node", "c"), "c", "left").select(
         "set_key", F.coalesce("label", "c").alias("component")
