@@ -22,6 +22,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,16 +64,19 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ends[-1] = len(ids) - (blocks - 1) * BLOCK
 
     # The densest selector that holds at each place: wider ids must lie beyond the word's last one.
+    # Where no word of a selector fits (but in the zeros behind a block), no denser one does.
     selector = np.zeros((blocks, BLOCK), np.uint8)
     top = int(ids.max())
+    wide = np.zeros((blocks, BLOCK + pad + 1), np.int16)
     for k in range(len(COUNTS), 0, -1):
         n, width = COUNTS[k - 1], WIDTHS[k - 1]
         if top >> width == 0:
             selector[:] = k
             continue
-        wide = np.zeros((blocks, BLOCK + pad + 1), np.int32)
-        np.cumsum((grid >> np.uint64(width)) != 0, axis=1, out=wide[:, 1:])
+        np.cumsum(grid >= np.uint64(1 << width), axis=1, out=wide[:, 1:], dtype=np.int16)
         fit = wide[:, n : n + BLOCK] == wide[:, :BLOCK]
+        if not fit[:, : BLOCK - pad].any() and k < len(COUNTS):
+            break
         selector[fit] = k
 
     step = np.array([1, *COUNTS], np.int64)
@@ -151,7 +155,7 @@ def unpack(words: np.ndarray, words_of: np.ndarray, total: int) -> np.ndarray:
 
 UNIT = re.compile(" ?[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]+")
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁤　﻿]")
-KEPT_UNITS = 300_000
+KEPT_UNITS = 400_000
 
 
 class UnitEncoder:
@@ -174,21 +178,20 @@ class UnitEncoder:
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
 
     def run(self, texts: list[str]) -> list[bytes]:
         units = [UNIT.findall(t) for t in texts]
         if len(self.young) > KEPT_UNITS:
             self.old, self.young = self.young, {}
         young, missing = self.young, []
-        for u in {u for us in units for u in us}:
-            if u not in young:
-                if u in self.old:
-                    young[u] = self.old[u]
-                elif OTHER_SPACE.search(u):
-                    young[u] = None
-                else:
-                    missing.append(u)
+        for u in set().union(*units).difference(young):
+            if u in self.old:
+                young[u] = self.old[u]
+            elif OTHER_SPACE.search(u):
+                young[u] = None
+            else:
+                missing.append(u)
         young.update(zip(missing, self._library(missing), strict=True))
         out: list[bytes] = []
         for text, us in zip(texts, units, strict=True):
