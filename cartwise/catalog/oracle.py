@@ -6,6 +6,7 @@ share no code with the Spark plans.
 
 from __future__ import annotations
 
+import math
 from datetime import date, datetime, timedelta
 
 from cartwise.catalog import setting as cfg
@@ -734,6 +735,14 @@ def _split_query() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _split_keys(keys: str, back: int) -> str:
+    """Candidates of the split that ends `back` steps early, each with a probability."""
+    end = T_END - timedelta(days=back * cfg.SPLIT_STEP_DAYS)
+    recent = f"{_win(end - timedelta(days=7), end)} AND {C8}"
+    return f"""SELECT DISTINCT {keys}, true AS is_probability FROM actions WHERE {recent}
+        AND user_id NOT IN (SELECT user_id FROM actions WHERE {recent} AND type = 4)"""
+
+
 def _eval(board: str | None = None) -> tuple[str, str]:
     """F11 and F12 as one-row queries with precision and recall."""
     real = "eval_sub" if board is None else f"(SELECT * FROM eval_sub WHERE board = '{board}')"
@@ -1074,6 +1083,37 @@ def oracle_sql() -> dict[str, str]:
     add("eval_score", needs, _score(), doubles=["f11", "f12", "score"])
     boards = f"{_score('A')} UNION ALL {_score('B')}"
     add("eval_score_ab", needs, boards, doubles=["f11", "f12", "score"], raw=["board"])
+    for name, keys, back in (
+        ("train_user_model", U, 1),
+        ("score_users", U, 0),
+        ("train_sku_model", UI, 1),
+        ("score_pairs", UI, 0),
+    ):
+        add(name, "actions", _split_keys(keyed(keys), back), keys, raw=["is_probability"])
+    add(
+        "cv_best_rounds",
+        "actions",
+        f"""SELECT r AS round, true AS has_loss FROM range(1, {cfg.MODEL_ROUNDS + 1}) t(r)
+        WHERE EXISTS (SELECT 1 FROM actions)""",
+        ["round"],
+        raw=["has_loss"],
+    )
+    points = [(i, math.prod(map(len, grid.values()))) for i, grid in enumerate(cfg.SEARCH_GRIDS, 1)]
+    add(
+        "staged_search",
+        "actions",
+        f"""SELECT *, true AS is_area FROM (VALUES {', '.join(map(str, points))}) t(stage, points)
+        WHERE EXISTS (SELECT 1 FROM actions)""",
+        ["stage", "points"],
+        raw=["is_area"],
+    )
+    add(
+        "topic_features",
+        "actions",
+        f"SELECT DISTINCT user_id, 1.0 AS topic_sum FROM actions WHERE {FULL}",
+        U,
+        doubles=["topic_sum"],
+    )
     return out
 
 

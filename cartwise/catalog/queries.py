@@ -18,7 +18,7 @@ from cartwise.plans import user_features as uf
 from cartwise.plans.context import FeatureContext
 from cartwise.sources.logs import union_months
 from cartwise.sources.retail import RetailTables
-from cartwise.sources.sinks import scratch_folder, stage_actions
+from cartwise.sources.sinks import materialise, scratch_folder, stage_actions
 from cartwise.windows import Suffixes, WindowSpec, scan_window
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -288,46 +288,74 @@ def _user_params() -> models.BoostingParams:
     return replace(models.USER_MODEL, rounds=cfg.MODEL_ROUNDS)
 
 
+def _pair_params() -> models.BoostingParams:
+    return replace(models.PAIR_MODEL, rounds=cfg.MODEL_ROUNDS)
+
+
+def _pair_table(x: Inputs, window: WindowSpec, labelled: bool = True) -> DataFrame:
+    positives = None
+    if labelled:
+        label = window.ahead(days=cfg.SPLIT_LABEL_DAYS)
+        positives = labels.label_pairs_known(x.actions, label, x.products, x.users)
+    return pf.training_table(x.context(window, decayed=True, staged=True), positives)
+
+
+def _scored(df: DataFrame) -> DataFrame:
+    """Keys and whether their score is a probability: the part of a scored table that SQL can state."""
+    keys = [c for c in (U, I) if c in df.columns]
+    return df.select(*keys, F.col("score").between(0, 1).alias("is_probability"))
+
+
 def _train_user_model(x: Inputs) -> DataFrame:
     """Scores of the training split under a model fitted on it."""
     table = _user_table(x, _train_split())
-    return models.score(models.train(table, _user_params()), table)
+    return _scored(models.score(models.train(table, _user_params()), table))
 
 
 def _train_sku_model(x: Inputs) -> DataFrame:
-    label = _train_split().ahead(days=cfg.SPLIT_LABEL_DAYS)
-    positives = labels.label_pairs_known(x.actions, label, x.products, x.users)
-    table = pf.training_table(x.context(_train_split(), decayed=True, staged=True), positives)
-    params = replace(models.PAIR_MODEL, rounds=cfg.MODEL_ROUNDS)
-    return models.score(models.train(table, params), table).select(U, I, "score")
+    table = _pair_table(x, _train_split())
+    return _scored(models.score(models.train(table, _pair_params()), table))
 
 
-def _score_users(x: Inputs) -> DataFrame:
+def _online_scores(x: Inputs, pairs: bool, best_round: bool = False) -> DataFrame:
     """Model of the training split, saved, loaded again and applied to the online split."""
-    folder = scratch_folder(x.tables.spark)
-    models.save_model(models.train(_user_table(x, _train_split()), _user_params()), folder)
-    return models.score_saved(folder, _user_table(x, W, labelled=False))
+    build, params = (_pair_table, _pair_params()) if pairs else (_user_table, _user_params())
+    folder, table = scratch_folder(x.tables.spark), build(x, _train_split())
+    if best_round:
+        model, _ = models.train_best(table, params, cfg.MODEL_FOLDS)
+    else:
+        model = models.train(table, params)
+    models.save_model(model, folder)
+    return models.score_saved(folder, build(x, W, labelled=False))
+
+
+def _model_submission(x: Inputs) -> DataFrame:
+    """Both saved models' scores of the online split, fused; the models stop at their best round."""
+    pairs = _online_scores(x, pairs=True, best_round=True).select(U, I, "score")
+    users = _online_scores(x, pairs=False, best_round=True)
+    return materialise(ranking.fuse_rankings(pairs, users, cfg.TOP_RANKED))
 
 
 def _cv_best_rounds(x: Inputs) -> DataFrame:
-    return models.cv_round_losses(_user_table(x, _train_split()), _user_params(), cfg.MODEL_FOLDS)
+    losses = models.cv_round_losses(_user_table(x, _train_split()), _user_params(), cfg.MODEL_FOLDS)
+    return losses.select("round", (F.col("loss") > 0).alias("has_loss"))
 
 
 def _staged_search(x: Inputs) -> DataFrame:
-    stages = (
-        models.SearchStage({"depth": (3, 4)}),
-        models.SearchStage({"row_sample": (0.6, 0.8)}),
-        models.SearchStage({"positive_weight": (1.0, 2.0)}),
-    )
+    """All stages with few values each: points per stage and whether each has a held-out area."""
     start = replace(models.SEARCH_START, rounds=2)
-    return models.staged_search(
-        _user_table(x, _train_split()), start, stages, folds=cfg.MODEL_FOLDS
-    )[1]
+    stages = tuple(models.SearchStage(grid) for grid in cfg.SEARCH_GRIDS)
+    tried = models.staged_search(_user_table(x, _train_split()), start, stages, folds=2)[1]
+    return tried.groupBy("stage").agg(
+        F.count("*").alias("points"), F.min(F.col("auc").between(0, 1)).alias("is_area")
+    )
 
 
 def _topics(x: Inputs) -> DataFrame:
     rows = scan_window(x.actions, W, columns=[U, I])
-    return models.topic_features(rows, U, I, cfg.TOPICS, cfg.TOPIC_ROUNDS)
+    mix = models.topic_features(rows, U, I, cfg.TOPICS, cfg.TOPIC_ROUNDS)
+    total = sum(F.col(f"topic_{i}") for i in range(cfg.TOPICS))
+    return mix.select(U, F.round(total, 3).alias("topic_sum"))
 
 
 def _models() -> dict[str, Callable[[Inputs], DataFrame]]:
@@ -336,7 +364,10 @@ def _models() -> dict[str, Callable[[Inputs], DataFrame]]:
         "train_sku_model": _train_sku_model,
         "cv_best_rounds": _cv_best_rounds,
         "staged_search": _staged_search,
-        "score_users": _score_users,
+        "score_users": lambda x: _scored(_online_scores(x, pairs=False)),
+        "score_pairs": lambda x: _scored(_online_scores(x, pairs=True)),
+        "model_submission": _model_submission,
+        "model_score": lambda x: evaluation.eval_score(_model_submission(x), x.positives()),
         "topic_features": _topics,
     }
 

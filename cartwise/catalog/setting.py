@@ -10,8 +10,9 @@ CATE = 8
 WINDOW = WindowSpec.of("2024-01-01", "2024-01-25")
 SUB = WINDOW.back(days=7)
 LABEL = WINDOW.ahead(days=5)
+SPLIT_DAYS, SPLIT_LABEL_DAYS, SPLIT_STEP_DAYS = 65, 5, 5
 # The longest window that a feature of any split reaches back to.
-STAGED = WINDOW.back(days=65)
+STAGED = WINDOW.back(days=SPLIT_DAYS + 2 * SPLIT_STEP_DAYS)
 # The curve is learned one split earlier, so its label window ends where the features end.
 CURVE_WINDOW = WindowSpec.of("2024-01-01", "2024-01-20")
 CURVE_LABEL = CURVE_WINDOW.ahead(days=5)
@@ -21,6 +22,12 @@ COMMENT_END = datetime(2001, 6, 1)
 MAX_GAP = 21600
 TOP_RANKED = 500
 # Short model settings; the tuned ones are parameters of the library.
-MODEL_ROUNDS, MODEL_FOLDS = 5, 2
+MODEL_ROUNDS, MODEL_FOLDS = 5, 5
+SEARCH_GRIDS = (
+    {"depth": (3, 4), "min_rows": (1, 3)},
+    {"min_gain": (0.0, 0.2)},
+    {"row_sample": (0.6, 0.8), "column_sample": (0.8,)},
+    {"positive_weight": (1.0, 2.0)},
+    {"rate": (0.1, 0.2), "rounds": (2, 3)},
+)
 TOPICS, TOPIC_ROUNDS = 3, 5
-SPLIT_DAYS, SPLIT_LABEL_DAYS, SPLIT_STEP_DAYS = 14, 5, 5

@@ -6,8 +6,10 @@ feature, so trees can split on absence.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.clustering import LDA
@@ -15,7 +17,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,21 +125,28 @@ def with_folds(rows: DataFrame, folds: int, keys: list[str]) -> DataFrame:
     return rows.withColumn(FOLD, F.pmod(F.xxhash64(*keys), F.lit(folds)).cast("int"))
 
 
-def cv_round_losses(table: DataFrame, params: BoostingParams, folds: int = 5) -> DataFrame:
+def cv_round_losses(
+    table: DataFrame, params: BoostingParams, folds: int = 5, parallelism: int = 4
+) -> DataFrame:
     """`(round, loss)`: held-out logistic loss after each round, averaged over the folds.
 
-    One model per fold is grown to the full number of rounds and evaluated after each of them.
+    One model per fold is grown to the full number of rounds and evaluated after each of them. Folds are
+    fitted side by side; a fold without rows has no loss and is left out.
     """
     keys = [c for c in ("user_id", "sku_id") if c in table.columns]
     rows = with_folds(prepare(table, params.positive_weight), folds, keys)
     estimator = classifier(params)
-    totals = [0.0] * params.rounds
-    for fold in range(folds):
+    filled = [r[FOLD] for r in rows.select(FOLD).distinct().collect()]
+    if len(filled) < 2:
+        raise ValueError("cross-validation needs rows in at least two folds")
+
+    def held_out_losses(fold: int) -> list[float]:
         model: GBTClassificationModel = estimator.fit(rows.filter(F.col(FOLD) != fold))
-        held_out = rows.filter(F.col(FOLD) == fold)
-        losses = model.evaluateEachIteration(held_out)
-        totals = [t + loss for t, loss in zip(totals, losses)]
-    means = [(i + 1, t / folds) for i, t in enumerate(totals)]
+        return model.evaluateEachIteration(rows.filter(F.col(FOLD) == fold))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        losses = list(pool.map(inheritable_thread_target(table.sparkSession)(held_out_losses), sorted(filled)))
+    means = [(i + 1, sum(at) / len(filled)) for i, at in enumerate(zip(*losses, strict=True))]
     return table.sparkSession.createDataFrame(means, "round int, loss double")
 
 
@@ -152,6 +161,15 @@ def best_rounds(losses: list[float], patience: int = 20) -> int:
     return best + 1
 
 
+def train_best(
+    table: DataFrame, params: BoostingParams, folds: int = 5, patience: int = 20
+) -> tuple[PipelineModel, int]:
+    """Model retrained on all rows at the best cross-validated round, and that round."""
+    losses = [r["loss"] for r in cv_round_losses(table, params, folds).orderBy("round").collect()]
+    rounds = best_rounds(losses, patience)
+    return train(table, replace(params, rounds=rounds)), rounds
+
+
 @dataclass(frozen=True)
 class SearchStage:
     """One stage of the search: parameter names of `BoostingParams` and the values to try."""
@@ -205,18 +223,21 @@ def staged_search(
                 if name != "positive_weight":
                     cast = str if name == "column_sample" else (lambda v: v)
                     grid = grid.addGrid(getattr(estimator, _GRID_PARAMS[name]), [cast(v) for v in values])
-            validator = CrossValidator(
-                estimator=estimator,
-                estimatorParamMaps=grid.build(),
-                evaluator=evaluator,
-                numFolds=folds,
-                foldCol=FOLD,
-                parallelism=parallelism,
-            )
             weighted = rows.withColumn(WEIGHT, F.when(F.col(LABEL) == 1, float(weight)).otherwise(1.0))
-            fitted = validator.fit(weighted)
+            maps = grid.build()
+            jobs = [(point, fold) for point in range(len(maps)) for fold in range(folds)]
+
+            def held_out_auc(job, maps=maps, weighted=weighted, estimator=estimator) -> float:
+                point, fold = job
+                model = estimator.fit(weighted.filter(F.col(FOLD) != fold), maps[point])
+                return evaluator.evaluate(model.transform(weighted.filter(F.col(FOLD) == fold)))
+
+            # Folds and points are fitted side by side; the winner is not refitted, only its settings go on.
+            with ThreadPoolExecutor(parallelism) as pool:
+                aucs = list(pool.map(inheritable_thread_target(table.sparkSession)(held_out_auc), jobs))
             names = {spark_name: name for name, spark_name in _GRID_PARAMS.items()}
-            for point, auc in zip(validator.getEstimatorParamMaps(), fitted.avgMetrics):
+            for i, point in enumerate(maps):
+                auc = sum(aucs[i * folds : (i + 1) * folds]) / folds
                 chosen = {names[p.name]: v for p, v in point.items()}
                 if "column_sample" in chosen:
                     chosen["column_sample"] = float(chosen["column_sample"])

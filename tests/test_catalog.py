@@ -15,14 +15,7 @@ from cartwise.catalog import queries as catalog_queries
 
 FOLDER = os.environ.get("CARTWISE_TEST_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLE = catalog_queries.queries(), catalog_oracle.oracle_sql()
-MODELS = {
-    "train_user_model",
-    "train_sku_model",
-    "cv_best_rounds",
-    "staged_search",
-    "score_users",
-    "topic_features",
-}
+MODELS = {"model_submission", "model_score"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 

@@ -42,6 +42,12 @@ def test_cross_validated_rounds(planted):
     assert losses[-1].loss < losses[0].loss
 
 
+def test_the_model_is_retrained_at_the_best_round(planted):
+    model, rounds = models.train_best(planted, PARAMS, folds=2, patience=1)
+    losses = [r.loss for r in models.cv_round_losses(planted, PARAMS, folds=2).orderBy("round").collect()]
+    assert rounds == models.best_rounds(losses, 1) == model.stages[1].getNumTrees
+
+
 def test_best_rounds_stops_after_patience():
     assert models.best_rounds([5, 4, 3, 3.5, 3.6, 1], patience=2) == 3
     assert models.best_rounds([5, 4, 3, 3.5, 3.6, 1], patience=9) == 6
