@@ -36,7 +36,7 @@ from cartwise.llm.shared import map_batches, slices, type_of, write_table
 PERMUTATIONS = 80
 BANDS = 32
 ROWS = 2 * PERMUTATIONS // BANDS
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 CHUNK = 4096  # shingles that are permuted at a time
 SAMPLED = 2
 BLOCK = 1024

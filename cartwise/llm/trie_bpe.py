@@ -23,6 +23,7 @@ import re
 import struct
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -30,8 +31,9 @@ from cartwise.llm.shared import map_batches, slices, type_of
 
 END = "</w>"
 NEVER = 1 << 60
-KEPT_WORDS = 300_000  # words per cache generation
-KEPT_PAIRS = 1_000_000
+KEPT_WORDS = 200_000  # words per cache generation
+PART_BYTES = 1 << 20  # text that is split into words at a time
+KEPT_PAIRS = 300_000
 
 
 class TrieBpe:
@@ -198,10 +200,10 @@ class TextCodec:
         tokenizer = Tokenizer.from_str(spec)
         self.normalise, self.pre_tokenise = tokenizer.normalizer.normalize_str, tokenizer.pre_tokenizer.pre_tokenize_str
         self.symbols = str.maketrans({chr(b): s for b, s in enumerate(byte_symbols())})
-        self.names = {**self.bpe.names, **{i: t for t, i in self.special.items()}}
+        names = {**self.bpe.names, **{i: t for t, i in self.special.items()}}
+        self.names = np.array([names.get(i, "") for i in range(max(names) + 1)], object)
         self.ids_of: dict[str, bytes] = {}
-        self.text_of: dict[str, str] = {}
-        self.old: tuple[dict, dict] = ({}, {})
+        self.old: dict[str, bytes] = {}
         self.words: dict[str, list[int]] = {}
 
     def _pieces(self, chunk: str) -> list[str]:
@@ -215,32 +217,30 @@ class TextCodec:
     def _learn(self, chunks: Iterable[str]) -> None:
         """Puts all chunks into the young generation."""
         if len(self.ids_of) > KEPT_WORDS:
-            self.old, self.ids_of, self.text_of = (self.ids_of, self.text_of), {}, {}
+            self.old, self.ids_of = self.ids_of, {}
         if len(self.words) > KEPT_WORDS:
             self.words = {}
         missing = []
         for c in chunks:
             if c not in self.ids_of:
-                if c in self.old[0]:
-                    self.ids_of[c], self.text_of[c] = self.old[0][c], self.old[1][c]
+                if c in self.old:
+                    self.ids_of[c] = self.old[c]
                 else:
                     missing.append((c, self._pieces(c)))
         words = self.words
         words.update(self.bpe.encode({p for _, pieces in missing for p in pieces if p not in words}))
-        names = self.names
         for c, pieces in missing:
             ids = [i for p in pieces for i in words[p]]
             self.ids_of[c] = struct.pack(f"<{len(ids)}I", *ids)
-            self.text_of[c] = " ".join([names[i] for i in ids])
 
     def run(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
         """Little-endian 32-bit ids and the decoded text of each text."""
         split = [self._chunks(t) for t in texts]
         self._learn({c for chunks in split for c in chunks if c not in self.special})
         for s, i in self.special.items():
-            self.ids_of[s], self.text_of[s] = struct.pack("<I", i), s
+            self.ids_of[s] = struct.pack("<I", i)
         ids = [b"".join(map(self.ids_of.__getitem__, chunks)) for chunks in split]
-        return ids, [" ".join(filter(None, map(self.text_of.__getitem__, chunks))) for chunks in split]
+        return ids, list(map(self.decode, ids))
 
     def _chunks(self, text: str) -> list[str]:
         if self.special_at is None or "<" not in text or not self.special_at.search(text):
@@ -250,8 +250,9 @@ class TextCodec:
             out += [part] if part in self.special else CHUNK.findall(part)
         return out
 
-    def decode(self, ids: Iterable[int]) -> str:
-        return " ".join(self.names[i] for i in ids)
+    def decode(self, ids: bytes) -> str:
+        """Text of little-endian 32-bit ids."""
+        return " ".join(self.names[np.frombuffer(ids, "<u4")].tolist())
 
 
 @functools.lru_cache(maxsize=2)
@@ -269,7 +270,7 @@ def encode_decode(docs: DataFrame, tokenizer_file: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(spec.value)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=PART_BYTES):
                 ids, texts = codec.run([t or "" for t in part.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -35,7 +35,7 @@ K = 5
 WINDOW = SPAN - K + 1
 REACH = SPAN - K  # words on each side of a hit that travel with it
 BITS = 24
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 
 #: Digits, letters and all bytes above ASCII are parts of words; A-Z in lower case.
 _WORD_BYTES = bytes(
