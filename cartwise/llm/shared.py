@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyarrow import fs
@@ -76,6 +79,16 @@ def map_batches(
     return df.mapInArrow(work, schema)
 
 
+@contextlib.contextmanager
+def steady_objects() -> Iterator[None]:
+    """For loops that make many objects without cycles: the collector would only walk the caches over and over."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
@@ -85,6 +98,23 @@ def open_store(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def text_array(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Strings that lie one after the other in the data."""
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.string(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of the strings and where each starts, with the end of the last; nulls are empty."""
+    filled = column.fill_null("")
+    if not len(filled):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(filled.buffers()[1], np.int32)[filled.offset : filled.offset + len(filled) + 1].astype(np.int64)
+    raw = filled.buffers()[2]
+    data = np.frombuffer(raw, np.uint8) if raw is not None else np.empty(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 SLICE_BYTES = 4 << 20  # text that a Python worker takes at a time
 
 

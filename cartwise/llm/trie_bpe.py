@@ -3,9 +3,10 @@
 In BPE the encoding of a prefix followed by its last token determines the encoding of every longer prefix:
 the last token of a prefix is the one token that ends there, starts where some shorter prefix ends, and that
 merges would not have joined otherwise with that shorter prefix's last token. So it is enough to know one
-token per prefix. The distinct words of a batch go into a trie, a depth-first walk gives each node its last
-token from the nodes above it, and words that share a prefix share that work. An encoding is read off by
-following last tokens upwards.
+token per prefix. The distinct words of a batch form a trie, a depth-first walk over it gives each node its
+last token from the nodes above it, and words that share a prefix share that work; sorted words are the paths
+of that walk in order, so only the current path is held. Which tokens end at a node follows from the longest
+token prefix that ends there, the walk's state. An encoding is read off by following last tokens upwards.
 
 Each task works on its own rows; words met before are kept in two bounded generations of a cache, so that
 memory does not grow with the corpus and nothing is shuffled.
@@ -17,22 +18,24 @@ become the special tokens, as in the tokenizers library.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import json
 import re
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cartwise.llm.shared import map_batches, slices, type_of
+from cartwise.llm.shared import map_batches, slices, steady_objects, type_of
 
 END = "</w>"
 NEVER = 1 << 60
 KEPT_WORDS = 200_000  # words per cache generation
-PART_BYTES = 1 << 20  # text that is split into words at a time
+PART_BYTES = 2 << 20  # text that is split into words at a time
 KEPT_PAIRS = 300_000
 
 
@@ -54,10 +57,13 @@ class TrieBpe:
         # By suffix, for inner nodes and for word ends; tokens that no merge can reach never occur.
         self.inner = {t: i for t, i in plain.items() if self._reachable(i)}
         self.final = {t: i for t, i in ending.items() if self._reachable(i)}
-        self.longest = max(map(len, [*self.inner, *self.final]), default=1)
+        # Prefixes of all tokens: the longest one that ends a path is the walk's state there.
+        self.starts = {t[:n] for t in [*self.inner, *self.final] for n in range(1, len(t) + 1)}
         self.length = {i: len(t) for t, i in [*plain.items(), *ending.items()]}
         self._spines: tuple[dict, dict] = ({}, {})
         self._fits: dict[int, bool] = {}
+        self._moves: dict[str, tuple[str, list[tuple[int, int]]]] = {}
+        self._ends: dict[str, list[tuple[int, int]]] = {}
 
     def _reachable(self, token: int) -> bool:
         """Whether BPE of the token's own string gives just that token."""
@@ -114,68 +120,82 @@ class TrieBpe:
             self._fits[key] = found
         return found
 
+    def _move(self, path: str) -> tuple[str, list[tuple[int, int]]]:
+        """State after a state and one more symbol, and the inner tokens that end there, the longest first."""
+        state = path
+        while state and state not in self.starts:
+            state = state[1:]
+        if len(self._moves) >= KEPT_PAIRS:
+            self._moves.clear()
+        found = self._moves[path] = state, self._tokens(state, self.inner)
+        return found
+
+    def _end(self, path: str) -> list[tuple[int, int]]:
+        """Tokens that end a word, by the state before its last symbol and that symbol."""
+        if len(self._ends) >= KEPT_PAIRS:
+            self._ends.clear()
+        found = self._ends[path] = self._tokens(path, self.final)
+        return found
+
+    @staticmethod
+    def _tokens(path: str, tokens: dict[str, int]) -> list[tuple[int, int]]:
+        """(size, token) of the suffixes of the path that are tokens, the longest first."""
+        return [(len(path) - i, tokens[path[i:]]) for i in range(len(path)) if path[i:] in tokens]
+
     def encode(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Tokens of each distinct word; one trie for all of them."""
-        root: dict = {}
-        for word in words:
-            node = root
-            for symbol in word[:-1]:
-                below = node.get(symbol)
-                if below is None:
-                    below = node[symbol] = {}
-                node = below
-            node.setdefault(END, []).append(word)
+        """Tokens of each distinct word. In sorted order the words are a trie's paths, depth first: a path
+        branches off the one before it, whose last tokens and states up to there are still in place."""
+        words = sorted(words)
+        fits, moves, ends, length, base = self._fits, self._moves, self._ends, self.length, self.base
+        room = max(map(len, words), default=0) + 1
+        last, states = [0] * room, [""] * room  # of the walk's prefix of d symbols
         out: dict[str, list[int]] = {}
-        last: list[int] = [0]  # last[d]: last token of the walk's prefix of d symbols
-        length = self.length
-        stack: list[tuple[dict, str]] = [(root, "")]
-        paths: list[str] = []
-        while stack:
-            node, symbol = stack.pop()
-            if node is None:
-                paths.pop()
-                last.pop()
-                continue
-            if symbol:
-                path = (paths[-1] if paths else "")[1 - self.longest :] + symbol if self.longest > 1 else symbol
-                paths.append(path)
-                last.append(self._last(path, self.inner, last, len(last)))
-            for word in node.get(END, ()):
-                path = (paths[-1] if paths else "") + word[-1]
-                depth = len(last)
-                token = self._last(path[-self.longest :], self.final, last, depth)
-                tokens = [token]
-                depth -= length[token]
-                while depth:
-                    token = last[depth]
-                    tokens.append(token)
-                    depth -= length[token]
-                tokens.reverse()
-                out[word] = tokens
-            if symbol:
-                stack.append((None, ""))
-            for key, below in node.items():
-                if key != END:
-                    stack.append((below, key))
-        return out
-
-    def _last(self, path: str, tokens: dict[str, int], last: list[int], depth: int) -> int:
-        fits = self._fits
-        base = self.base
-        for size in range(min(depth, len(path)), 0, -1):
-            token = tokens.get(path[-size:])
-            if token is not None:
-                if size == depth:
-                    return token
-                before = last[depth - size]
+        trunk = ""
+        for word in words:
+            stem, depth = word[:-1], 0
+            for a, b in zip(stem, trunk, strict=False):
+                if a != b:
+                    break
+                depth += 1
+            trunk, state = stem, states[depth]
+            for symbol in stem[depth:]:
+                depth += 1
+                path = state + symbol
+                state, tokens = moves.get(path) or self._move(path)
+                for size, token in tokens:
+                    if size == depth:
+                        break
+                    before = last[depth - size]
+                    good = fits.get(before * base + token)
+                    if good or good is None and self.fits(before, token):
+                        break
+                else:
+                    raise ValueError(f"no token ends {path!r}")
+                last[depth], states[depth] = token, state
+            path = state + word[-1]
+            for size, token in ends.get(path) or self._end(path):
+                if size > depth:
+                    break
+                before = last[depth + 1 - size]
                 good = fits.get(before * base + token)
                 if good or good is None and self.fits(before, token):
-                    return token
-        raise ValueError(f"no token ends {path!r}")
+                    break
+            else:
+                raise ValueError(f"no token ends {word!r}")
+            at = depth + 1 - size
+            found = [token]
+            while at:
+                token = last[at]
+                found.append(token)
+                at -= length[token]
+            found.reverse()
+            out[word] = found
+        return out
 
 
 # White space and letters for which the short way below equals the tokenizer's own rules.
 CHUNK = re.compile("[^ \t\n\r\x0b\x0c]+")
+OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 COMMON = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
@@ -215,36 +235,39 @@ class TextCodec:
         return [p for p, _ in self.pre_tokenise(self.normalise(chunk))]
 
     def _learn(self, chunks: Iterable[str]) -> None:
-        """Puts all chunks into the young generation."""
-        if len(self.ids_of) > KEPT_WORDS:
-            self.old, self.ids_of = self.ids_of, {}
-        if len(self.words) > KEPT_WORDS:
-            self.words = {}
+        """Puts chunks that are not there into the young generation."""
+        ids_of, old, words = self.ids_of, self.old, self.words
         missing = []
         for c in chunks:
-            if c not in self.ids_of:
-                if c in self.old:
-                    self.ids_of[c] = self.old[c]
-                else:
-                    missing.append((c, self._pieces(c)))
-        words = self.words
+            ids = old.get(c)
+            if ids is None:
+                missing.append((c, self._pieces(c)))
+            else:
+                ids_of[c] = ids
         words.update(self.bpe.encode({p for _, pieces in missing for p in pieces if p not in words}))
         for c, pieces in missing:
-            ids = [i for p in pieces for i in words[p]]
-            self.ids_of[c] = struct.pack(f"<{len(ids)}I", *ids)
+            ids_of[c] = array("I", [i for p in pieces for i in words[p]]).tobytes()
 
     def run(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
         """Little-endian 32-bit ids and the decoded text of each text."""
         split = [self._chunks(t) for t in texts]
-        self._learn({c for chunks in split for c in chunks if c not in self.special})
+        if len(self.ids_of) > KEPT_WORDS:
+            self.old, self.ids_of = self.ids_of, {}
+        if len(self.words) > KEPT_WORDS:
+            self.words = {}
         for s, i in self.special.items():
             self.ids_of[s] = struct.pack("<I", i)
+        self._learn(set().union(*split).difference(self.ids_of))
         ids = [b"".join(map(self.ids_of.__getitem__, chunks)) for chunks in split]
         return ids, list(map(self.decode, ids))
 
+    def close(self) -> None:
+        """Drops the words met so far; the vocabulary and its automaton stay."""
+        self.ids_of, self.old, self.words = {}, {}, {}
+
     def _chunks(self, text: str) -> list[str]:
         if self.special_at is None or "<" not in text or not self.special_at.search(text):
-            return CHUNK.findall(text)
+            return text.split() if not OTHER_SPACE.search(text) else CHUNK.findall(text)
         out: list[str] = []
         for part in self.special_at.split(text):
             out += [part] if part in self.special else CHUNK.findall(part)
@@ -269,18 +292,19 @@ def encode_decode(docs: DataFrame, tokenizer_file: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(spec.value)
-        for batch in batches:
-            for part in slices(batch, limit=PART_BYTES):
-                ids, texts = codec.run([t or "" for t in part.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array(ids, pa.binary()),
-                        pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        pa.array(texts, pa.string()),
-                    ],
-                    names,
-                )
+        with steady_objects(), contextlib.closing(codec):  # a worker lives on for other tasks
+            for batch in batches:
+                for part in slices(batch, limit=PART_BYTES):
+                    ids, texts = codec.run([t or "" for t in part.column("text").to_pylist()])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column("doc_id"),
+                            pa.array(ids, pa.binary()),
+                            pa.array([len(x) // 4 for x in ids], pa.int64()),
+                            pa.array(texts, pa.string()),
+                        ],
+                        names,
+                    )
 
     return map_batches(
         docs.select("doc_id", "text"),
