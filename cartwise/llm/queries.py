@@ -12,10 +12,13 @@ from cartwise.llm import (
     centroids,
     content_sort,
     crf_pii,
+    displacement,
+    host_paths,
     licence_rules,
     minmax,
     sharding,
     simple8b,
+    treap_search,
     trie_bpe,
     warc_chunks,
     winnowing,
@@ -120,6 +123,25 @@ def op10_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_chunks.records(warc_chunks.read_chunks(spark, folder, manifest, with_data=False))
 
 
+def op11_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by its host's winning paths."""
+    return host_paths.main_text(table(spark, sf_dir, "pages"))
+
+
+def op12_displacement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in fill-in-middle form, and restored from it."""
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    made = displacement.fill_in_middle(table(spark, sf_dir, "documents"))
+    return displacement.restored(made.withColumn("output_sha256", digest("output"))).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", digest("text").alias("restored_sha256")
+    )
+
+
+def op13_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best of all documents for each benchmark item."""
+    return treap_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 OP2_SQL = """
 SELECT doc_id,
     max(doc_id) OVER g AS keep_id,
@@ -129,6 +151,53 @@ SELECT doc_id,
 FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
 WINDOW g AS (PARTITION BY t)"""
 
+_NUMBER = "CAST('0x' || substr(h, {}, 8) AS BIGINT)"
+OP12_SQL = f"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+        sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+    FROM documents
+), c AS (
+    SELECT *, least({_NUMBER.format(1)} % (n + 1), {_NUMBER.format(9)} % (n + 1)) AS lo,
+        greatest({_NUMBER.format(1)} % (n + 1), {_NUMBER.format(9)} % (n + 1)) AS hi,
+        CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR {_NUMBER.format(17)} % 100 >= 90 THEN 'plain'
+            WHEN {_NUMBER.format(25)} % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM d
+), p AS (
+    SELECT *, substr(t, 1, lo) AS prefix, substr(t, lo + 1, hi - lo) AS middle, substr(t, hi + 1) AS suffix FROM c
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN lo END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN hi - lo END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t
+        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM p"""
+
+_TERMS = f"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{treap_search.TERM}')"
+OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents WHERE text IS NOT NULL),
+s AS (SELECT count(*) AS all_docs, sum(len(ts)) AS all_terms FROM d WHERE len(ts) > 0),
+t AS (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS term FROM d),
+tf AS (SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf FROM t GROUP BY r, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+w AS (
+    SELECT item_id, term, CAST(floor(1000 * ln(CAST(2 * all_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+    FROM q JOIN df USING (term), s
+), scored AS (
+    SELECT item_id, r, any_value(doc_id) AS doc_id,
+        CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * all_docs) // all_terms))))) AS BIGINT)
+            AS score
+    FROM w JOIN tf USING (term), s GROUP BY item_id, r
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -144,9 +213,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_winnowing,
             op9_centroids,
             op10_warc_chunks,
+            op11_host_paths,
+            op12_displacement,
+            op13_treap_search,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_content_sort": OP2_SQL, "op7_licence_rules": licence_rules.oracle()}
+    return {
+        "op2_content_sort": OP2_SQL,
+        "op7_licence_rules": licence_rules.oracle(),
+        "op12_displacement": OP12_SQL,
+        "op13_treap_search": OP13_SQL,
+    }
