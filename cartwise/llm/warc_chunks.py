@@ -1,19 +1,21 @@
 """WARC archives by a chunked record table.
 
-A payload is a run of (page_id, chunk_no) rows of at most CHUNK bytes; each row carries the payload's length,
-the bytes so far and the digest so far, so that neither writing nor reading ever holds a whole record. Records
-of equal payloads are told by SHA-256; the largest page_id of a group is the response and the
-others are revisit records without a payload that name it.
-
-Archives are WARC 1.1 files of one compressed member per record chunk run, written by tasks under names of
-their own; the manifest, a Parquet table, lists the files that count, so lost or repeated attempts leave no
-trace in a result. Reading goes through the same chunk rows: a response's digest and length come from the
-bytes read, and are held against its header; a revisit's come from its header.
-
-Defined cases: a null payload is empty; empty payloads are equal to each other; repeated rows are records of
-their own, one of them the response; a null page_id is a record with an empty page header, which is a
-response only in a group without other identifiers; an empty table gives no archive; other columns but url
-are ignored.
+Right after the scan a payload becomes (record, chunk_no) rows of at most CHUNK bytes, and all that follows moves
+chunks: they are shuffled by record, sorted, and written as they come, with a running digest that is held against
+the one of the header. So the input's own cell is the last place where a record is whole. Records are numbered by
+the scan; the input must give the same rows in the same order when a task is repeated, as tables do. Records of
+equal payloads are told by SHA-256; of a group the largest page_id, and of its rows the first, is the response and
+the others are revisit records without a payload that name it.
+
+Archives are WARC 1.1 files of one gzip member per record, written by tasks under names of their own; the manifest,
+a Parquet table, lists the files that count, so lost or repeated attempts leave no trace in a result. Reading goes
+through the same chunk rows: a response's digest and length come from the bytes read, and are held against its
+header; a revisit's come from its header.
+
+Defined cases: identifiers are integers; a null payload is empty; empty payloads are equal to each other; repeated
+rows are records of their own, one of them the response; a null page_id is a record with an empty page header, which
+is a response only in a group without other identifiers; an empty table gives no archive; other columns but url are
+ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm.shared import map_batches, new_folder, open_store, partitions, slices, write_table
+from cartwise.llm.shared import map_batches, new_folder, open_store, partitions, write_table
 
 CHUNK = 1 << 16
 CHUNKS = (
@@ -44,84 +46,106 @@ def base32_sha1(digest) -> str:
     return base64.b32encode(digest.digest()).decode()
 
 
-def record_kinds(pages: DataFrame, least: int = 0) -> DataFrame:
-    """page_id, url, payload, key, shared, chosen: of equal payloads of at least `least` bytes, the one with the
-    largest identifier is chosen. Copies are counted by digest on narrow rows; payloads are shuffled once, by
-    page_id, so that a group of copies however large is spread."""
-    keyed = pages.select(
+def chunked(pages: DataFrame) -> DataFrame:
+    """record, page_id, url, key, sha1, total, chunk_no, data; an empty payload has one empty chunk."""
+    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    whole = pages.select(
+        F.monotonically_increasing_id().alias("record"),
         F.col("page_id").cast("long").alias("page_id"),
         "url",
-        F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"),
-    ).select("*", F.sha2("payload", 256).alias("key"))
-    narrow = keyed.where(F.octet_length("payload") >= least).select("page_id", "key")
+        payload.alias("payload"),
+    ).select(
+        "*",
+        F.sha2("payload", 256).alias("key"),
+        F.sha1("payload").alias("sha1"),
+        F.octet_length("payload").cast("long").alias("total"),
+    )
+    chunks = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.col("total") - 1) / CHUNK).cast("int")))
+    return whole.select("*", F.explode(chunks).alias("chunk_no")).select(
+        "record",
+        "page_id",
+        "url",
+        "key",
+        "sha1",
+        "total",
+        "chunk_no",
+        F.substring("payload", F.col("chunk_no") * CHUNK + 1, F.lit(CHUNK)).alias("data"),
+    )
+
+
+def copies(pages: DataFrame, least: int = 0) -> DataFrame:
+    """of, response, chosen: the records of payloads of at least `least` bytes that occur more than once, whether
+    each is the response, and the response's page_id. Narrow rows only: no payload is shuffled."""
+    text = F.coalesce(F.col("html"), F.lit(""))
+    narrow = pages.select(
+        F.monotonically_increasing_id().alias("of"),
+        F.col("page_id").cast("long").alias("page_id"),
+        F.octet_length(text).alias("size"),
+        F.sha2(text.cast("binary"), 256).alias("key"),
+    ).where(F.col("size") >= least)
     groups = (
-        narrow.groupBy("key").agg(F.max("page_id").alias("chosen"), F.count("*").alias("held")).where("held > 1")
+        narrow.groupBy("key")
+        .agg(F.max(F.struct("page_id", (-F.col("of")).alias("first"))).alias("top"), F.count("*").alias("held"))
+        .where("held > 1")
+    )
+    return narrow.join(groups, "key").select(
+        "of", (F.col("of") == -F.col("top.first")).alias("response"), F.col("top.page_id").alias("chosen")
     )
-    copies = narrow.join(groups, "key").select(F.col("page_id").alias("id"), F.col("key").alias("of"), "chosen")
-    return keyed.join(
-        copies.distinct().hint("merge"), F.col("page_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("of")), "left"
-    ).select("page_id", "url", "payload", "key", F.col("of").isNotNull().alias("shared"), "chosen")
 
 
 def write_archives(pages: DataFrame, least: int = 0, folder: str | None = None) -> tuple[str, DataFrame]:
     """Writes the archives; returns their folder and the manifest (file, n_records, n_bytes)."""
     spark = pages.sparkSession
     folder = folder or new_folder(spark, "warc")
-    # The sort-merge join has the rows of an identifier together and in order.
-    rows = record_kinds(pages, least)
+    chunks = chunked(pages).repartition(partitions(spark), "record").sortWithinPartitions("record", "chunk_no")
+    # The merge join streams the sorted chunks, so their order stays. A revisit needs its first row alone.
+    rows = (
+        chunks.join(copies(pages, least).hint("merge"), F.col("record") == F.col("of"), "left")
+        .withColumn("response", F.coalesce("response", F.lit(True)))
+        .where("response OR chunk_no = 0")
+        .withColumn("data", F.when(F.col("response"), F.col("data")))
+        .select("record", "page_id", "url", "sha1", "total", "chunk_no", "response", "chosen", "data")
+    )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer, answered = None, None
+        writer = None
         for batch in batches:
-            for part in slices(batch, "payload", 1 << 20):
-                writer = writer or ArchiveWriter(folder)
-                ids, urls, keys, shared, chosen = (
-                    part.column(c).to_pylist() for c in ("page_id", "url", "key", "shared", "chosen")
-                )
-                for row in range(part.num_rows):
-                    payload = part.column("payload")[row].as_buffer()
-                    mine = (ids[row], keys[row])
-                    response = not shared[row] or ids[row] == chosen[row] and mine != answered
-                    if response:
-                        answered = mine
-                    writer.add(ids[row], urls[row], payload_chunks(payload), payload.size, response, chosen[row])
+            writer = writer or ArchiveWriter(folder)
+            data = batch.column("data")
+            heads = zip(*(batch.column(c).to_pylist() for c in batch.schema.names[:-1]), strict=True)
+            for row, (record, page_id, url, sha1, total, chunk_no, response, chosen) in enumerate(heads):
+                if chunk_no == 0:
+                    writer.begin(record, page_id, url, sha1, total, response, chosen)
+                if response:
+                    writer.add(record, memoryview(data[row].as_buffer()))
         if writer is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x]) for x in writer.close()], ["file", "n_records", "n_bytes"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in writer.close()], ["file", "n_records", "n_bytes"])
 
     manifest = write_table(map_batches(rows, work, "file string, n_records long, n_bytes long"), "warc_manifest")
     return folder, manifest
 
 
-def payload_chunks(payload) -> Iterator[memoryview]:
-    """The payload in parts of CHUNK bytes, without copies of the whole."""
-    view = memoryview(payload)
-    for start in range(0, len(view), CHUNK):
-        yield view[start : start + CHUNK]
-
-
 class ArchiveWriter:
-    """Writes records chunk by chunk; the digest of a payload is worked out in a pass over its chunks."""
+    """Writes records chunk by chunk, each as a gzip member; holds nothing of a record but its running digest."""
 
     def __init__(self, folder: str):
         self.store, path = open_store(folder)
         self.store.create_dir(path, recursive=True)
         self.name = f"{uuid.uuid4().hex}.warc.gz"
-        self.sink = self.store.open_output_stream(f"{path}/{self.name}")
-        self.records = self.bytes = 0
+        # The file is gzip already: without this the store would see the name and compress once more.
+        self.sink = self.store.open_output_stream(f"{path}/{self.name}", compression=None)
+        self.records = self.bytes = self.left = 0
+        self.member: gzip.GzipFile | None = None
 
-    def add(self, page_id, url, chunks: Iterator, size: int, response: bool, refers_to) -> None:
-        parts, digest = list(chunks), hashlib.sha1()
-        for part in parts:
-            digest.update(part)
+    def begin(self, record: int, page_id, url, sha1: str, size: int, response: bool, refers_to) -> None:
+        self._end()
         name = "" if page_id is None else str(page_id)
         head = [
             ("WARC-Type", "response" if response else "revisit"),
-            ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page:{name}')}>"),
+            ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'record:{record}:page:{name}')}>"),
             ("WARC-Date", "1970-01-01T00:00:00Z"),
             ("WARC-Target-URI", "".join((url or "").split())),
-            ("WARC-Payload-Digest", f"sha1:{base32_sha1(digest)}"),
+            ("WARC-Payload-Digest", f"sha1:{base64.b32encode(bytes.fromhex(sha1)).decode()}"),
             ("Page-ID", name),
             ("Payload-Length", str(size)),
         ]
@@ -130,14 +154,30 @@ class ArchiveWriter:
                 ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
                 ("Refers-To-Page-ID", "" if refers_to is None else str(refers_to)),
             ]
-        head.append(("Content-Length", str(size if response else 0)))
-        with gzip.GzipFile(fileobj=self, mode="wb", compresslevel=1, mtime=0) as out:
-            out.write(VERSION + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n")
-            for part in parts if response else ():
-                out.write(part)
-            out.write(b"\r\n\r\n")
+        self.left = size if response else 0
+        head.append(("Content-Length", str(self.left)))
+        self.member = gzip.GzipFile(fileobj=self, mode="wb", compresslevel=1, mtime=0)
+        self.member.write(VERSION + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n")
+        self.record, self.sha1 = record, sha1 if response else hashlib.sha1().hexdigest()
+        self.digest = hashlib.sha1()
         self.records += 1
 
+    def add(self, record: int, chunk) -> None:
+        if record != self.record:
+            raise ValueError(f"a chunk of record {record} inside record {self.record}")
+        self.left -= len(chunk)
+        self.digest.update(chunk)
+        self.member.write(chunk)
+
+    def _end(self) -> None:
+        if self.member is None:
+            return
+        if self.left or self.digest.hexdigest() != self.sha1:
+            raise ValueError(f"record {self.record} is not what its header says")
+        self.member.write(b"\r\n\r\n")
+        self.member.close()
+        self.member = None
+
     def write(self, data) -> int:
         self.bytes += len(data)
         return self.sink.write(data)
@@ -146,6 +186,7 @@ class ArchiveWriter:
         pass
 
     def close(self) -> tuple[str, int, int]:
+        self._end()
         self.sink.close()
         return self.name, self.records, self.bytes
 
@@ -153,7 +194,7 @@ class ArchiveWriter:
 def read_file(folder: str, name: str) -> Iterator[tuple]:
     """Chunk rows of one archive, in order; holds one chunk at a time."""
     store, path = open_store(f"{folder}/{name}")
-    with store.open_input_stream(path) as raw, gzip.GzipFile(fileobj=raw) as f:
+    with store.open_input_stream(path, compression=None) as raw, gzip.GzipFile(fileobj=raw) as f:
         while True:
             line = f.readline()
             if not line:

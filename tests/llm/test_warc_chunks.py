@@ -3,6 +3,9 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import zlib
+
+import pytest
 
 from cartwise.llm import warc_chunks as W
 
@@ -69,3 +72,53 @@ def test_small_payloads_are_no_copies_under_a_bound(spark):
 def test_empty_table(spark):
     folder, manifest = W.write_archives(spark.createDataFrame([], SCHEMA))
     assert W.records(W.read_chunks(spark, folder, manifest)).collect() == []
+
+
+def test_each_record_is_a_member_of_its_own(spark, tmp_path):
+    pages = spark.createDataFrame([(*p, None, None, None) for p in PAGES], SCHEMA)
+    folder, manifest = W.write_archives(pages, folder=str(tmp_path / "warc"))
+    found = 0
+    for row in manifest.collect():
+        raw = (tmp_path / "warc" / row["file"]).read_bytes()
+        assert len(raw) == row["n_bytes"]
+        members = 0
+        while raw:
+            member = zlib.decompressobj(wbits=31)
+            text = member.decompress(raw)
+            assert member.eof and text.startswith(b"WARC/1.1\r\n") and text.endswith(b"\r\n\r\n")
+            raw, members = member.unused_data, members + 1
+        assert members == row["n_records"]
+        found += members
+    assert found == len(PAGES)
+
+
+def test_payloads_are_chunk_rows_before_they_are_written(spark):
+    rows = W.chunked(spark.createDataFrame([(*p, None, None, None) for p in PAGES], SCHEMA))
+    assert rows.agg({"chunk_no": "max"}).first()[0] == -(-400_000 // W.CHUNK) - 1
+    assert all(len(r["data"]) <= W.CHUNK for r in rows.select("data").collect())
+    assert rows.where("chunk_no = 0").count() == len(PAGES)
+
+
+def test_a_payload_of_many_chunks_in_small_batches(spark):
+    """Batches of a few chunks: records go on over the borders of batches."""
+    big = "0123456789abcdef" * (1 << 16)
+    pages = spark.createDataFrame([(i, "u", big if i < 3 else f"{i}{big}", None, None, None) for i in range(5)], SCHEMA)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        folder, manifest = W.write_archives(pages)
+        rows = sorted(map(tuple, W.records(W.read_chunks(spark, folder, manifest)).collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert rows == brute([(i, "u", big if i < 3 else f"{i}{big}") for i in range(5)])
+
+
+def test_a_writer_refuses_chunks_that_do_not_belong(tmp_path):
+    digest = hashlib.sha1(b"ab").hexdigest()
+    writer = W.ArchiveWriter(str(tmp_path))
+    writer.begin(1, 1, "u", digest, 2, True, None)
+    with pytest.raises(ValueError):
+        writer.add(2, b"ab")
+    writer.add(1, b"a")
+    with pytest.raises(ValueError):
+        writer.begin(2, 2, "u", digest, 2, True, None)
