@@ -45,9 +45,9 @@ def test_training_leaves_held_out_rows_alone(spark):
 
 def test_long_texts_are_read_in_parts(monkeypatch):
     text = "Wörter " * 5000
-    whole = C.gram_counts(text)
+    whole = C.gram_counts(C.letters_of(text))
     monkeypatch.setattr(C, "PART", 1000)
-    assert (C.gram_counts(text) == whole).all()
+    assert (C.gram_counts(C.letters_of(text)) == whole).all()
 
 
 def test_awkward_rows(awkward, nothing):
@@ -59,3 +59,63 @@ def test_awkward_rows(awkward, nothing):
     assert {r["doc_id"] for r in kept.collect()}.isdisjoint({3, 4, 5, 8})
     assert C.drop_rejected(nothing).collect() == []
     assert C.identify(awkward, None).where("lang_pred <> 'und'").collect() == []
+
+
+def brute_score(model, text):
+    """Language and cosine by dictionaries of grams, one after the other."""
+    letters = [b if b >= 128 or 97 <= b <= 122 else 32 for b in f" {text} ".lower().encode()]
+    letters = [b for i, b in enumerate(letters) if not (b == 32 and i and letters[i - 1] == 32)]
+    counts = {}
+    for n in (1, 2, 3):
+        for i in range(len(letters) - n + 1):
+            mixed = sum((letters[i + j] + 1) * int(C._TIMES[j]) for j in range(n)) % 2**32
+            hashed = mixed * 0x27D4EB2F % 2**32
+            hashed ^= hashed >> 15
+            place = (hashed * 0x165667B1 % 2**32) >> int(C._SHIFT)
+            counts[place] = counts.get(place, 0) + 1
+    weights = {p: np.log1p(c) * float(model.idf[p]) for p, c in counts.items()}
+    size = sum(w * w for w in weights.values()) ** 0.5
+    cosines = [sum(w * float(c[p]) for p, w in weights.items()) / size for c in model.centroids]
+    best = max(range(len(cosines)), key=cosines.__getitem__)
+    return model.languages[best], max(0.0, min(1.0, cosines[best])), len(letters)
+
+
+def test_scores_are_those_of_brute_force(spark):
+    docs = documents(spark)
+    model = C.fit(docs)
+    texts = [r["text"] for r in docs.where("doc_id < 60").collect()] + ["Ünïcode, 中文!", "a", "x" * 3000, "é è"]
+    for text, lang, cosine, gone in zip(texts, *model.score(texts), strict=True):
+        want, score, size = brute_score(model, text)
+        floors = model.floors[model.languages.index(want)]
+        assert lang == want and abs(cosine - score) < 1e-4
+        assert gone == (cosine < floors[sum(size >= n for n in C.LENGTHS)])
+
+
+def test_unknown_languages_and_junk_are_rejected_and_short_texts_are_not(spark):
+    model = C.fit(documents(spark))
+    strangers = [
+        "Az emberi jogok egyetemes nyilatkozata szerint minden ember szabadnak születik és egyenlő méltósága van",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw",
+        "a3f9c2b17e" * 4,
+        "xkcd zxqw vbnm qqqq wwww xxxx zzzz vvvv kkkk jjjj",
+    ]
+    assert model.score(strangers)[2].all()
+    assert not model.score(["the", "der mann", "la maison", "they came back", *SAMPLE.values()])[2].any()
+
+
+def test_clusters_hold_a_share_of_their_rows():
+    rng = np.random.default_rng(3)
+    bulk = C.unit(rng.normal(size=(300, 8)) * 0.05 + np.eye(8)[0])
+    other = C.unit(rng.normal(size=(100, 8)) * 0.05 + np.eye(8)[1])
+    outliers = np.eye(8)[[5, 6]]
+    rows = np.concatenate([bulk, other, outliers]).astype(np.float32)
+    centres = C._clusters(rows, 3)
+    held = np.bincount((rows @ centres.T).argmax(axis=1), minlength=len(centres))
+    assert (held >= C.LEAST_SHARE * len(rows)).all() and len(centres) >= 2
+    assert max((centres @ np.eye(8)[1])) > 0.95 and max((centres @ np.eye(8)[0])) > 0.95
+
+
+def test_more_labels_than_the_model_takes(spark, monkeypatch):
+    monkeypatch.setattr(C, "MOST_LANGUAGES", 2)
+    docs = documents(spark).where("lang <> 'fr' OR doc_id < 30")
+    assert set(C.fit(docs).languages) == {"de", "en"}
