@@ -12,14 +12,15 @@ compared, which is winnowing with one hash per window.
 Before the join, documents drop hashes that cannot hit by a bitmap of fixed size (2 MB) over the items'
 hashes; it only saves rows, the join decides. Words are compared by 64-bit hashes.
 
-Defined cases: null and empty texts have no words and no hits; an item without words hits nothing; repeated
-document rows are counted each and share their hits; repeated items count once per identifier; null
-item identifiers are not reported; empty tables give no rows or no hits; other columns are ignored.
+Defined cases: null and empty texts have no words and no hits; an item without words hits nothing; rows are
+told by numbers of their own, so rows that share an identifier, have none or have one of any type get their own
+hits; repeated items count once per identifier; an item without identifier marks words but is not reported;
+empty tables give no rows or no hits; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import functools
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.llm.shared import map_batches, slices, write_table
+from cartwise.llm.shared import map_batches, slices, type_of, write_table
 
 SPAN = 10
 K = 5
@@ -47,6 +48,10 @@ class WordHasher:
     def __init__(self) -> None:
         self.known: dict[bytes, int] = {}
 
+    def close(self) -> None:
+        """Drops the words met so far; a Python worker lives on for other tasks."""
+        self.known = {}
+
     def run(self, text: str | None) -> np.ndarray:
         found = (text or "").encode().translate(_WORD_BYTES).split()
         if len(self.known) > KEPT_WORDS:
@@ -57,11 +62,6 @@ class WordHasher:
         return np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
 
 
-@functools.cache
-def _hasher() -> WordHasher:
-    return WordHasher()
-
-
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Hash of each k consecutive words; k is part of it."""
     if len(words) < k:
@@ -110,7 +110,7 @@ def item_prints(items: DataFrame) -> DataFrame:
     """(item_id, k, hash, context) of the items, each context once per item."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = _hasher()
+        hasher = WordHasher()
         for batch in batches:
             for part in slices(batch):
                 ids, ks, found, around = [], [], [], []
@@ -137,49 +137,56 @@ def item_prints(items: DataFrame) -> DataFrame:
                     ["item_id", "k", "hash", "of_item"],
                 )
 
-    source = items.where("item_id IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
+    source = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
     return map_batches(source, work, "item_id string, k int, hash long, of_item binary").distinct()
 
 
 def document_prints(docs: DataFrame, bitmap: np.ndarray, short: list[int]) -> DataFrame:
-    """doc_id, n_words and the hits that the bitmap lets pass, per row."""
+    """row, doc_id, n_words and the hits that the bitmap lets pass. `row` numbers the rows of one evaluation."""
     sent = docs.sparkSession.sparkContext.broadcast(bitmap.tobytes())
 
+    def hits_of(hasher: WordHasher, bits: np.ndarray, text: str | None) -> tuple[int, list[dict]]:
+        words, mine = hasher.run(text), []
+        for k, reach, hashes, places in _fingerprints(words, short):
+            slot = (hashes[places] >> np.uint64(64 - BITS)).astype(np.int64)
+            places = places[(bits[slot >> 3] >> (slot & 7)) & 1 == 1]
+            if len(places):
+                around = contexts(words, places, k, reach)
+                mine += [
+                    {"k": k, "hash": h, "place": p, "of_doc": c.tobytes()}
+                    for h, p, c in zip(hashes[places].view(np.int64).tolist(), places.tolist(), around, strict=True)
+                ]
+        return len(words), mine
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = _hasher()
         bits = np.frombuffer(sent.value, np.uint8)
         kind = pa.list_(
             pa.struct([("k", pa.int32()), ("hash", pa.int64()), ("place", pa.int64()), ("of_doc", pa.binary())])
         )
-        for batch in batches:
-            for part in slices(batch):
-                counts, hits = [], []
-                for text in part.column("text").to_pylist():
-                    words, mine = hasher.run(text), []
-                    for k, reach, hashes, places in _fingerprints(words, short):
-                        slot = (hashes[places] >> np.uint64(64 - BITS)).astype(np.int64)
-                        places = places[(bits[slot >> 3] >> (slot & 7)) & 1 == 1]
-                        if len(places):
-                            around = contexts(words, places, k, reach)
-                            mine += [
-                                {"k": k, "hash": h, "place": p, "of_doc": c.tobytes()}
-                                for h, p, c in zip(
-                                    hashes[places].view(np.int64).tolist(), places.tolist(), around, strict=True
-                                )
-                            ]
-                    counts.append(len(words))
-                    hits.append(mine)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(hits, kind)],
-                    ["doc_id", "n_words", "hits"],
-                )
-
-    schema = "doc_id long, n_words long, hits array<struct<k int, hash long, place long, of_doc binary>>"
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work, schema)
+        with contextlib.closing(WordHasher()) as hasher:
+            for batch in batches:
+                for part in slices(batch):
+                    found = [hits_of(hasher, bits, text) for text in part.column("text").to_pylist()]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column("row"),
+                            part.column("doc_id"),
+                            pa.array([n for n, _ in found], pa.int64()),
+                            pa.array([hits for _, hits in found], kind),
+                        ],
+                        ["row", "doc_id", "n_words", "hits"],
+                    )
+
+    return map_batches(
+        docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"),
+        work,
+        f"row long, doc_id {type_of(docs, 'doc_id')}, n_words long, "
+        "hits array<struct<k int, hash long, place long, of_doc binary>>",
+    )
 
 
 def extended(hits: DataFrame) -> DataFrame:
-    """(doc_id, item_id, lo, hi): spans that a document shares with an item, hi exclusive; only spans of SPAN
+    """(row, item_id, lo, hi): spans that a document shares with an item, hi exclusive; only spans of SPAN
     words or of a whole short item."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,11 +213,11 @@ def extended(hits: DataFrame) -> DataFrame:
                     lo[rows], hi[rows] = place[rows] - before, place[rows] + size + after
                     good[rows] = core & ((before + size + after >= SPAN) if reach else True)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("item_id"), pa.array(lo), pa.array(hi)],
-                ["doc_id", "item_id", "lo", "hi"],
+                [batch.column("row"), batch.column("item_id"), pa.array(lo), pa.array(hi)],
+                ["row", "item_id", "lo", "hi"],
             ).filter(pa.array(good))
 
-    return map_batches(hits, work, "doc_id long, item_id string, lo long, hi long")
+    return map_batches(hits, work, "row long, item_id string, lo long, hi long")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -227,40 +234,40 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     short = sorted(r["k"] for r in prints.where(F.octet_length("of_item") == F.col("k") * 8).select("k").distinct().collect())
 
     found = write_table(document_prints(docs, bits, short), "document_prints")
-    hits = found.select("doc_id", F.inline("hits")).join(
+    hits = found.select("row", F.inline("hits")).join(
         prints.withColumnsRenamed({"k": "item_k", "hash": "item_hash"}),
         (F.col("k") == F.col("item_k"))
         & (F.col("hash") == F.col("item_hash"))
         & (F.octet_length("of_doc") == F.octet_length("of_item")),
     )
     spans = write_table(
-        extended(hits.select("doc_id", "item_id", "k", "place", "of_doc", "of_item")).distinct(), "spans"
+        extended(hits.select("row", "item_id", "k", "place", "of_doc", "of_item")).distinct(), "spans"
     )
 
     # Union of the spans of a document: a span adds what lies beyond the furthest end before it. Spans are cut
     # into tiles first, so that an ordered group is one tile of a document, however long the document is.
     tile = 4096
     tiled = (
-        spans.select("doc_id", "lo", "hi")
+        spans.select("row", "lo", "hi")
         .distinct()
         .select("*", F.explode(F.sequence(F.floor(F.col("lo") / tile), F.floor((F.col("hi") - 1) / tile))).alias("t"))
         .select(
-            "doc_id",
+            "row",
             "t",
             F.greatest("lo", F.col("t") * tile).alias("lo"),
             F.least("hi", (F.col("t") + 1) * tile).alias("hi"),
         )
         .distinct()
     )
-    before = Window.partitionBy("doc_id", "t").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
-    covered = tiled.withColumn("end", F.coalesce(F.max("hi").over(before), F.lit(0))).groupBy("doc_id").agg(
+    before = Window.partitionBy("row", "t").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
+    covered = tiled.withColumn("end", F.coalesce(F.max("hi").over(before), F.lit(0))).groupBy("row").agg(
         F.sum(F.greatest(F.lit(0), F.col("hi") - F.greatest("lo", "end"))).alias("n_hit")
     )
-    named = spans.groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-    result = covered.join(named, "doc_id")
+    named = spans.groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    result = covered.join(named, "row")
     return (
-        found.select("doc_id", "n_words")
-        .join(result, "doc_id", "left")
+        found.select("row", "doc_id", "n_words")
+        .join(result, "row", "left")
         .select(
             "doc_id",
             "n_words",
@@ -271,7 +278,9 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows without a hit word, with the columns of the input. Rows are told by their identifier."""
-    found = decontaminate(docs, items)
-    hit = found.where("n_hit > 0").select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, docs["doc_id"] == hit["hit_id"], "left_anti")
+    """The rows without a hit word, with the columns of the input. Rows are told by identifier and text, so rows
+    that share an identifier, or have none, are judged each by its own text."""
+    text_key = F.xxhash64(docs["text"])
+    found = decontaminate(docs.select(F.struct("doc_id", text_key.alias("of")).alias("doc_id"), "text"), items)
+    hit = found.where("n_hit > 0").select(F.col("doc_id.doc_id").alias("hit_id"), F.col("doc_id.of").alias("hit_of")).distinct()
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]) & (text_key == hit["hit_of"]), "left_anti")

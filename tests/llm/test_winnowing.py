@@ -18,8 +18,9 @@ def brute(docs, items):
     for item, text in items:
         words = words_of(text)
         n = min(10, len(words))
-        for j in range(len(words) - n + 1 if item is not None and n else 0):
-            windows.setdefault(tuple(words[j : j + n]), set()).add(str(item))
+        for j in range(len(words) - n + 1 if n else 0):
+            # An item without identifier marks words and is not reported.
+            windows.setdefault(tuple(words[j : j + n]), set()).update(() if item is None else (str(item),))
     out = []
     for doc, text in docs:
         words, hit, found = words_of(text), set(), set()
@@ -65,3 +66,25 @@ def test_awkward_rows(spark, awkward, nothing):
     assert out.columns == awkward.columns and out.count() == awkward.count() - 2
     assert W.decontaminate(nothing, items).collect() == []
     assert W.decontaminate(awkward, items.limit(0)).where("n_hit > 0").collect() == []
+
+
+PASSAGE = "one two three four five six seven eight nine ten eleven twelve"
+
+
+def test_rows_are_told_apart_whatever_their_identifiers(spark):
+    rows = [(1, PASSAGE), (1, "a clean text"), (None, PASSAGE), (None, "another clean one"), (2, PASSAGE), (2, PASSAGE)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(7, PASSAGE)], "item_id long, text string")
+    found = sorted(((r["doc_id"] or 0), r["n_words"], r["n_hit"], r["items"]) for r in W.decontaminate(docs, items).collect())
+    clean = [(0, 3, 0, []), (1, 3, 0, [])]
+    assert found == sorted([*clean, (0, 12, 12, ["7"]), (1, 12, 12, ["7"]), (2, 12, 12, ["7"]), (2, 12, 12, ["7"])])
+    kept = W.drop_contaminated(docs, items)
+    assert sorted(r["text"] for r in kept.collect()) == ["a clean text", "another clean one"]
+
+
+def test_identifiers_of_any_type_and_items_without_one(spark):
+    docs = spark.createDataFrame([("x", PASSAGE), ("y", "a clean text")], "doc_id string, text string")
+    items = spark.createDataFrame([(None, PASSAGE)], "item_id long, text string")
+    found = {r["doc_id"]: (r["n_hit"], r["items"]) for r in W.decontaminate(docs, items).collect()}
+    assert found == {"x": (12, []), "y": (0, [])}
+    assert [r["doc_id"] for r in W.drop_contaminated(docs, items).collect()] == ["y"]
