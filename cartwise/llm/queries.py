@@ -78,6 +78,7 @@ def op4_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[count(kind).alias(f"n_{kind}") for kind in crf_pii.BASE_KINDS],
         F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"),
         joined("spans").alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
     )
 
 
