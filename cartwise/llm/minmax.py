@@ -21,6 +21,7 @@ ignored.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 from collections.abc import Iterator
 
@@ -74,6 +75,10 @@ class Shingler:
             known[w] = xxhash.xxh3_64_intdigest(w)
         return np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
 
+    def close(self) -> None:
+        """Drops the words met so far; a Python worker lives on for other tasks."""
+        self.known = {}
+
     def set_of(self, text: str | None) -> np.ndarray:
         """Sorted distinct hashes."""
         words = self.words(text)
@@ -87,11 +92,6 @@ class Shingler:
         return np.unique(_mixed(total))
 
 
-@functools.lru_cache(maxsize=4)
-def _shingler(size: int) -> Shingler:
-    return Shingler(size)
-
-
 def signature(hashes: np.ndarray) -> np.ndarray:
     """All minima, then all maxima."""
     times, plus, _ = _constants()
@@ -118,24 +118,24 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, n_shingles, set_key (null for an empty set), bands of each row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = _shingler(size)
-        for batch in batches:
-            for part in slices(batch):
-                counts, keys, found = [], [], []
-                for text in part.column("text").to_pylist():
-                    hashes = shingler.set_of(text)
-                    counts.append(len(hashes))
-                    keys.append(xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None)
-                    found.append(bands(signature(hashes)) if len(hashes) else [])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array(counts, pa.int64()),
-                        pa.array(keys, pa.binary()),
-                        pa.array(found, pa.list_(pa.int64())),
-                    ],
-                    ["doc_id", "n_shingles", "set_key", "bands"],
-                )
+        with contextlib.closing(Shingler(size)) as shingler:
+            for batch in batches:
+                for part in slices(batch):
+                    counts, keys, found = [], [], []
+                    for text in part.column("text").to_pylist():
+                        hashes = shingler.set_of(text)
+                        counts.append(len(hashes))
+                        keys.append(xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None)
+                        found.append(bands(signature(hashes)) if len(hashes) else [])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column("doc_id"),
+                            pa.array(counts, pa.int64()),
+                            pa.array(keys, pa.binary()),
+                            pa.array(found, pa.list_(pa.int64())),
+                        ],
+                        ["doc_id", "n_shingles", "set_key", "bands"],
+                    )
 
     schema = f"doc_id {type_of(docs, 'doc_id')}, n_shingles long, set_key binary, bands array<long>"
     return map_batches(docs.select("doc_id", "text"), work, schema)
@@ -150,18 +150,18 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, its full set and its counts by group."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = _shingler(size)
-        for batch in batches:
-            for part in slices(batch, limit=1 << 20):
-                found = [shingler.set_of(t) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64())),
-                        pa.array([group_counts(x).tobytes() for x in found], pa.binary()),
-                    ],
-                    ["doc_id", "hashes", "counts"],
-                )
+        with contextlib.closing(Shingler(size)) as shingler:
+            for batch in batches:
+                for part in slices(batch, limit=1 << 20):
+                    found = [shingler.set_of(t) for t in part.column("text").to_pylist()]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column("doc_id"),
+                            pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64())),
+                            pa.array([group_counts(x).tobytes() for x in found], pa.binary()),
+                        ],
+                        ["doc_id", "hashes", "counts"],
+                    )
 
     schema = f"doc_id {type_of(docs, 'doc_id')}, hashes array<long>, counts binary"
     return map_batches(docs.select("doc_id", "text"), work, schema)
