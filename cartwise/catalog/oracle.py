@@ -7,6 +7,7 @@ share no code with the Spark plans.
 from __future__ import annotations
 
 import math
+import re
 from datetime import date, datetime, timedelta
 
 from cartwise.catalog import setting as cfg
@@ -171,7 +172,23 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def _with(names: tuple[str, ...]) -> str:
+_STAMP = re.compile("TIMESTAMP '([^']+)'")
+_FIXED = {_ts(cfg.DEFAULT_REG), _ts(cfg.REG_CUTOFF)}
+
+
+def _earlier(sql: str, days: int) -> str:
+    """The same SQL with all its windows `days` earlier; registration defaults are no windows."""
+
+    def moved(match: re.Match) -> str:
+        if match.group() in _FIXED:
+            return match.group()
+        return _ts(datetime.fromisoformat(match.group(1)) - timedelta(days=days))
+
+    return _STAMP.sub(moved, sql) if days else sql
+
+
+def _with(names: tuple[str, ...], days: int = 0) -> str:
+    """The tables and what they need, `days` earlier; the recency curve is the same for all splits."""
     ordered: list[str] = []
 
     def add(name: str) -> None:
@@ -183,10 +200,11 @@ def _with(names: tuple[str, ...]) -> str:
 
     for name in names:
         add(name)
-    return "WITH " + ", ".join(f"{n} AS ({CTES[n][1]})" for n in ordered)
+    bodies = {n: CTES[n][1] if n == "curve" else _earlier(CTES[n][1], days) for n in ordered}
+    return "WITH " + ", ".join(f"{n} AS ({body})" for n, body in bodies.items())
 
 
-def _sql(needs: tuple[str, ...] | str, body: str, ints=(), doubles=(), raw=()) -> str:
+def _sql(needs: tuple[str, ...] | str, body: str, ints=(), doubles=(), raw=(), days: int = 0) -> str:
     """The body's columns with the declared result types."""
     needs = (needs,) if isinstance(needs, str) else needs
     out = (
@@ -194,7 +212,17 @@ def _sql(needs: tuple[str, ...] | str, body: str, ints=(), doubles=(), raw=()) -
         + [f'round(CAST("{c}" AS DOUBLE), 6) AS "{c}"' for c in doubles]
         + [f'"{c}"' for c in raw]
     )
-    return f"{_with(needs)} SELECT {', '.join(out)} FROM ({body})"
+    return f"{_with(needs, days)} SELECT {', '.join(out)} FROM ({_earlier(body, days)})"
+
+
+def _all_splits(needs: tuple[str, ...], body: str, ints=(), doubles=()) -> str:
+    """A labelled feature table of every rolling split; the last one has no labels yet."""
+    parts = []
+    for back, name in ((2, "valid"), (1, "train"), (0, "online")):
+        label = "" if back else " REPLACE (CAST(NULL AS BIGINT) AS label)"
+        one = _sql(needs, body, ints, doubles, days=back * cfg.SPLIT_STEP_DAYS)
+        parts.append(f"SELECT '{name}' AS split, *{label} FROM ({one})")
+    return " UNION ALL ".join(parts)
 
 
 # --- building blocks ---------------------------------------------------------------------------
@@ -1066,6 +1094,13 @@ def oracle_sql() -> dict[str, str]:
         KEYS4 + ["label"] + SKU_INTS + [f"user__{c}" for c in USER_INTS],
         SKU_DOUBLES + [f"user__{c}" for c in USER_DOUBLES],
     )
+    out["user_split_table"] = _all_splits(feature_needs, _user_features(), U + ["label"] + USER_INTS, USER_DOUBLES)
+    out["pair_split_table"] = _all_splits(
+        sku_needs + feature_needs,
+        _training_table(),
+        KEYS4 + ["label"] + SKU_INTS + [f"user__{c}" for c in USER_INTS],
+        SKU_DOUBLES + [f"user__{c}" for c in USER_DOUBLES],
+    )
     add(
         "rolling_splits",
         ("actions", "users", "products"),

@@ -12,13 +12,13 @@ from pyspark.sql import types as T
 
 from cartwise.catalog import setting as cfg
 from cartwise.operators import counts, decay, distinct, evaluation, items, labels, ranking, recency, sequence
-from cartwise.plans import models, splits
+from cartwise.plans import models, split_tables, splits
 from cartwise.plans import pair_features as pf
 from cartwise.plans import user_features as uf
 from cartwise.plans.context import FeatureContext
 from cartwise.sources.logs import union_months
 from cartwise.sources.retail import RetailTables
-from cartwise.sources.sinks import materialise, scratch_folder, stage_actions
+from cartwise.sources.sinks import materialise, scratch_folder
 from cartwise.windows import Suffixes, WindowSpec, scan_window
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,15 +71,9 @@ class Inputs:
     def fitted_curve(self) -> DataFrame:
         return decay.fit_curve(self.curve())
 
-    @cached_property
-    def staged_actions(self) -> DataFrame:
-        return stage_actions(self.actions.drop("value", "ts"), cfg.STAGED)
-
-    def context(
-        self, window: WindowSpec = cfg.WINDOW, decayed: bool = False, staged: bool = False
-    ) -> FeatureContext:
+    def context(self, window: WindowSpec = cfg.WINDOW, decayed: bool = False) -> FeatureContext:
         return FeatureContext(
-            actions=self.staged_actions if staged else self.actions,
+            actions=self.actions,
             users=self.users,
             products=self.products,
             comments=self.comments,
@@ -116,6 +110,17 @@ def _months(x: Inputs) -> DataFrame:
     return union_months([raw.filter(part) for part in parts])
 
 
+def _split_windows() -> list[splits.Split]:
+    """The splits, each with features over as many days as the window has."""
+    return splits.rolling_splits(W.end, (W.end - W.start).days, cfg.SPLIT_LABEL_DAYS, cfg.SPLIT_STEP_DAYS)
+
+
+def _split_table(x: Inputs, write: Callable[..., DataFrame]) -> DataFrame:
+    """All three splits, written one after the other into one table over shared partial rows."""
+    folder, partials = (scratch_folder(x.tables.spark) for _ in range(2))
+    return write(x.context(decayed=True), _split_windows(), folder, partials)
+
+
 def _keyed_pairs(x: Inputs) -> DataFrame:
     return labels.candidate_pairs(x.actions, cfg.WINDOW, cfg.CATE)
 
@@ -251,8 +256,10 @@ def _operators() -> dict[str, Callable[[Inputs], DataFrame]]:
             _keyed_pairs(x), pf.item_table(x.context())
         ),
         "brand_features": lambda x: pf.add_brand_features(_keyed_pairs(x), x.context()),
-        "sku_features": lambda x: pf.sku_features(x.context(decayed=True, staged=True), x.pair_positives()),
-        "training_table": lambda x: pf.training_table(x.context(decayed=True, staged=True), x.pair_positives()),
+        "sku_features": lambda x: pf.sku_features(x.context(decayed=True), x.pair_positives()),
+        "training_table": lambda x: pf.training_table(x.context(decayed=True), x.pair_positives()),
+        "user_split_table": lambda x: _split_table(x, split_tables.user_split_table),
+        "pair_split_table": lambda x: _split_table(x, split_tables.pair_split_table),
         "rolling_splits": lambda x: splits.split_candidates(
             x.actions,
             x.products,
@@ -297,7 +304,7 @@ def _pair_table(x: Inputs, window: WindowSpec, labelled: bool = True) -> DataFra
     if labelled:
         label = window.ahead(days=cfg.SPLIT_LABEL_DAYS)
         positives = labels.label_pairs_known(x.actions, label, x.products, x.users)
-    return pf.training_table(x.context(window, decayed=True, staged=True), positives)
+    return pf.training_table(x.context(window, decayed=True), positives)
 
 
 def _scored(df: DataFrame) -> DataFrame:

@@ -11,8 +11,6 @@ WINDOW = WindowSpec.of("2024-01-01", "2024-01-25")
 SUB = WINDOW.back(days=7)
 LABEL = WINDOW.ahead(days=5)
 SPLIT_DAYS, SPLIT_LABEL_DAYS, SPLIT_STEP_DAYS = 65, 5, 5
-# The longest window that a feature of any split reaches back to.
-STAGED = WINDOW.back(days=SPLIT_DAYS + 2 * SPLIT_STEP_DAYS)
 # The curve is learned one split earlier, so its label window ends where the features end.
 CURVE_WINDOW = WindowSpec.of("2024-01-01", "2024-01-20")
 CURVE_LABEL = CURVE_WINDOW.ahead(days=5)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import DataFrame
+
 from cartwise.windows import DAY
 
 _BITS = 63
@@ -17,6 +19,13 @@ def count_where(*conds: str | None) -> str:
     return f"count_if({_and(*conds)})"
 
 
+def rows_of(df: DataFrame, *conds: str | None) -> str:
+    """Number of matching log rows, of the log itself or of partial rows that stand for `n` each."""
+    if "n" in df.columns:
+        return f"sum(if({_and(*conds) or 'true'}, n, 0L))"
+    return count_where(*conds) if any(conds) else "count(1)"
+
+
 def is_type(*types: int) -> str:
     codes = [str(int(t)) for t in types]
     return f"type = {codes[0]}" if len(codes) == 1 else f"type IN ({', '.join(codes)})"

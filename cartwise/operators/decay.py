@@ -50,20 +50,29 @@ def decay_curve(
     return share.select("time_dist", F.try_divide(F.col("share") - low, high - low).alias("weight"))
 
 
+def curve_weights(curve: DataFrame) -> list[float | None]:
+    """The weights of hour distances 1, 2, ...; None where the curve has no row.
+
+    A curve is a parameter of one row per hour (720 by default), like the coefficients of a model, so it is
+    evaluated here; one that reaches beyond MOST_HOURS is an error.
+    """
+    rows = curve.where("time_dist >= 1").select("time_dist", "weight").limit(MOST_HOURS + 1).collect()
+    known = {r["time_dist"]: r["weight"] for r in rows}
+    if len(rows) > MOST_HOURS or any(hour > MOST_HOURS for hour in known):
+        raise ValueError(f"a curve of more than {MOST_HOURS} hours")
+    if len(known) < len(rows):
+        raise ValueError("a curve with several weights for an hour")
+    return [known.get(hour) for hour in range(1, max(known, default=0) + 1)]
+
+
 def with_weights(rows: DataFrame, curve: DataFrame, age: str = "age") -> DataFrame:
     """Adds `weight` to rows with an age in whole seconds: that of the hour distance, whole hours plus one.
 
-    Rows beyond the curve get NULL.
-
-    A curve has one row per hour distance (720 by default). Hours beyond MOST_HOURS are left out, which
-    bounds the broadcast whatever the caller passes.
+    The weights are an array literal that the hour distance indexes, so there is neither a join nor a
+    shuffle. Rows beyond the curve get NULL.
     """
-    bounded = curve.where(f"time_dist BETWEEN 1 AND {MOST_HOURS}").groupBy("time_dist")
-    return (
-        rows.withColumn("time_dist", F.expr(f"cast({age} DIV {HOUR} AS INT) + 1"))
-        .join(F.broadcast(bounded.agg(F.first("weight").alias("weight"))), "time_dist", "left")
-        .drop("time_dist")
-    )
+    weights = ", ".join("NULL" if w is None else f"{w!r}D" for w in curve_weights(curve))
+    return rows.withColumn("weight", F.expr(f"get(cast(array({weights}) AS array<double>), cast({age} DIV {HOUR} AS INT))"))
 
 
 def decayed_counts(
@@ -101,13 +110,13 @@ def user_decayed_totals(
 
 
 def fit_curve(curve: DataFrame) -> DataFrame:
-    """Evaluates a lazy curve once and returns it as a local table.
-
-    A fitted curve is a parameter of one row per hour (720 by default), like the coefficients of a model;
-    plans that use it several times then do not learn it again.
-    """
-    rows = curve.select("time_dist", "weight").collect()
-    cells = ", ".join(f"({r.time_dist}, {'NULL' if r.weight is None else repr(r.weight) + 'D'})" for r in rows)
+    """Evaluates a lazy curve once and returns it as a local table, so that plans that use it several times do
+    not learn it again."""
+    cells = ", ".join(
+        f"({hour}, {'NULL' if w is None else f'{w!r}D'})" for hour, w in enumerate(curve_weights(curve), 1)
+    )
+    empty = "" if cells else " LIMIT 0"
     return curve.sparkSession.sql(
-        f"SELECT time_dist, cast(weight AS DOUBLE) AS weight FROM VALUES {cells} AS c(time_dist, weight)"
+        "SELECT cast(time_dist AS INT) AS time_dist, cast(weight AS DOUBLE) AS weight "
+        f"FROM VALUES {cells or '(0, 0.0D)'} AS c(time_dist, weight){empty}"
     )

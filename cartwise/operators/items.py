@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.functions.aggregates import count_where, is_type
+from cartwise.functions.aggregates import is_type, rows_of
 from cartwise.functions.exprs import aggregate, project
 from cartwise.functions.ratios import ratio_zero_as_one
 from cartwise.operators.distinct import people_flow_multi
@@ -53,7 +53,7 @@ def top_by_buys(actions: DataFrame, window: WindowSpec, cate: int, key: str, n:
     buys = scan_window(actions, window, cate).filter(F.col("type") == BUY)
     return (
         buys.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("buys"))
+        .agg(F.expr(rows_of(actions)).alias("buys"))
         .orderBy(F.desc("buys"), key)
         .limit(n)
         .select(key)
@@ -92,7 +92,7 @@ def sale_ratios(actions: DataFrame, end: datetime, days=SALE_DAYS) -> DataFrame:
     sums, so the log is aggregated once.
     """
     suffixes = Suffixes.days(end, days)
-    buys = {f"buys_{w}": count_where(is_type(BUY), suffixes.within(w)) for w in suffixes.labels}
+    buys = {f"buys_{w}": rows_of(actions, is_type(BUY), suffixes.within(w)) for w in suffixes.labels}
     items = aggregate(
         suffixes.scan(actions), ["sku_id", "cate", "brand"], {"age": "min(age)", **buys}
     )

@@ -22,13 +22,20 @@ from cartwise.windows import Suffixes
 def rollup(rows: DataFrame, suffixes: Suffixes, keys: list[str], details: list[str]) -> DataFrame:
     """Counts, age range, day bitmap and weights per (keys, details, type, band), placed by `keys`.
 
-    `rows` carry `age` and `whole_age`, and `weight` when recency weights are wanted.
+    `rows` carry `age` and `whole_age`, and `weight` when recency weights are wanted. Partial rows carry `n`, how
+    many log rows they stand for, and `oldest_age`, the whole age of the first.
     """
+    partial = "n" in rows.columns
     spans = sorted({seconds for _, seconds in suffixes.spans})
     band = "CASE " + " ".join(f"WHEN age <= {s} THEN {s}L" for s in spans) + " END"
-    measures: Exprs = {"n": "count(1)", "youngest": "min(whole_age)", "oldest": "max(whole_age)", "nearest": "min(age)"}
+    measures: Exprs = {
+        "n": "sum(n)" if partial else "count(1)",
+        "youngest": "min(whole_age)",
+        "oldest": "max(oldest_age)" if partial else "max(whole_age)",
+        "nearest": "min(age)",
+    }
     if "weight" in rows.columns:
-        measures["w"] = "sum(weight)"
+        measures["w"] = "sum(weight * n)" if partial else "sum(weight)"
     for i, word in enumerate(day_words(suffixes.end, spans[-1])):
         measures[f"days_{i}"] = f"bit_or({word})"
     counted = aggregate(

@@ -34,10 +34,18 @@ class FeatureContext:
     candidate_days: int = 7
     # First day of the log: brand membership of items is taken from there, not from the window start.
     log_start: datetime | None = None
+    # Written parts of the log, see `partials.with_partials`: hourly counts, and the candidates' recent rows.
+    partials: DataFrame | None = None
+    candidate_actions: DataFrame | None = None
 
     def weighted(self, rows: DataFrame) -> DataFrame:
         return rows if self.curve is None else with_weights(rows, self.curve, "whole_age")
 
+    @property
+    def counted(self) -> DataFrame:
+        """Rows to count: partial rows where there are some, else those of the log."""
+        return self.actions if self.partials is None else self.partials
+
     @property
     def end(self) -> datetime:
         return self.window.end

@@ -26,6 +26,7 @@ from cartwise.operators.rollup import (
 from cartwise.operators.sequence import dwell_multi, visit_runs_multi
 from cartwise.plans import user_features as uf
 from cartwise.plans.context import FeatureContext
+from cartwise.plans.partials import with_partials
 from cartwise.schema import NON_BUY_TYPES, ActionType
 from cartwise.windows import DAY, HOUR, Suffixes, WindowSpec
 
@@ -80,7 +81,7 @@ def pair_block(ctx: FeatureContext) -> DataFrame:
         exprs["p_decay"] = weights_where(month)
         for t in NON_BUY_TYPES:
             exprs[f"p_decay_{t}"] = weights_where(is_type(t), month)
-    rows = ctx.weighted(both.scan(ctx.actions, ctx.cate))
+    rows = ctx.weighted(both.scan(ctx.counted, ctx.cate))
     return aggregate(rollup(rows, both, PAIR, ["brand"]), PAIR, exprs)
 
 
@@ -236,7 +237,7 @@ def ui_browse_click(ctx: FeatureContext) -> DataFrame:
 def _brand_block(ctx: FeatureContext) -> DataFrame:
     s = Suffixes.days(ctx.end, BRAND_DAYS)
     keys, totals = ["user_id", "brand"], {f"ub_total_{w}": rows_where(within(s, w)) for w in s.labels}
-    return aggregate(rollup(s.scan(ctx.actions), s, keys, []), keys, {"ub_age": "min(nearest)", **totals})
+    return aggregate(rollup(s.scan(ctx.counted), s, keys, []), keys, {"ub_age": "min(nearest)", **totals})
 
 
 def brand_share_columns() -> Exprs:
@@ -255,9 +256,9 @@ def ub_share(ctx: FeatureContext) -> DataFrame:
 
 def item_table(ctx: FeatureContext) -> DataFrame:
     """Flow, attribute, comment and best-seller columns, one row per item seen in the window."""
-    top = item_ops.top_by_buys(ctx.actions, ctx.window.back(days=7), ctx.cate, "sku_id", TOP_N)
+    top = item_ops.top_by_buys(ctx.counted, ctx.window.back(days=7), ctx.cate, "sku_id", TOP_N)
     known = (
-        item_ops.flow_ratios(ctx.actions, ctx.window)
+        item_ops.flow_ratios(ctx.counted, ctx.window)
         .join(item_ops.attribute_onehot(ctx.products), "sku_id", "left")
         .join(item_ops.comment_snapshot(ctx.comments, ctx.end), "sku_id", "left")
     )
@@ -266,9 +267,9 @@ def item_table(ctx: FeatureContext) -> DataFrame:
 
 def brand_table(ctx: FeatureContext) -> DataFrame:
     """Bad-comment rate and best-seller flag, one row per brand with either."""
-    top = item_ops.top_by_buys(ctx.actions, ctx.window.back(days=7), ctx.cate, "brand", TOP_N)
+    top = item_ops.top_by_buys(ctx.counted, ctx.window.back(days=7), ctx.cate, "brand", TOP_N)
     history = WindowSpec(ctx.log_start or ctx.window.start, ctx.end)
-    rates = item_ops.brand_bad_rate(ctx.actions, history, ctx.comments)
+    rates = item_ops.brand_bad_rate(ctx.counted, history, ctx.comments)
     flagged = top.selectExpr("brand", "1 AS top_brand")
     return rates.join(flagged, "brand", "full")
 
@@ -310,6 +311,7 @@ _KEYS = ["user_id", "sku_id", "cate", "brand"]
 
 def pair_features(ctx: FeatureContext, positives: DataFrame | None = None) -> DataFrame:
     """Candidate pairs with 127 features. Values of windows without a row are NULL."""
+    ctx = with_partials(ctx)
     joined = _candidate_pairs(ctx).join(_user_side(ctx), "user_id")
     return _label(project(joined, _KEYS, pair_feature_columns()), positives)
 
@@ -321,7 +323,7 @@ def _assembled(ctx: FeatureContext, users: DataFrame, extra: Exprs) -> DataFrame
     broadcasts small item and brand tables and splits a join on a hot key.
     """
     pairs = _candidate_pairs(ctx).join(_brand_block(uf.of_candidates(ctx)), ["user_id", "brand"], "left")
-    items = item_table(ctx).join(item_ops.sale_ratios(ctx.actions, ctx.end), "sku_id", "left")
+    items = item_table(ctx).join(item_ops.sale_ratios(ctx.counted, ctx.end), "sku_id", "left")
     with_items = add_item_features(pairs, items)
     joined = add_brand_features(with_items, ctx).join(users, "user_id")
     columns = {
@@ -344,6 +346,7 @@ def _item_columns() -> list[str]:
 
 def sku_features(ctx: FeatureContext, positives: DataFrame | None = None) -> DataFrame:
     """Candidate pairs with pair, brand, item and sales features; absent values are 0."""
+    ctx = with_partials(ctx)
     return zero_fill(_label(_assembled(ctx, _user_side(ctx), {}), positives))
 
 
@@ -356,6 +359,7 @@ def training_table(ctx: FeatureContext, positives: DataFrame | None = None) -> D
     Pair denominators and user features are columns of one user frame, so the user side is computed and
     joined once. User features keep their NULLs.
     """
+    ctx = with_partials(ctx)
     denominators = [
         "u_carts_full",
         *[f"u_days_{w}" for w in RATIO_DAYS],

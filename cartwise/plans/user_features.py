@@ -47,6 +47,8 @@ CATE_DAY_SPANS = ("7d", "15d")
 SEQUENCE_DAYS = (1, 2, 3, 5, 7)
 CATE_COUNT_TYPES = (2, 4, 5)
 RULE_LEVEL, RULE_DAYS = 2, 2
+# The longest window of any user, pair or brand block but `full`.
+MOST_DAYS = 28
 
 
 def user_block(ctx: FeatureContext) -> DataFrame:
@@ -88,18 +90,25 @@ def user_block(ctx: FeatureContext) -> DataFrame:
         exprs[f"c_decay_{t}_15d"] = weights_where(is_type(t), "here", fortnight)
     for z in TIME_ZONES:
         exprs[f"c_tz_{z}_7d"] = rows_where(f"zone = {z}", "here", week)
-    rows = ctx.weighted(s.scan(ctx.actions)).selectExpr("*", f"cate = {int(ctx.cate)} AS here")
+    rows = ctx.weighted(s.scan(ctx.counted)).selectExpr("*", f"cate = {int(ctx.cate)} AS here")
     zoned = rows.selectExpr("*", f"if(here AND age <= {7 * DAY}, time_zone, NULL) AS zone")
     return aggregate(rollup(zoned, s, USER, ["here", "zone"]), USER, exprs)
 
 
+def candidates(ctx: FeatureContext) -> DataFrame:
+    """Users active in the target category in the last `candidate_days` who did not buy there."""
+    recent = scan_window(ctx.counted, ctx.window.back(days=ctx.candidate_days), ctx.cate)
+    return aggregate(recent, USER, {"buys": f"count_if({is_type(BUY)})"}).filter("buys = 0").select("user_id")
+
+
 def of_candidates(ctx: FeatureContext) -> FeatureContext:
     """The context with the candidates' part of the log: their rows are chosen by one narrow aggregate over
     the last `candidate_days` before anything wide is computed or shuffled."""
-    recent = scan_window(ctx.actions, ctx.window.back(days=ctx.candidate_days), ctx.cate)
-    buys = aggregate(recent, USER, {"buys": f"count_if({is_type(BUY)})"})
-    candidates = buys.filter("buys = 0").select("user_id")
-    return replace(ctx, actions=ctx.actions.join(candidates, "user_id", "left_semi"))
+    chosen = candidates(ctx)
+    if ctx.partials is None:
+        return replace(ctx, actions=ctx.actions.join(chosen, "user_id", "left_semi"))
+    partials = ctx.partials.join(chosen, "user_id", "left_semi")
+    return replace(ctx, partials=partials, actions=ctx.candidate_actions)
 
 
 def recent_non_buyers(block: DataFrame) -> DataFrame:
@@ -206,7 +215,7 @@ def other_categories_bought(ctx: FeatureContext) -> DataFrame:
 
 
 def _other_purchases(ctx: FeatureContext) -> DataFrame:
-    rows = scan_window(ctx.actions, ctx.window.back(days=7))
+    rows = scan_window(ctx.counted, ctx.window.back(days=7))
     buys = rows.filter(f"cate <> {int(ctx.cate)} AND {is_type(BUY)}")
     return buys.groupBy("user_id").agg(F.count_distinct("cate").alias("other_bought"))
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cartwise.windows import WindowSpec, scan_window
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
+_FILES = 16  # tasks that share the rows of a partition
 
 
 def write_actions(actions: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -39,6 +40,18 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         writer.format(fmt).save(path)
 
 
+def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
+    """Writes rows into a partitioned Parquet table and replaces just the partitions that they belong to, so that
+    a part can be made again alone and a failed write leaves the others as they were."""
+    (
+        df.repartition(*by, F.pmod(F.xxhash64(*[c for c in df.columns if c not in by][:2]), F.lit(_FILES)))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by)
+        .parquet(path)
+    )
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that the driver and all executors reach: `spark.checkpoint.dir` of the session.
 
@@ -68,13 +81,15 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
-def stage_actions(actions: DataFrame, window: WindowSpec) -> DataFrame:
-    """The rows of the window as a table in the shared folder, for plans that scan them many times.
+def stage_actions(actions: DataFrame, window: WindowSpec, drop: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of the window, without the columns `drop`, as a table in the shared folder, for plans that scan
+    them many times.
 
-    Rows are written as they come, without a shuffle: a log read in time order keeps narrow time ranges
-    per row group, so window filters still skip most of it.
+    The window is applied before columns go, so that it reaches the log's scan. Rows are written as they come,
+    without a shuffle: a log read in time order keeps narrow time ranges per row group, so window filters still
+    skip most of it.
     """
     folder = scratch_folder(actions.sparkSession)
-    actions = scan_window(actions, window)
-    actions.write.parquet(folder)
-    return actions.sparkSession.read.schema(actions.schema).parquet(folder)
+    rows = scan_window(actions, window).drop(*drop)
+    rows.write.parquet(folder)
+    return actions.sparkSession.read.schema(rows.schema).parquet(folder)

@@ -109,9 +109,13 @@ class Suffixes:
         return f"age <= {self.seconds(label)}"
 
     def scan(self, actions: DataFrame, cate: int | None = None) -> DataFrame:
-        """Rows of the longest window with their age, rounded up for windows and as whole seconds."""
+        """Rows of the longest window with their age, rounded up for windows and as whole seconds. Partial rows
+        have the ages of their last action, and the whole age of their first."""
         rows = scan_window(actions, self.longest, cate)
-        return rows.withColumns({"age": age_seconds_up(self.end), "whole_age": age_seconds(self.end)})
+        ages = {"age": age_seconds_up(self.end), "whole_age": age_seconds(self.end)}
+        if "first" in actions.columns:
+            ages["oldest_age"] = age_seconds(self.end, "first")
+        return rows.withColumns(ages)
 
 
 def scan_window(
