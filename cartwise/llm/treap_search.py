@@ -10,6 +10,7 @@ An item descends along the rows of all its terms at once, over ranges of documen
 for every term, the cell of that row and range. The sum of weight times largest impact bounds every score in
 the range. The best bounds are split first, and lower documents first among equals, until no open range can
 beat the 50 documents found; so results are exact, ties included. States are split in small groups with numpy.
+Some shards are searched first: the others leave off where no range can reach the 50th score found there.
 
 Impacts need the number of documents and of terms, which one pass counts before. Shards are made where the
 documents are, with at most about POINTS points each, so nothing is shuffled but results: the best of each
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,10 +38,12 @@ from pyspark.sql import functions as F
 from cartwise.llm.shared import map_batches, slices, steady_objects, write_table
 
 BEST = 50
-POINTS = 2_000_000  # of a shard, beyond the last document's
+POINTS = 1_000_000  # of a shard, beyond the last document's
+SAMPLED = 16  # one shard of so many is searched first, for scores that the others' documents must reach
 BLOCK_BYTES = 32 << 20  # item text that is searched for at a time
 SPLIT = 96  # ranges that are split at a time
 SPACING = 8  # a cell has 2 ** SPACING times fewer rows than documents, so that maxima tell rows apart early
+PART_BYTES = 1 << 20  # text that is split into terms at a time
 CODEC = "zstd"
 
 #: What a term is made of, as the contract's pattern; A-Z in lower case.
@@ -141,9 +145,9 @@ class Treap:
         row = _gather(point >> np.uint64(1)) >> SPACING
         return cls(height, np.concatenate(masks), np.concatenate(most), row, _gather(point))
 
-    def best(self, rows: np.ndarray, weights: np.ndarray, columns: int, k: int) -> list[tuple[int, int]]:
+    def best(self, rows: np.ndarray, weights: np.ndarray, columns: int, k: int, least: int = 1) -> list[tuple[int, int]]:
         """(score, column) of the k columns with the largest sums of weight times impact, the largest first
-        and the lower column first among equals; only sums above 0."""
+        and the lower column first among equals; only sums of `least` and more."""
         if not len(rows) or not len(self.mask):
             return []
         # Of each state and term: the cell (-1 none, -2 a single point), the point's column, the largest impact.
@@ -156,6 +160,9 @@ class Treap:
             group = []
             while heap and len(group) < SPLIT:
                 bound, low, level, at = heap[0]
+                if -bound < least:
+                    heap.clear()
+                    break
                 if level == self.height:
                     if group:
                         break  # a result counts only when nothing before it is open
@@ -170,7 +177,7 @@ class Treap:
             low, level, at = np.array(group, np.int64).T
             halves, starts, levels = self._halves(rows, low, level, pool[at])
             bounds = halves[:, 2] @ weights
-            kept = np.flatnonzero((bounds > 0) & (starts < columns))
+            kept = np.flatnonzero((bounds >= least) & (starts < columns))
             # Half of the new states take their parents' places.
             places = np.concatenate([at, np.arange(used, used + max(len(kept) - len(at), 0))])[: len(kept)]
             used += max(len(kept) - len(at), 0)
@@ -219,7 +226,7 @@ class Treap:
 
 _ARRAYS = ("doc_ids", "known", "terms", "rows", "df", "mask", "most", "row", "column")
 _KINDS = dict(zip(_ARRAYS, ("<i8", "u1", "<u8", "<u4", "<u4", "u1", "<u4", "<u4", "<u4"), strict=True))
-SHARD = "height int, " + ", ".join(f"{a} struct<n: int, data: binary>" for a in _ARRAYS)
+SHARD = "height int, draw int, " + ", ".join(f"{a} struct<n: int, data: binary>" for a in _ARRAYS)
 
 
 def _packed(name: str, x: np.ndarray) -> dict:
@@ -278,7 +285,12 @@ class ShardBuilder:
         packed = [_packed(n, x) for n, x in zip(_ARRAYS, arrays, strict=True)]
         kind = pa.struct([("n", pa.int32()), ("data", pa.binary())])
         return pa.RecordBatch.from_arrays(
-            [pa.array([treap.height], pa.int32()), *[pa.array([x], kind) for x in packed]], ["height", *_ARRAYS]
+            [
+                pa.array([treap.height], pa.int32()),
+                pa.array([zlib.crc32(terms.tobytes()) % SAMPLED], pa.int32()),
+                *[pa.array([x], kind) for x in packed],
+            ],
+            ["height", "draw", *_ARRAYS],
         )
 
 
@@ -296,7 +308,7 @@ def build_index(docs: DataFrame, documents: int, length: int) -> DataFrame:
         builder = ShardBuilder(documents, length)
         with steady_objects():
             for batch in batches:
-                for part in slices(batch):
+                for part in slices(batch, limit=PART_BYTES):
                     split = [terms_of(t) for t in part.column("text").to_pylist()]
                     distinct = list(set().union(*split))
                     known = dict(zip(distinct, hashes_of(distinct).tolist(), strict=True))
@@ -318,7 +330,8 @@ def document_frequencies(index: DataFrame, terms: np.ndarray) -> dict[int, int]:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = sent.value
         for batch in batches:
-            for shard in batch.to_pylist():
+            for place in range(batch.num_rows):
+                (shard,) = batch.slice(place, 1).to_pylist()
                 held, df = _unpacked(shard, "terms"), _unpacked(shard, "df")
                 at = np.minimum(np.searchsorted(held, asked), len(held) - 1)
                 has = held[at] == asked
@@ -330,28 +343,29 @@ def document_frequencies(index: DataFrame, terms: np.ndarray) -> dict[int, int]:
     return {r["term"] & 0xFFFFFFFFFFFFFFFF: r["df"] for r in counted.collect()}
 
 
-def _search_block(index: DataFrame, items: dict, documents: int) -> DataFrame:
-    """(item, doc_id, score): each shard's best for each item of a block; `item` is its place in the block."""
-    asked = np.unique(np.concatenate([*items.values(), np.empty(0, np.uint64)]))
-    weights = {t: weight(df, documents) for t, df in document_frequencies(index, asked).items()}
-    queries = []
-    for terms in items.values():
-        kept = np.array([t for t in terms.tolist() if weights.get(t, 0) > 0], np.uint64)
-        queries.append((kept, np.array([weights[t] for t in kept.tolist()], np.int64)))
-    sent = index.sparkSession.sparkContext.broadcast(queries)
+def _shard_results(index: DataFrame, queries: list[tuple[np.ndarray, np.ndarray]], least: dict[int, int], k: int) -> DataFrame:
+    """(item, doc_id, score): each shard's best for each query. A document must reach the query's `least` score
+    and the k best that the task has found before, so none of the k best of all is left out."""
+    sent = index.sparkSession.sparkContext.broadcast((queries, least))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, least = sent.value
+        seen = {i: [least.get(i, 1)] * k for i in range(len(asked))}  # the k best scores, a heap
         for batch in batches:
-            for shard in batch.to_pylist():
+            for place in range(batch.num_rows):
+                (shard,) = batch.slice(place, 1).to_pylist()
                 held, rows = _unpacked(shard, "terms"), _unpacked(shard, "rows").astype(np.int64)
                 ids, known = _unpacked(shard, "doc_ids"), _unpacked(shard, "known").astype(bool)
                 mask, most, row, column = (_unpacked(shard, a) for a in ("mask", "most", "row", "column"))
                 treap = Treap(shard["height"], mask, most, row, column)
                 out = []
-                for item, (terms, mine) in enumerate(sent.value):
+                for item, (terms, weights) in enumerate(asked):
                     at = np.minimum(np.searchsorted(held, terms), len(held) - 1)
                     has = held[at] == terms
-                    out += [(item, c, s) for s, c in treap.best(rows[at[has]], mine[has], len(ids), BEST)]
+                    best = treap.best(rows[at[has]], weights[has], len(ids), k, seen[item][0])
+                    for score, c in best:
+                        heapq.heappushpop(seen[item], score)
+                        out.append((item, c, score))
                 item, at, score = (np.array([r[i] for r in out], np.int64) for i in range(3))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(item), pa.array(ids[at], mask=~known[at]), pa.array(score)], ["item", "doc_id", "score"]
@@ -360,6 +374,26 @@ def _search_block(index: DataFrame, items: dict, documents: int) -> DataFrame:
     return map_batches(index, work, "item long, doc_id long, score long")
 
 
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    """The k best of each item. Spark keeps each task's first rows of the window before it shuffles."""
+    order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _search_block(index: DataFrame, items: dict, documents: int, k: int) -> DataFrame:
+    """(item, rank, doc_id, score) for the items of a block; `item` is its place in the block."""
+    asked = np.unique(np.concatenate([*items.values(), np.empty(0, np.uint64)]))
+    weights = {t: weight(df, documents) for t, df in document_frequencies(index, asked).items()}
+    queries = []
+    for terms in items.values():
+        kept = np.array([t for t in terms.tolist() if weights.get(t, 0) > 0], np.uint64)
+        queries.append((kept, np.array([weights[t] for t in kept.tolist()], np.int64)))
+    first = write_table(_ranked(_shard_results(index.where("draw = 0"), queries, {}, k), k), "first_shards")
+    least = {r["item"]: r["score"] for r in first.where(F.col("rank") == k).collect()}  # one row per item
+    rest = _shard_results(index.where("draw > 0"), queries, least, k)
+    return _ranked(first.drop("rank").unionByName(rest), k)
+
+
 def item_terms(items: DataFrame) -> DataFrame:
     """item_id, terms (distinct hashes) of each identifier."""
 
@@ -377,9 +411,9 @@ def item_terms(items: DataFrame) -> DataFrame:
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = BEST) -> DataFrame:
-    """item_id, rank, doc_id, score of each item's `k` best documents (at most BEST)."""
-    if not 0 < k <= BEST:
-        raise ValueError(f"k must be from 1 to {BEST}")
+    """item_id, rank, doc_id, score of each item's `k` best documents."""
+    if k < 1:
+        raise ValueError("k must be 1 or more")
     spark: SparkSession = docs.sparkSession
     documents, length = statistics(docs)
     asked = write_table(item_terms(items), "item_terms")
@@ -394,10 +428,8 @@ def search(docs: DataFrame, items: DataFrame, k: int = BEST) -> DataFrame:
         mine = asked.where(F.pmod(F.xxhash64(F.col("item_id").cast("string")), F.lit(blocks)) == block).collect()
         if not mine:
             continue
-        found = _search_block(index, {i: np.array(r["terms"], np.int64).view(np.uint64) for i, r in enumerate(mine)}, documents)
-        # Spark keeps each task's first rows of a window before it shuffles.
-        order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-        ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        terms = {i: np.array(r["terms"], np.int64).view(np.uint64) for i, r in enumerate(mine)}
+        ranked = _search_block(index, terms, documents, k)
         names = spark.createDataFrame([(i, r["item_id"]) for i, r in enumerate(mine)], f"item long, item_id {kind}")
         out = out.unionByName(ranked.join(F.broadcast(names), "item").select("item_id", "rank", "doc_id", "score"))
     return out

@@ -62,6 +62,9 @@ def test_treap_gives_the_best_columns(seed):
         scores = weights @ grid[chosen]
         want = sorted((-int(s), c) for c, s in enumerate(scores) if s > 0)[:50]
         assert [(-s, c) for s, c in treap.best(chosen, weights, n_columns, 50)] == want
+        least = int(rng.integers(1, max(scores) + 2))
+        found = treap.best(chosen, weights, n_columns, 50, least)
+        assert [(-s, c) for s, c in found] == [w for w in want if -w[0] >= least]
 
 
 def test_parents_are_never_below_their_children():
@@ -88,6 +91,7 @@ def test_same_ranks_as_brute_force(spark, awkward, monkeypatch):
 def test_ties_go_to_the_lowest_identifiers_across_shards(spark, monkeypatch):
     monkeypatch.setattr(T, "POINTS", 30)
     monkeypatch.setattr(T, "BLOCK_BYTES", 16)  # several blocks of items
+    monkeypatch.setattr(T, "SAMPLED", 3)
     rng = random.Random(3)
     docs = [(i, "alpha beta" if i % 3 else f"alpha w{rng.randint(0, 5)}") for i in range(400)]
     items = [(i, t) for i, t in enumerate(["alpha", "beta gamma", "w1 w2 beta", "w9", "alpha w0"])]
