@@ -18,8 +18,9 @@ stored one after the other; an empty table gives an empty manifest and no rows;
 from __future__ import annotations
 
 import functools
-import re
+import os
 import struct
+import unicodedata
 import uuid
 import zlib
 from array import array
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +38,9 @@ from cartwise.llm.shared import (
     open_store,
     partitions,
     slices,
+    steady_objects,
+    text_array,
+    text_bytes,
     write_table,
 )
 
@@ -49,6 +54,20 @@ COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = tuple(60 // n for n in COUNTS)
 
 
+@functools.cache
+def _limits() -> tuple[np.ndarray, np.ndarray]:
+    """The first id too wide for each selector, and for ids of 16 bits the densest selector that is wide enough."""
+    limits = np.array([1 << w for w in WIDTHS], np.uint64)
+    return limits, (np.searchsorted(limits, np.arange(1 << 16, dtype=np.uint64), side="right") + 1).astype(np.uint8)
+
+
+def _needed(ids: np.ndarray) -> np.ndarray:
+    limits, short = _limits()
+    if ids.size and int(ids.max()) < len(short):
+        return short[ids]
+    return (np.searchsorted(limits, ids, side="right") + 1).astype(np.uint8)
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words of consecutive blocks of the ids and the number of words of each block."""
     ids = np.ascontiguousarray(ids, dtype=np.uint64)
@@ -63,18 +82,17 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ends = np.full(blocks, BLOCK, np.int64)
     ends[-1] = len(ids) - (blocks - 1) * BLOCK
 
-    # The densest selector that holds at each place: wider ids must lie beyond the word's last one.
-    # Where no word of a selector fits (but in the zeros behind a block), no denser one does.
+    # The densest selector that holds at each place: the widest of its word's ids, the zeros behind a block
+    # among them, must fit. Where no word of a selector fits (but in those zeros), no denser one does.
+    need = np.ones((blocks, BLOCK + pad), np.uint8)  # densest selector that is wide enough for each id
+    need[:, :BLOCK] = _needed(grid[:, :BLOCK])
     selector = np.zeros((blocks, BLOCK), np.uint8)
-    top = int(ids.max())
-    wide = np.zeros((blocks, BLOCK + pad + 1), np.int16)
+    widest, held = need[:, :BLOCK].copy(), 1
     for k in range(len(COUNTS), 0, -1):
-        n, width = COUNTS[k - 1], WIDTHS[k - 1]
-        if top >> width == 0:
-            selector[:] = k
-            continue
-        np.cumsum(grid >= np.uint64(1 << width), axis=1, out=wide[:, 1:], dtype=np.int16)
-        fit = wide[:, n : n + BLOCK] == wide[:, :BLOCK]
+        for j in range(held, COUNTS[k - 1]):
+            np.maximum(widest, need[:, j : j + BLOCK], out=widest)
+        held = COUNTS[k - 1]
+        fit = widest <= k
         if not fit[:, : BLOCK - pad].any() and k < len(COUNTS):
             break
         selector[fit] = k
@@ -97,14 +115,16 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     place = np.cumsum(size) - size
     words = np.zeros(int(size.sum()), np.uint64)
     words[place] = sel
+    base, flat = own * grid.shape[1] + start, grid.ravel()
     for k in np.unique(sel):
-        mine = sel == k
+        mine = np.flatnonzero(sel == k)
         if k == ESCAPE:
-            words[place[mine] + 1] = grid[own[mine], start[mine]]
+            words[place[mine] + 1] = flat[base[mine]]
             continue
-        n, width = COUNTS[k - 1], WIDTHS[k - 1]
-        for j in range(n):
-            words[place[mine]] |= grid[own[mine], start[mine] + j] << np.uint64(4 + j * width)
+        word, first = np.full(len(mine), k, np.uint64), base[mine]
+        for j in range(COUNTS[k - 1]):
+            word |= flat[first + j] << np.uint64(4 + j * WIDTHS[k - 1])
+        words[place[mine]] = word
     return words, np.bincount(own, weights=size, minlength=blocks).astype(np.int64)
 
 
@@ -153,60 +173,144 @@ def unpack(words: np.ndarray, words_of: np.ndarray, total: int) -> np.ndarray:
     return out[:total]
 
 
-UNIT = re.compile(" ?[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]+")
-OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁤　﻿]")
-KEPT_UNITS = 400_000
+KEPT_PIECES = 600_000
+PART_BYTES = 6 << 20  # text that is encoded at a time
+
+# Classes of characters, of code points up to CLASSED.
+SPACE, LETTER, DIGIT, OTHER, UNSURE = range(5)
+CLASSED = 0x2100
+
 
+@functools.cache
+def _classes() -> np.ndarray:
+    """What the vocabulary's pre-tokeniser takes each code point for. White space beyond ASCII and unassigned
+    code points are left to the library, which may know another version of Unicode."""
+    out = np.full(CLASSED, OTHER, np.uint8)
+    for i in range(CLASSED):
+        kind = unicodedata.category(chr(i))
+        if kind[0] == "L":
+            out[i] = LETTER
+        elif kind[0] == "N":
+            out[i] = DIGIT
+        elif kind[0] == "Z" or kind in ("Cn", "Cc"):
+            out[i] = UNSURE
+    out[[9, 10, 11, 12, 13, 32]] = SPACE
+    return out
 
-class UnitEncoder:
-    """Encodes with the tokenizers library, each distinct unit (a run of other characters than white space
-    with the space before it, or white space) once per cache generation.
 
-    The vocabulary's pre-tokeniser never joins characters across the borders of units. A text with a special
-    token's string or with white space beyond ASCII goes to the library as a whole.
+def pieces(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pieces of the texts start that the pre-tokeniser makes, and which texts are left to the library.
+    `data` holds the texts one after the other, `starts` where each starts and the end of the last.
+
+    A piece is a contraction, or a run of letters, digits or other characters with the space before it, or white
+    space: the last character of a run of white space before other text is on its own, or the space of what
+    follows. The rules are the pattern's `'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+`.
     """
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    padded = np.concatenate([data, np.zeros(3, np.uint8)])
+    lead, second, third = padded[at], padded[at + 1] & 0x3F, padded[at + 2] & 0x3F
+    point = lead.astype(np.uint16)
+    two, three = (lead >= 0xC0) & (lead < 0xE0), (lead >= 0xE0) & (lead < 0xF0)
+    point[two] = (lead[two] & 0x1F).astype(np.uint16) << 6 | second[two]
+    point[three] = (lead[three] & 0x0F).astype(np.uint16) << 12 | second[three].astype(np.uint16) << 6 | third[three]
+    known = (lead < 0xF0) & (point < CLASSED)
+    kind = np.where(known, _classes()[np.where(known, point, 0)], UNSURE)
+
+    first = np.zeros(len(at) + 1, bool)  # of a text; also the end
+    first[np.searchsorted(at, starts)] = True
+    space = np.concatenate([kind == SPACE, [False]])
+    before = np.concatenate([[False], space[:-2]])  # whether white space comes before
+    plain = np.concatenate([[False], lead[:-1] == 32])
+    changed = np.concatenate([[True], kind[1:] != kind[:-1]])
+    last = space[:-1] & ~space[1:] & ~first[1:]  # white space right before other text
+    begins = np.where(space[:-1], ~before | last, np.where(before, ~plain, changed)) | first[:-1]
+
+    # Contractions, where an apostrophe begins a piece.
+    mark = np.flatnonzero((lead == 39) & begins)
+    if len(mark):
+        text = np.concatenate([np.where(first[:-1], 0, lead), [0, 0]])  # a text's first character follows nothing
+        one, other = text[mark + 1], text[mark + 2]
+        short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+        long = (one == 114) & (other == 101) | (one == 118) & (other == 101) | (one == 108) & (other == 108)
+        begins[mark[short | long] + 1] = False
+        after = np.concatenate([mark[short] + 2, mark[long] + 3])
+        after = after[after < len(begins)]
+        begins[after[(kind[after] == LETTER)]] = True
+
+    unsure = np.searchsorted(starts, at[kind == UNSURE], side="right") - 1
+    left = np.zeros(len(starts) - 1, bool)
+    left[unsure] = True
+    return at[begins], left
+
+
+class PieceEncoder:
+    """Encodes with the tokenizers library, each distinct piece once while it is kept. A text with a special
+    token's string or with characters that `pieces` does not know goes to the library as a whole."""
 
     def __init__(self, spec: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.young: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    def run(self, texts: list[str]) -> list[bytes]:
-        units = [UNIT.findall(t) for t in texts]
-        if len(self.young) > KEPT_UNITS:
-            self.old, self.young = self.young, {}
-        young, missing = self.young, []
-        for u in set().union(*units).difference(young):
-            if u in self.old:
-                young[u] = self.old[u]
-            elif OTHER_SPACE.search(u):
-                young[u] = None
-            else:
-                missing.append(u)
-        young.update(zip(missing, self._library(missing), strict=True))
-        out: list[bytes] = []
-        for text, us in zip(texts, units, strict=True):
-            try:
-                if any(s in text for s in self.special):
-                    raise TypeError
-                out.append(b"".join(map(young.__getitem__, us)))
-            except TypeError:  # a unit without ids of its own
-                out += self._library([text])
-        return out
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}  # place of a piece
+        self.ids = array("I")  # of all pieces, one after the other
+        self.ends = array("Q", [0])
+
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _places(self, distinct: list[str]) -> np.ndarray:
+        if len(self.known) > KEPT_PIECES:
+            self.forget()
+        known = self.known
+        missing = [p for p in distinct if p not in known]
+        for start in range(0, len(missing), 1 << 16):
+            some = missing[start : start + (1 << 16)]
+            for ids in self._library(some):
+                self.ids.extend(ids)
+                self.ends.append(len(self.ids))
+            known.update(zip(some, range(len(known), len(known) + len(some)), strict=True))
+        return np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+
+    def run(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and how many each has; nulls are empty."""
+        column = column.fill_null("")
+        data, starts = text_bytes(column)
+        if not len(data):
+            return np.empty(0, np.uint32), np.zeros(len(column), np.int64)
+        begin, left = pieces(data, starts)
+        for mark in self.special:
+            left |= pc.match_substring(column, mark).to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(len(column)), np.diff(np.searchsorted(begin, starts)))
+        coded = text_array(data, np.append(begin[1:], len(data))).dictionary_encode()
+        used = np.unique(coded.indices.to_numpy()[~left[owner]]) if left.any() else np.arange(len(coded.dictionary))
+        place = np.zeros(len(coded.dictionary), np.int64)
+        place[used] = self._places(coded.dictionary.take(pa.array(used)).to_pylist())
+        place = place[coded.indices.to_numpy()]
+        ends, pool = np.array(self.ends, np.int64), np.frombuffer(self.ids, np.uint32)
+        size = np.where(left[owner], 0, ends[place + 1] - ends[place])
+        shift = np.repeat(ends[place] - (np.cumsum(size) - size), size)
+        ids = pool[np.arange(len(shift)) + shift]
+        del pool  # an array with views cannot grow
+        counts = np.bincount(owner, weights=size, minlength=len(column)).astype(np.int64)
+        if not left.any():
+            return ids, counts
+        # The library's texts between the others.
+        cut = np.split(ids, np.cumsum(counts)[:-1])
+        for i, found in zip(np.flatnonzero(left), self._library(column.filter(pa.array(left)).to_pylist()), strict=True):
+            cut[i], counts[i] = np.array(found, np.uint32), len(found)
+        return np.concatenate(cut), counts
 
 
 @functools.lru_cache(maxsize=2)
-def _encoder(spec: str) -> UnitEncoder:
-    return UnitEncoder(spec)
+def _encoder(spec: str) -> PieceEncoder:
+    return PieceEncoder(spec)
 
 
 class ShardWriter:
@@ -296,17 +400,22 @@ def write_ids(docs: DataFrame, tokenizer_file: str, end_id: int, folder: str | N
     folder = folder or new_folder(spark, "token_ids")
     with open(tokenizer_file, encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())
-    end = np.array([end_id], "<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, writer, part = _encoder(spec.value), None, 0
-        for batch in batches:
-            for piece in slices(batch):
-                if writer is None:
-                    writer, part = ShardWriter(folder), piece.column("part")[0].as_py()
-                coded = encoder.run([t or "" for t in piece.column("text").to_pylist()])
-                for doc_id, ids in zip(piece.column("doc_id").to_pylist(), coded, strict=True):
-                    writer.add(doc_id, np.frombuffer(ids + end, "<u4"))
+        with steady_objects():
+            for batch in batches:
+                for piece in slices(batch, limit=PART_BYTES):
+                    if writer is None:
+                        writer, part = ShardWriter(folder), piece.column("part")[0].as_py()
+                    ids, counts = encoder.run(piece.column("text"))
+                    stops = np.cumsum(counts)
+                    ids = np.insert(ids, stops, end_id)
+                    stops += np.arange(1, len(stops) + 1)
+                    for doc_id, start, stop in zip(
+                        piece.column("doc_id").to_pylist(), (stops - counts - 1).tolist(), stops.tolist(), strict=True
+                    ):
+                        writer.add(doc_id, ids[start:stop])
         if writer is not None:
             name, n_docs, n_ids = writer.close()
             yield pa.RecordBatch.from_arrays(

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -31,19 +33,53 @@ def test_small_ids_are_dense():
     assert len(words) == 60 * -(-1024 // 60)
 
 
-def test_units_encode_like_whole_texts():
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(FILE)
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    with open(FILE, encoding="utf-8") as f:
+        return S.PieceEncoder(f.read())
+
+
+def same(encoder, library, given):
+    ids, counts = encoder.run(pa.array(given, pa.string()))
+    for text, found in zip(given, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+        assert found.tolist() == library.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_pieces_encode_like_whole_texts(encoder, library):
+    given = ["\n\n a  b \n", "x<|endoftext|>y \n<|endoftext|>", "a\x85 b\xa0c d", "it's  we'll 12 34!!  \t\n", ""]
+    same(encoder, library, given)
+    same(encoder, library, ["'s", "'s't're", "a'll'd", "!'s 's  's\t's", "''s", "9'm'", "l", "'l", "'", None, "ve", "\n'veil"])
+
+
+def test_random_texts_encode_like_whole_texts(encoder, library):
+    rng = random.Random(8)
+    letters = ["a", "B", "é", "'", "s", "'ll", "'re", "ve", " ", " ", "  ", "9", "²", "!", "—", "\n", "\t", "\r\n", "_"]
+    odd = ["\xa0", "\x1c", "\x85", "\u2003", "ª", "中", "İ", "\u0301", "😀", "<|endoftext|>", "\x00"]
+    for more in ([], odd):
+        chosen = letters + more
+        same(encoder, library, ["".join(rng.choice(chosen) for _ in range(rng.randint(0, 15))) for _ in range(4000)])
+
+
+def test_all_characters_around_letters_and_digits(encoder, library):
+    same(encoder, library, [f"a{chr(i)}b {chr(i)}1" for i in range(0x3100)])
+
+
+def test_kept_pieces_are_dropped_when_there_are_too_many(library, monkeypatch):
+    monkeypatch.setattr(S, "KEPT_PIECES", 3)
     with open(FILE, encoding="utf-8") as f:
-        encoder = S.UnitEncoder(f.read())
-    library = Tokenizer.from_file(FILE)
-    given = ["\n\n a  b \n", "x<|endoftext|>y \n<|endoftext|>", "a\x85 b\xa0c d", "it's  we'll 12 34!!  \t\n", ""]
-    for text, ids in zip(given, encoder.run(given), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        encoder = S.PieceEncoder(f.read())
+    for text in ("one two three", "four five", "six one two seven", "one"):
+        same(encoder, library, [text, "two"])
 
 
 @pytest.mark.parametrize("docs", ["awkward", "nothing"])
-def test_files_hold_all_documents_in_order(spark, docs, request):
+def test_files_hold_all_documents_in_order(spark, docs, request, library):
     df = request.getfixturevalue(docs)
-    library = Tokenizer.from_file(FILE)
     folder, manifest = S.write_ids(df, FILE, end_id=2)
     rows = sorted(S.read_ids(spark, folder, manifest).collect(), key=lambda r: r["start"])
     given = TEXTS if docs == "awkward" else []
