@@ -1133,6 +1133,22 @@ def oracle_sql() -> dict[str, str]:
         ["round"],
         raw=["has_loss"],
     )
+    add(
+        "stopped_rounds",
+        "actions",
+        f"""SELECT count(DISTINCT 1) * {cfg.MODEL_FOLDS} AS folds, true AS in_range, true AS stopped
+        FROM ({_split_keys('user_id', 1)})""",
+        ["folds"],
+        raw=["in_range", "stopped"],
+    )
+    add(
+        "submission_facts",
+        "cand_pairs",
+        """SELECT true AS one_per_user, true AS all_candidates, true AS full_lists, count(DISTINCT user_id) AS users
+        FROM cand_pairs""",
+        ["users"],
+        raw=["one_per_user", "all_candidates", "full_lists"],
+    )
     points = [(i, math.prod(map(len, grid.values()))) for i, grid in enumerate(cfg.SEARCH_GRIDS, 1)]
     add(
         "staged_search",

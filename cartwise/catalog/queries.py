@@ -329,7 +329,7 @@ def _online_scores(x: Inputs, pairs: bool, best_round: bool = False) -> DataFram
     build, params = (_pair_table, _pair_params()) if pairs else (_user_table, _user_params())
     folder, table = scratch_folder(x.tables.spark), build(x, _train_split())
     if best_round:
-        model, _ = models.train_best(table, params, cfg.MODEL_FOLDS)
+        model, _ = models.train_best(table, params, cfg.MODEL_FOLDS, cfg.MODEL_PATIENCE)
     else:
         model = models.train(table, params)
     models.save_model(model, folder)
@@ -348,11 +348,41 @@ def _cv_best_rounds(x: Inputs) -> DataFrame:
     return losses.select("round", (F.col("loss") > 0).alias("has_loss"))
 
 
+def _stopped_rounds(x: Inputs) -> DataFrame:
+    """Per filled fold whether its model stopped at a round it may grow to, and its rows were held out."""
+    params = replace(models.USER_MODEL, rounds=cfg.STOPPED_ROUNDS, rate=0.3)
+    table = _user_table(x, _train_split())
+    grown = models.stopped_rounds(table, params, cfg.MODEL_FOLDS, cfg.STOP_TOLERANCE)
+    return grown.agg(
+        F.count("*").alias("folds"),
+        F.min(F.col("rounds").between(1, cfg.STOPPED_ROUNDS)).alias("in_range"),
+        (F.min("rounds") < cfg.STOPPED_ROUNDS).alias("stopped"),
+    )
+
+
+def _submission_facts(x: Inputs) -> DataFrame:
+    """What is known of the submission whatever the models' scores: a row per user, all candidate pairs, and as
+    many as the two top lists can give."""
+    made = _model_submission(x)
+    pairs = _keyed_pairs(x).select(U, I)
+    known = made.join(pairs, [U, I], "left_semi").agg(F.count("*").alias("known"))
+    of_all = pairs.agg(F.count_distinct(U).alias("users"))
+    held = made.agg(F.count("*").alias("rows"), F.count_distinct(U).alias("row_users"))
+    facts = held.join(known).join(of_all)  # one row each
+    top = F.least("users", F.lit(cfg.TOP_RANKED))
+    return facts.select(
+        (F.col("rows") == F.col("row_users")).alias("one_per_user"),
+        (F.col("rows") == F.col("known")).alias("all_candidates"),
+        F.col("rows").between(top, F.least("users", 2 * top)).alias("full_lists"),
+        "users",
+    )
+
+
 def _staged_search(x: Inputs) -> DataFrame:
     """All stages with few values each: points per stage and whether each has a held-out area."""
     start = replace(models.SEARCH_START, rounds=2)
     stages = tuple(models.SearchStage(grid) for grid in cfg.SEARCH_GRIDS)
-    tried = models.staged_search(_user_table(x, _train_split()), start, stages, folds=2)[1]
+    tried = models.staged_search(_user_table(x, _train_split()), start, stages, cfg.MODEL_FOLDS)[1]
     return tried.groupBy("stage").agg(
         F.count("*").alias("points"), F.min(F.col("auc").between(0, 1)).alias("is_area")
     )
@@ -370,10 +400,12 @@ def _models() -> dict[str, Callable[[Inputs], DataFrame]]:
         "train_user_model": _train_user_model,
         "train_sku_model": _train_sku_model,
         "cv_best_rounds": _cv_best_rounds,
+        "stopped_rounds": _stopped_rounds,
         "staged_search": _staged_search,
         "score_users": lambda x: _scored(_online_scores(x, pairs=False)),
         "score_pairs": lambda x: _scored(_online_scores(x, pairs=True)),
         "model_submission": _model_submission,
+        "submission_facts": _submission_facts,
         "model_score": lambda x: evaluation.eval_score(_model_submission(x), x.positives()),
         "topic_features": _topics,
     }

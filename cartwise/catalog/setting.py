@@ -20,7 +20,8 @@ COMMENT_END = datetime(2001, 6, 1)
 MAX_GAP = 21600
 TOP_RANKED = 500
 # Short model settings; the tuned ones are parameters of the library.
-MODEL_ROUNDS, MODEL_FOLDS = 5, 5
+MODEL_ROUNDS, MODEL_FOLDS, MODEL_PATIENCE = 5, 5, 2
+STOPPED_ROUNDS, STOP_TOLERANCE = 12, 0.02
 SEARCH_GRIDS = (
     {"depth": (3, 4), "min_rows": (1, 3)},
     {"min_gain": (0.0, 0.2)},

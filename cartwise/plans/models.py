@@ -14,17 +14,19 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.clustering import LDA
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cartwise.sources.sinks import materialise
+from cartwise.sources.sinks import materialise, scratch_folder
 
 MISSING = -1.0
 LABEL, FEATURES, WEIGHT, FOLD = "label", "features", "row_weight", "fold"
+BUCKETS = 4096  # of the numbering of words
 KEY_COLUMNS = ("user_id", "sku_id", "cate", "brand", LABEL)
 
 
@@ -85,8 +87,7 @@ def dense(df: DataFrame, columns: list[str]) -> DataFrame:
 def prepare(table: DataFrame, positive_weight: float = 1.0) -> DataFrame:
     """Key columns, label, row weight and the feature vector.
 
-    Trees pass over the rows once per level, so the prepared rows are checkpointed where the session has
-    a shared folder, and cached otherwise.
+    Trees pass over the rows once per level, so the prepared rows are checkpointed in the shared folder.
     """
     columns = feature_columns(table)
     weight = F.when(F.col(LABEL) == 1, F.lit(float(positive_weight))).otherwise(F.lit(1.0))
@@ -150,6 +151,45 @@ def cv_round_losses(
     return table.sparkSession.createDataFrame(means, "round int, loss double")
 
 
+HELD_OUT = "held_out"
+
+
+def stopped_rounds(
+    table: DataFrame, params: BoostingParams, folds: int = 5, tolerance: float = 0.001, parallelism: int = 4
+) -> DataFrame:
+    """`(fold, rounds, loss)`: how many rounds each fold's model grows until its held-out loss no longer falls by
+    more than the share `tolerance`, and that loss.
+
+    Growth itself stops, with the fold's rows as validation rows, so rounds that would not be used are never grown;
+    `cv_round_losses` grows all rounds and looks back, which shows the whole curve.
+    """
+    keys = [c for c in ("user_id", "sku_id") if c in table.columns]
+    rows = with_folds(prepare(table, params.positive_weight), folds, keys)
+    filled = sorted(r[FOLD] for r in rows.select(FOLD).distinct().collect())
+    if len(filled) < 2:
+        raise ValueError("cross-validation needs rows in at least two folds")
+
+    def grown(fold: int) -> tuple[int, int, float]:
+        marked = rows.withColumn(HELD_OUT, F.col(FOLD) == fold)
+        stopping = classifier(params).setValidationIndicatorCol(HELD_OUT)
+        model: GBTClassificationModel = stopping.fit(marked, {stopping.validationTol: tolerance})
+        losses = model.evaluateEachIteration(marked.filter(HELD_OUT))
+        return fold, model.getNumTrees, float(losses[-1])
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = list(pool.map(inheritable_thread_target(table.sparkSession)(grown), filled))
+    return table.sparkSession.createDataFrame(found, "fold int, rounds int, loss double")
+
+
+def train_stopped(
+    table: DataFrame, params: BoostingParams, folds: int = 5, tolerance: float = 0.001
+) -> tuple[PipelineModel, int]:
+    """Model retrained on all rows with the mean of the rounds at which the folds stopped, and that number."""
+    grown = [r["rounds"] for r in stopped_rounds(table, params, folds, tolerance).collect()]
+    rounds = max(1, round(sum(grown) / len(grown)))
+    return train(table, replace(params, rounds=rounds)), rounds
+
+
 def best_rounds(losses: list[float], patience: int = 20) -> int:
     """Round of the lowest loss before `patience` rounds pass without a new low."""
     best = 0
@@ -247,6 +287,48 @@ def staged_search(
     return best, table.sparkSession.createDataFrame(tried, "stage int, params string, auc double")
 
 
+def word_numbers(words: DataFrame, column: str) -> DataFrame:
+    """(`column`, word) of each distinct value: numbers from 0 without gaps, made without gathering the values.
+
+    A value's number is its rank inside a hash bucket plus the sizes of the buckets before it; the bucket table
+    has BUCKETS rows at most.
+    """
+    keyed = words.select(column).where(F.col(column).isNotNull()).distinct()
+    keyed = keyed.withColumn("bucket", F.pmod(F.xxhash64(column), F.lit(BUCKETS)))
+    in_order = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("held"))
+    offsets = sizes.select("bucket", F.coalesce(F.sum("held").over(in_order), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("bucket").orderBy(column))
+    ranked = keyed.withColumn("inside", inside).join(F.broadcast(offsets), "bucket")
+    return ranked.select(column, (F.col("before") + F.col("inside") - 1).cast("int").alias("word"))
+
+
+def bags_of_words(actions: DataFrame, document: str, word: str) -> DataFrame:
+    """(`document`, features): how often each document has each word, as sparse vectors, written once.
+
+    A sparse vector is a struct of its size, indices and values; the column is built as that struct by SQL
+    functions and read back under the vector type, so no row passes through Python.
+    """
+    numbered = materialise(word_numbers(actions, word))
+    size = numbered.count()
+    counted = (
+        actions.join(numbered, word)
+        .groupBy(document, "word")
+        .agg(F.count(F.lit(1)).cast("double").alias("n"))
+    )
+    bags = counted.groupBy(document).agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("bag"))
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(size).alias("size"),
+        F.col("bag.word").alias("indices"),
+        F.col("bag.n").alias("values"),
+    )
+    folder = scratch_folder(actions.sparkSession)
+    bags.select(document, vector.alias(FEATURES)).write.parquet(folder)
+    schema = T.StructType([actions.schema[document], T.StructField(FEATURES, VectorUDT())])
+    return actions.sparkSession.read.schema(schema).parquet(folder)
+
+
 def topic_features(
     actions: DataFrame,
     document: str,
@@ -259,19 +341,10 @@ def topic_features(
     """Topic mix per `document` entity, with the `word` entities it acted on as its words.
 
     Words are counted per document before they are gathered, so a document holds each vocabulary entry at
-    most once however many actions it has. LDA keeps a topics x vocabulary matrix anyway.
+    most once however many actions it has. LDA itself keeps a topics x vocabulary matrix on the driver.
     """
-    indexer = StringIndexer(inputCol=word, outputCol="word", stringOrderType="alphabetAsc").fit(actions)
-    size = len(indexer.labels)
-    counted = (
-        indexer.transform(actions)
-        .groupBy(document, F.col("word").cast("int").alias("word"))
-        .agg(F.count(F.lit(1)).cast("double").alias("n"))
-    )
-    bags = counted.groupBy(document).agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("bag"))
-    to_vector = F.udf(lambda bag: Vectors.sparse(size, [(w, n) for w, n in bag]), VectorUDT())
-    vectors = bags.select(document, to_vector("bag").alias(FEATURES))
-    model = LDA(k=topics, maxIter=iterations, seed=seed, featuresCol=FEATURES).fit(vectors)
+    vectors = bags_of_words(actions, document, word)
+    model = LDA(k=topics, maxIter=iterations, seed=seed, featuresCol=FEATURES, optimizer="online").fit(vectors)
     mix = vector_to_array("topicDistribution")
     return model.transform(vectors).select(
         document, *[mix[i].alias(f"{prefix}{i}") for i in range(topics)]

@@ -5,6 +5,7 @@ from dataclasses import replace
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import functions as F
 
 from cartwise.plans import models
 
@@ -53,6 +54,16 @@ def test_best_rounds_stops_after_patience():
     assert models.best_rounds([5, 4, 3, 3.5, 3.6, 1], patience=9) == 6
 
 
+def test_growth_stops_when_held_out_loss_is_flat(planted):
+    params = replace(PARAMS, rounds=30)
+    grown = models.stopped_rounds(planted, params, folds=2, tolerance=0.05).collect()
+    assert len(grown) == 2 and all(1 <= r.rounds < 30 and r.loss > 0 for r in grown)
+    patient = models.stopped_rounds(planted, params, folds=2, tolerance=0.0001).collect()
+    assert sum(r.rounds for r in patient) > sum(r.rounds for r in grown)
+    model, rounds = models.train_stopped(planted, params, folds=2, tolerance=0.05)
+    assert model.stages[1].getNumTrees == rounds < 30
+
+
 def test_staged_search_carries_the_best_values(planted):
     stages = (
         models.SearchStage({"depth": (1, 3)}),
@@ -64,8 +75,36 @@ def test_staged_search_carries_the_best_values(planted):
     assert str(best) in {r.params for r in rows if r.stage == 2}
 
 
-def test_topic_mix_sums_to_one(spark):
-    rows = [(d, (d % 2) * 10 + w, 1) for d in range(20) for w in range(5) for _ in range(w + 1)]
-    actions = spark.createDataFrame(rows, "user_id long, sku_id long, type int")
-    mix = models.topic_features(actions, "user_id", "sku_id", 2, 5).collect()
-    assert len(mix) == 20 and all(abs(r.topic_0 + r.topic_1 - 1) < 1e-6 for r in mix)
+def blocks(spark):
+    """Two kinds of users, each with its own ten items, of which each user has five."""
+    rng = random.Random(2)
+    rows = []
+    for user in range(40):
+        for item in rng.sample(range(10), 5):
+            rows += [(user, f"item {user % 2}-{item}", 1)] * rng.randint(1, 6)
+    rows += [(99, None, 1), (0, None, 1)]
+    return spark.createDataFrame(rows, "user_id long, sku_id string, type int")
+
+
+def test_topics_find_planted_blocks(spark):
+    mix = models.topic_features(blocks(spark), "user_id", "sku_id", 2, 30).collect()
+    assert len(mix) == 40 and all(abs(r.topic_0 + r.topic_1 - 1) < 1e-6 for r in mix)
+    first = {r.topic_0 > r.topic_1 for r in mix if r.user_id % 2}
+    other = {r.topic_0 > r.topic_1 for r in mix if r.user_id % 2 == 0}
+    assert len(first) == len(other) == 1 and first != other
+
+
+def test_words_are_numbered_without_gaps(spark):
+    numbered = models.word_numbers(spark.range(5000).selectExpr("concat('w', id % 777) AS w"), "w").collect()
+    assert sorted(r.word for r in numbered) == list(range(777)) and len({r.w for r in numbered}) == 777
+
+
+def test_bags_are_vectors_made_without_python(spark):
+    log = blocks(spark)
+    bags = models.bags_of_words(log, "user_id", "sku_id")
+    plan = bags._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    want = {r.user_id: (r.n, r.words) for r in log.where("sku_id IS NOT NULL").groupBy("user_id").agg(
+        F.count("*").alias("n"), F.count_distinct("sku_id").alias("words")).collect()}
+    got = {r.user_id: (sum(r.features.values), len(r.features.indices)) for r in bags.collect()}
+    assert got == want and {r.features.size for r in bags.collect()} == {20}
