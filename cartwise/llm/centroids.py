@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.shared import map_batches, slices, type_of
+from cartwise.llm.shared import map_batches, slices, text_bytes, type_of
 
 DIMENSIONS = 4096
 CLUSTERS = 3
@@ -37,6 +37,7 @@ MOST_LANGUAGES = 500
 LEAST_SHARE = 0.05
 LENGTHS = (24, 48, 96, 192, 384, 768, 1536)  # letters and gaps of the pieces that floors are measured on
 LOW, MARGIN = 0.05, 0.5
+STEPS = 20  # per unit of a logarithm that is packed into a byte
 PART = 1 << 18
 UNKNOWN = "und"
 
@@ -127,6 +128,11 @@ def _clusters(rows: np.ndarray, k: int, rounds: int = 10, seed: int = 7) -> np.n
     return centres
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Logarithms of the counts in a byte each, which is what the driver gathers of a training row."""
+    return np.minimum(np.rint(np.log1p(counts) * STEPS), 255).astype(np.uint8).tobytes()
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
@@ -162,7 +168,7 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | None:
                     [
                         pa.array([f[0] for f in found], pa.string()),
                         pa.array([f[1] for f in found], pa.int32()),
-                        pa.array([np.log1p(gram_counts(f[2])).astype(np.float16).tobytes() for f in found], pa.binary()),
+                        pa.array([_packed(gram_counts(f[2])) for f in found], pa.binary()),
                     ],
                     ["lang", "kind", "grams"],
                 )
@@ -175,19 +181,23 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | None:
     langs, kinds = np.array(sample.column("lang").to_pylist(), object), sample.column("kind").to_numpy()
     if not len(langs):
         return None
-    rows = np.frombuffer(b"".join(sample.column("grams").to_pylist()), np.float16).reshape(-1, DIMENSIONS)
-    order = np.lexsort((*rows[:, :2].T, kinds, langs.astype(str)))  # the order of arrival must not matter much
-    langs, kinds, rows = langs[order], kinds[order], rows[order].astype(np.float32)
+    packed, _ = text_bytes(sample.column("grams").combine_chunks())
+    rows = packed.reshape(-1, DIMENSIONS)  # the driver's one copy; languages are unpacked in turn
     texts = kinds < 0
-    idf = (np.log((1 + texts.sum()) / (1 + (rows[texts] > 0).sum(axis=0))) + 1).astype(np.float32)
-    rows = unit(rows * idf)
+    held = np.zeros(DIMENSIONS, np.int64)
+    for start in range(0, len(rows), 512):
+        held += (rows[start : start + 512][texts[start : start + 512]] > 0).sum(axis=0)
+    idf = (np.log((1 + texts.sum()) / (1 + held)) + 1).astype(np.float32)
     names, centres, floors = [], [], []
     for lang in sorted(set(langs)):
-        mine = langs == lang
-        found = _clusters(rows[mine & texts], CLUSTERS)
+        mine = np.flatnonzero(langs == lang)
+        # The order of arrival must not matter.
+        mine = mine[np.lexsort((*rows[mine, :8].T, kinds[mine]))]
+        own, whole = unit(rows[mine].astype(np.float32) / STEPS * idf), texts[mine]
+        found = _clusters(own[whole], CLUSTERS)
         names += [lang] * len(found)
         centres.append(found)
-        floors += [_floors((rows[mine] @ found.T).max(axis=1), kinds[mine])] * len(found)
+        floors += [_floors((own @ found.T).max(axis=1), kinds[mine])] * len(found)
     return Model(names, np.concatenate(centres), idf, np.array(floors))
 
 

@@ -105,8 +105,8 @@ def text_array(data: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of the strings and where each starts, with the end of the last; nulls are empty."""
-    filled = column.fill_null("")
+    """All bytes of the strings, or binary values, and where each starts, with the end of the last; nulls are empty."""
+    filled = column.fill_null("" if pa.types.is_string(column.type) else b"")
     if not len(filled):
         return np.empty(0, np.uint8), np.zeros(1, np.int64)
     offsets = np.frombuffer(filled.buffers()[1], np.int32)[filled.offset : filled.offset + len(filled) + 1].astype(np.int64)

@@ -173,8 +173,8 @@ def unpack(words: np.ndarray, words_of: np.ndarray, total: int) -> np.ndarray:
     return out[:total]
 
 
-KEPT_PIECES = 600_000
-PART_BYTES = 6 << 20  # text that is encoded at a time
+KEPT_PIECES = 500_000
+PART_BYTES = 10 << 20  # text that is encoded at a time
 
 # Classes of characters, of code points up to CLASSED.
 SPACE, LETTER, DIGIT, OTHER, UNSURE = range(5)

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwise.llm.shared import map_batches, slices, steady_objects, write_table
+from cartwise.llm.shared import map_batches, slices, steady_objects, text_bytes, write_table
 
 BEST = 50
 POINTS = 1_000_000  # of a shard, beyond the last document's
@@ -294,11 +294,29 @@ class ShardBuilder:
         )
 
 
+def term_counts(column: pa.Array) -> np.ndarray:
+    """How many terms each text has: terms begin where a byte of a term follows none."""
+    data, starts = text_bytes(column)
+    part = np.frombuffer(_TERM_BYTES, np.uint8)[data] != 32
+    begins = part & ~np.concatenate([[False], part[:-1]])[: len(part)]
+    first = starts[:-1][starts[:-1] < starts[1:]]
+    begins[first] = part[first]
+    before = np.concatenate([[0], np.cumsum(begins)])
+    return before[starts[1:]] - before[starts[:-1]]
+
+
 def statistics(docs: DataFrame) -> tuple[int, int]:
     """Number of documents with terms and of all their terms."""
-    counted = docs.select(F.regexp_count("text", F.lit(TERM)).alias("n")).where("n > 0")
-    found = counted.agg(F.count("*").alias("documents"), F.coalesce(F.sum("n"), F.lit(0)).alias("length")).first()
-    return found["documents"], found["length"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                n = term_counts(part.column("text"))
+                yield pa.RecordBatch.from_arrays([pa.array([int((n > 0).sum())]), pa.array([int(n.sum())])], ["d", "n"])
+
+    counted = map_batches(docs.select("text"), work, "d long, n long")
+    found = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("d", "n")]).first()
+    return found["d"], found["n"]
 
 
 def build_index(docs: DataFrame, documents: int, length: int) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cartwise.llm import treap_search as T
@@ -49,6 +50,15 @@ def test_terms_are_the_pattern():
     assert T.terms_of(None) == []
 
 
+def test_terms_are_counted_like_they_are_split():
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(["a", "é", " ", "-", "9", "中"]) for _ in range(rng.randint(0, 9))) for _ in range(3000)]
+    column = pa.array([None, "", *texts, None, "x"])
+    assert T.term_counts(column).tolist() == [len(T.terms_of(t)) for t in column.to_pylist()]
+    assert T.term_counts(column.slice(7, 100)).tolist() == [len(T.terms_of(t)) for t in column.slice(7, 100).to_pylist()]
+    assert T.term_counts(pa.array([], pa.string())).tolist() == []
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_treap_gives_the_best_columns(seed):
     rng = np.random.default_rng(seed)
