@@ -1094,6 +1094,7 @@ def oracle_sql() -> dict[str, str]:
         KEYS4 + ["label"] + SKU_INTS + [f"user__{c}" for c in USER_INTS],
         SKU_DOUBLES + [f"user__{c}" for c in USER_DOUBLES],
     )
+    out["user_features_bucketed"] = out["user_features_csv"] = out["user_features"]
     out["user_split_table"] = _all_splits(feature_needs, _user_features(), U + ["label"] + USER_INTS, USER_DOUBLES)
     out["pair_split_table"] = _all_splits(
         sku_needs + feature_needs,
@@ -1136,10 +1137,9 @@ def oracle_sql() -> dict[str, str]:
     add(
         "stopped_rounds",
         "actions",
-        f"""SELECT count(DISTINCT 1) * {cfg.MODEL_FOLDS} AS folds, true AS in_range, true AS stopped
+        f"""SELECT count(*) > 1 AS several_folds, count(*) > 1 AS in_range, count(*) > 1 AS stopped
         FROM ({_split_keys('user_id', 1)})""",
-        ["folds"],
-        raw=["in_range", "stopped"],
+        raw=["several_folds", "in_range", "stopped"],
     )
     add(
         "submission_facts",

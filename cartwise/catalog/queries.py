@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import cached_property
@@ -16,6 +17,8 @@ from cartwise.plans import models, split_tables, splits
 from cartwise.plans import pair_features as pf
 from cartwise.plans import user_features as uf
 from cartwise.plans.context import FeatureContext
+from cartwise.sources.bucketed import write_bucketed
+from cartwise.sources.csv_tables import CsvTables, write_csv_tables
 from cartwise.sources.logs import union_months
 from cartwise.sources.retail import RetailTables
 from cartwise.sources.sinks import materialise, scratch_folder
@@ -121,6 +124,25 @@ def _split_table(x: Inputs, write: Callable[..., DataFrame]) -> DataFrame:
     return write(x.context(decayed=True), _split_windows(), folder, partials)
 
 
+def _bucketed_users(x: Inputs) -> DataFrame:
+    """User features from the log as a table bucketed by user."""
+    log = write_bucketed(x.actions.drop("ts", "value"), f"actions_{uuid.uuid4().hex}", cfg.BUCKETS)
+    return uf.user_features(replace(x.context(decayed=True), actions=log, by_user=True), x.positives())
+
+
+def _users_from_csv(x: Inputs) -> DataFrame:
+    """User features from CSV files of the log and the dimensions."""
+    folder = scratch_folder(x.tables.spark)
+    files = write_csv_tables(x.actions, x.users, x.products, x.comments, folder, encoding="utf-8")
+    tables = CsvTables(x.tables.spark, encoding="utf-8", **files)
+    ctx = x.context(decayed=True)
+    read = replace(
+        ctx, actions=tables.actions(), users=tables.users(), products=tables.products(), comments=tables.comments()
+    )
+    positives = labels.eval_split_known(read.actions, cfg.LABEL, read.products, read.users)
+    return uf.user_features(read, positives)
+
+
 def _keyed_pairs(x: Inputs) -> DataFrame:
     return labels.candidate_pairs(x.actions, cfg.WINDOW, cfg.CATE)
 
@@ -258,6 +280,8 @@ def _operators() -> dict[str, Callable[[Inputs], DataFrame]]:
         "brand_features": lambda x: pf.add_brand_features(_keyed_pairs(x), x.context()),
         "sku_features": lambda x: pf.sku_features(x.context(decayed=True), x.pair_positives()),
         "training_table": lambda x: pf.training_table(x.context(decayed=True), x.pair_positives()),
+        "user_features_bucketed": _bucketed_users,
+        "user_features_csv": _users_from_csv,
         "user_split_table": lambda x: _split_table(x, split_tables.user_split_table),
         "pair_split_table": lambda x: _split_table(x, split_tables.pair_split_table),
         "rolling_splits": lambda x: splits.split_candidates(
@@ -349,12 +373,12 @@ def _cv_best_rounds(x: Inputs) -> DataFrame:
 
 
 def _stopped_rounds(x: Inputs) -> DataFrame:
-    """Per filled fold whether its model stopped at a round it may grow to, and its rows were held out."""
+    """Whether several folds were grown, to rounds that they may grow to, and one stopped before the last."""
     params = replace(models.USER_MODEL, rounds=cfg.STOPPED_ROUNDS, rate=0.3)
     table = _user_table(x, _train_split())
     grown = models.stopped_rounds(table, params, cfg.MODEL_FOLDS, cfg.STOP_TOLERANCE)
     return grown.agg(
-        F.count("*").alias("folds"),
+        F.count("*").between(2, cfg.MODEL_FOLDS).alias("several_folds"),
         F.min(F.col("rounds").between(1, cfg.STOPPED_ROUNDS)).alias("in_range"),
         (F.min("rounds") < cfg.STOPPED_ROUNDS).alias("stopped"),
     )

@@ -19,6 +19,7 @@ COMMENT_END = datetime(2001, 6, 1)
 # Events of one user lie hours apart here, so dwell time uses a six-hour gap besides the default.
 MAX_GAP = 21600
 TOP_RANKED = 500
+BUCKETS = 8
 # Short model settings; the tuned ones are parameters of the library.
 MODEL_ROUNDS, MODEL_FOLDS, MODEL_PATIENCE = 5, 5, 2
 STOPPED_ROUNDS, STOP_TOLERANCE = 12, 0.02

@@ -19,11 +19,14 @@ from cartwise.functions.exprs import Exprs, aggregate
 from cartwise.windows import Suffixes
 
 
-def rollup(rows: DataFrame, suffixes: Suffixes, keys: list[str], details: list[str]) -> DataFrame:
+def rollup(
+    rows: DataFrame, suffixes: Suffixes, keys: list[str], details: list[str], placed: bool = False
+) -> DataFrame:
     """Counts, age range, day bitmap and weights per (keys, details, type, band), placed by `keys`.
 
     `rows` carry `age` and `whole_age`, and `weight` when recency weights are wanted. Partial rows carry `n`, how
-    many log rows they stand for, and `oldest_age`, the whole age of the first.
+    many log rows they stand for, and `oldest_age`, the whole age of the first. `placed` rows already lie by a part
+    of the keys, as those of a bucketed log do, and are not moved.
     """
     partial = "n" in rows.columns
     spans = sorted({seconds for _, seconds in suffixes.spans})
@@ -41,7 +44,7 @@ def rollup(rows: DataFrame, suffixes: Suffixes, keys: list[str], details: list[s
     counted = aggregate(
         rows.selectExpr("*", f"{band} AS band"), [*keys, *details, "type", "band"], measures
     )
-    return counted.repartition(*keys)
+    return counted if placed else counted.repartition(*keys)
 
 
 def _all_of(*conds: str | None) -> str:

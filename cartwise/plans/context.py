@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from cartwise.operators.decay import with_weights
 from cartwise.operators.sequence import MAX_GAP
+from cartwise.plans.guards import JoinGuard
 from cartwise.windows import WindowSpec
 
 
@@ -37,6 +38,14 @@ class FeatureContext:
     # Written parts of the log, see `partials.with_partials`: hourly counts, and the candidates' recent rows.
     partials: DataFrame | None = None
     candidate_actions: DataFrame | None = None
+    # Whether the log lies by user, see `sources.bucketed`: then user and pair blocks do not move it.
+    by_user: bool = False
+    # Counts the rows of the assembled tables around their joins, see `guards.JoinGuard`.
+    guard: JoinGuard | None = None
+
+    @property
+    def placed(self) -> bool:
+        return self.by_user and self.partials is None
 
     def weighted(self, rows: DataFrame) -> DataFrame:
         return rows if self.curve is None else with_weights(rows, self.curve, "whole_age")

@@ -82,7 +82,7 @@ def pair_block(ctx: FeatureContext) -> DataFrame:
         for t in NON_BUY_TYPES:
             exprs[f"p_decay_{t}"] = weights_where(is_type(t), month)
     rows = ctx.weighted(both.scan(ctx.counted, ctx.cate))
-    return aggregate(rollup(rows, both, PAIR, ["brand"]), PAIR, exprs)
+    return aggregate(rollup(rows, both, PAIR, ["brand"], ctx.placed), PAIR, exprs)
 
 
 def _if_seen(seconds: int, sql: str) -> str:
@@ -237,7 +237,7 @@ def ui_browse_click(ctx: FeatureContext) -> DataFrame:
 def _brand_block(ctx: FeatureContext) -> DataFrame:
     s = Suffixes.days(ctx.end, BRAND_DAYS)
     keys, totals = ["user_id", "brand"], {f"ub_total_{w}": rows_where(within(s, w)) for w in s.labels}
-    return aggregate(rollup(s.scan(ctx.counted), s, keys, []), keys, {"ub_age": "min(nearest)", **totals})
+    return aggregate(rollup(s.scan(ctx.counted), s, keys, [], ctx.placed), keys, {"ub_age": "min(nearest)", **totals})
 
 
 def brand_share_columns() -> Exprs:
@@ -323,9 +323,13 @@ def _assembled(ctx: FeatureContext, users: DataFrame, extra: Exprs) -> DataFrame
     broadcasts small item and brand tables and splits a join on a hot key.
     """
     pairs = _candidate_pairs(ctx).join(_brand_block(uf.of_candidates(ctx)), ["user_id", "brand"], "left")
+    if ctx.guard is not None:
+        pairs = ctx.guard.before(pairs)
     items = item_table(ctx).join(item_ops.sale_ratios(ctx.counted, ctx.end), "sku_id", "left")
     with_items = add_item_features(pairs, items)
     joined = add_brand_features(with_items, ctx).join(users, "user_id")
+    if ctx.guard is not None:
+        joined = ctx.guard.after(joined)
     columns = {
         **pair_feature_columns(),
         **brand_share_columns(),

@@ -17,6 +17,7 @@ from cartwise.operators.labels import label_pairs_known
 from cartwise.plans import pair_features as pf
 from cartwise.plans import user_features as uf
 from cartwise.plans.context import FeatureContext
+from cartwise.plans.guards import JoinGuard
 from cartwise.plans.partials import with_partials
 from cartwise.plans.splits import Split
 from cartwise.sources.sinks import replace_partitions
@@ -58,5 +59,11 @@ def user_split_table(ctx: FeatureContext, splits: list[Split], path: str, partia
 
 
 def pair_split_table(ctx: FeatureContext, splits: list[Split], path: str, partials_path: str | None = None) -> DataFrame:
-    """Pair, brand, item and user features of the candidate pairs of every split."""
-    return write_split_table(pf.training_table, ctx, splits, path, partials_path)
+    """Pair, brand, item and user features of the candidate pairs of every split. Each split is checked for rows
+    that its joins have repeated or lost, while it is written."""
+    table = None
+    for split in splits:
+        guard = JoinGuard()
+        table = write_split_table(pf.training_table, replace(ctx, guard=guard), [split], path, partials_path)
+        guard.check(table.filter(F.col("split") == split.name), pf.PAIR)
+    return table if table is not None else write_split_table(pf.training_table, ctx, [], path)

@@ -92,7 +92,7 @@ def user_block(ctx: FeatureContext) -> DataFrame:
         exprs[f"c_tz_{z}_7d"] = rows_where(f"zone = {z}", "here", week)
     rows = ctx.weighted(s.scan(ctx.counted)).selectExpr("*", f"cate = {int(ctx.cate)} AS here")
     zoned = rows.selectExpr("*", f"if(here AND age <= {7 * DAY}, time_zone, NULL) AS zone")
-    return aggregate(rollup(zoned, s, USER, ["here", "zone"]), USER, exprs)
+    return aggregate(rollup(zoned, s, USER, ["here", "zone"], ctx.placed), USER, exprs)
 
 
 def candidates(ctx: FeatureContext) -> DataFrame:
