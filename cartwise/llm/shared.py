@@ -52,6 +52,15 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_table(written: DataFrame) -> None:
+    """Removes the files of a table that `write_table` returned and nothing reads any more."""
+    context = written.sparkSession.sparkContext
+    for file in {name.rsplit("/", 1)[0] for name in written.inputFiles()}:
+        path = context._jvm.org.apache.hadoop.fs.Path(file)
+        if path.getParent().getName().startswith("cartwise-"):  # a folder made by `new_folder`
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path.getParent(), True)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
