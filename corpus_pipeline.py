@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cartwise.llm import centroids, content_sort, minmax, trie_bpe, winnowing  # noqa: E402
 from cartwise.llm.queries import WORD_BPE, token_digests  # noqa: E402
-from cartwise.llm.shared import table, write_table  # noqa: E402
+from cartwise.llm.shared import drop_table, table, write_table  # noqa: E402
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,13 +51,17 @@ STAGES = [
     ("bpe", bpe),
 ]
 
-#: SQL can state neither the trained language model nor the tokenizer; tests hold the stages against
-#: brute-force versions instead.
+#: SQL can state neither the trained language model nor the tokenizer; tests/llm/test_pipeline.py holds the kept
+#: documents of all stages against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. A stage's table is removed once the next one is written."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = write_table(stage(spark, docs, sf_dir), name)
+    for number, (name, stage) in enumerate(STAGES):
+        made = write_table(stage(spark, docs, sf_dir), name)
+        if number:
+            drop_table(docs)
+        docs = made
     return docs
