@@ -26,7 +26,6 @@ from cartwise.operators.rollup import (
 from cartwise.operators.sequence import dwell_multi, visit_runs_multi
 from cartwise.plans import user_features as uf
 from cartwise.plans.context import FeatureContext
-from cartwise.plans.partials import with_partials
 from cartwise.schema import NON_BUY_TYPES, ActionType
 from cartwise.windows import DAY, HOUR, Suffixes, WindowSpec
 
@@ -311,7 +310,7 @@ _KEYS = ["user_id", "sku_id", "cate", "brand"]
 
 def pair_features(ctx: FeatureContext, positives: DataFrame | None = None) -> DataFrame:
     """Candidate pairs with 127 features. Values of windows without a row are NULL."""
-    ctx = with_partials(ctx)
+    ctx = uf.stage_candidates(ctx)
     joined = _candidate_pairs(ctx).join(_user_side(ctx), "user_id")
     return _label(project(joined, _KEYS, pair_feature_columns()), positives)
 
@@ -350,7 +349,7 @@ def _item_columns() -> list[str]:
 
 def sku_features(ctx: FeatureContext, positives: DataFrame | None = None) -> DataFrame:
     """Candidate pairs with pair, brand, item and sales features; absent values are 0."""
-    ctx = with_partials(ctx)
+    ctx = uf.stage_candidates(ctx)
     return zero_fill(_label(_assembled(ctx, _user_side(ctx), {}), positives))
 
 
@@ -363,7 +362,7 @@ def training_table(ctx: FeatureContext, positives: DataFrame | None = None) -> D
     Pair denominators and user features are columns of one user frame, so the user side is computed and
     joined once. User features keep their NULLs.
     """
-    ctx = with_partials(ctx)
+    ctx = uf.stage_candidates(ctx)
     denominators = [
         "u_carts_full",
         *[f"u_days_{w}" for w in RATIO_DAYS],

@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.exprs import aggregate
 from cartwise.plans.context import FeatureContext
-from cartwise.plans.user_features import MOST_DAYS, candidates
+from cartwise.plans.user_features import candidates, reach
 from cartwise.sources.sinks import replace_partitions, scratch_folder, stage_actions
-from cartwise.windows import DAY, HOUR, WindowSpec, scan_window
+from cartwise.windows import WindowSpec, scan_window
 
 KEYS = ["user_id", "sku_id", "cate", "brand", "type", "time_zone"]
 SCHEMA = (
@@ -82,10 +82,10 @@ def _exists(spark, path: str) -> bool:
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
-def reach(ctx: FeatureContext) -> WindowSpec:
-    """What the feature blocks of a context read of the log."""
-    seconds = max(ctx.window.seconds, MOST_DAYS * DAY, int(ctx.candidate_days * DAY))
-    return WindowSpec(min(ctx.end - timedelta(seconds=seconds), ctx.log_start or ctx.end), ctx.end)
+def log_reach(ctx: FeatureContext) -> WindowSpec:
+    """What all blocks of a context read of the log: brand membership may go back further than the others."""
+    blocks = reach(ctx)
+    return WindowSpec(min(blocks.start, ctx.log_start or blocks.start), blocks.end)
 
 
 def with_partials(ctx: FeatureContext, path: str | None = None) -> FeatureContext:
@@ -95,15 +95,15 @@ def with_partials(ctx: FeatureContext, path: str | None = None) -> FeatureContex
 
     `path` is a partial table to share and add to; without one a table of this context's own is written.
     """
-    if ctx.partials is not None or not on_whole_hours(reach(ctx)):
+    if ctx.partials is not None or not on_whole_hours(log_reach(ctx)):
         return ctx
     if path is None:
         path = scratch_folder(ctx.actions.sparkSession)
-        rows = hourly_partials(ctx.actions, reach(ctx)).drop("date")
+        rows = hourly_partials(ctx.actions, log_reach(ctx)).drop("date")
         rows.write.parquet(path)
         partials = rows.sparkSession.read.schema(rows.schema).parquet(path)
     else:
-        partials = update_partials(ctx.actions, reach(ctx), path)
+        partials = update_partials(ctx.actions, log_reach(ctx), path)
     ctx = replace(ctx, partials=partials)
     recent = ctx.window.back(days=SEQUENCE_REACH)
     rows = ctx.actions.select("user_id", "sku_id", "time", "type", "cate", "brand", *_ts(ctx.actions))

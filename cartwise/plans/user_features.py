@@ -7,6 +7,7 @@ column. Candidates, buyers and rule users are conditions on those aggregates rat
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,8 @@ from cartwise.operators.rollup import (
 from cartwise.operators.sequence import user_sequence_block
 from cartwise.plans.context import FeatureContext
 from cartwise.schema import NON_BUY_TYPES, TIME_ZONES, USER_TOTAL_TYPES, ActionType
-from cartwise.windows import DAY, Suffixes, scan_window
+from cartwise.sources.sinks import stage_actions
+from cartwise.windows import DAY, Suffixes, WindowSpec, scan_window
 
 BUY, CART, BROWSE, CLICK = (
     int(ActionType.BUY),
@@ -104,11 +106,35 @@ def candidates(ctx: FeatureContext) -> DataFrame:
 def of_candidates(ctx: FeatureContext) -> FeatureContext:
     """The context with the candidates' part of the log: their rows are chosen by one narrow aggregate over
     the last `candidate_days` before anything wide is computed or shuffled."""
-    chosen = candidates(ctx)
-    if ctx.partials is None:
-        return replace(ctx, actions=ctx.actions.join(chosen, "user_id", "left_semi"))
-    partials = ctx.partials.join(chosen, "user_id", "left_semi")
-    return replace(ctx, partials=partials, actions=ctx.candidate_actions)
+    if ctx.partials is not None:
+        partials = ctx.partials.join(candidates(ctx), "user_id", "left_semi")
+        return replace(ctx, partials=partials, actions=ctx.candidate_actions)
+    if ctx.candidate_actions is not None:
+        return replace(ctx, actions=ctx.candidate_actions)
+    return replace(ctx, actions=ctx.actions.join(candidates(ctx), "user_id", "left_semi"))
+
+
+# Log columns that no feature reads.
+UNREAD = ("ts", "value", "model_id")
+
+
+def stage_candidates(ctx: FeatureContext) -> FeatureContext:
+    """The context with the candidates' part of the log written to the shared folder, for a single table. (Tables
+    of several splits share partial rows instead, see `partials`.)
+
+    The log is scanned twice: the last `candidate_days` for the candidates, and the reach of the features for
+    their rows. All user, pair and brand blocks then read those rows, which are a small part of the log.
+    """
+    if ctx.partials is not None or ctx.candidate_actions is not None:
+        return ctx
+    rows = of_candidates(ctx).actions
+    return replace(ctx, candidate_actions=stage_actions(rows, reach(ctx), UNREAD))
+
+
+def reach(ctx: FeatureContext) -> WindowSpec:
+    """What the user, pair and brand blocks of a context read of the log."""
+    seconds = max(ctx.window.seconds, MOST_DAYS * DAY, int(ctx.candidate_days * DAY))
+    return WindowSpec(ctx.end - timedelta(seconds=seconds), ctx.end)
 
 
 def recent_non_buyers(block: DataFrame) -> DataFrame:

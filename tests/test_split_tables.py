@@ -35,21 +35,12 @@ def test_actions_on_the_hour_keep_their_weight(ctx, make_log):  # noqa: F811
     at = [(1, 1, END - timedelta(hours=h, seconds=s), 1) for h in (1, 2, 30) for s in (0, 1, -1, 1800)]
     log = make_log([*at, (2, 1, END - timedelta(hours=3), 4)])
     plain = replace(ctx, actions=log)
-    assert rows(pf.pair_features(partials.with_partials(plain))) == rows(direct(pf.pair_features, plain))
-
-
-def direct(build, ctx, *args):  # noqa: F811
-    """A table straight from the log, without partial rows."""
-    kept, pf.with_partials = pf.with_partials, lambda c, *_: c
-    try:
-        return build(ctx, *args)
-    finally:
-        pf.with_partials = kept
+    assert rows(pf.pair_features(partials.with_partials(plain))) == rows(pf.pair_features(plain))
 
 
 @pytest.mark.parametrize("build", [uf.user_features, pf.training_table])
 def test_merged_partials_equal_the_log(ctx, build):  # noqa: F811
-    assert rows(build(partials.with_partials(ctx))) == rows(direct(build, ctx))
+    assert rows(build(partials.with_partials(ctx))) == rows(build(ctx))
 
 
 def test_windows_of_part_hours_read_the_log(ctx):  # noqa: F811
@@ -85,7 +76,7 @@ def test_splits_equal_their_direct_tables(ctx, tmp_path):  # noqa: F811
     for split in splits:
         mine = table.filter(f"split = '{split.name}'")
         own = replace(ctx, window=split.features)
-        assert rows(mine, "split", "label") == rows(direct(uf.user_features, own))
+        assert rows(mine, "split", "label") == rows(uf.user_features(own))
     assert table.filter("split = 'online' AND label IS NOT NULL").count() == 0
     assert table.filter("split <> 'online' AND label IS NULL").count() == 0
     assert table.filter("label = 1").count() > 0
