@@ -1037,6 +1037,13 @@ def oracle_sql() -> dict[str, str]:
     add("brand_bad_rate", ("actions", "comments"), _brand_rates(), ["brand"], ["brand_bad_rate"])
     add("icb_sale_ratio", "actions", _sales(), ["sku_id"], SALE_COLS)
 
+    flows = " UNION ALL ".join(
+        f"""SELECT sku_id, '{label}' AS span, true AS near, count(DISTINCT user_id) AS exact FROM actions
+        WHERE {where} GROUP BY sku_id"""
+        for label, where in (("all", FULL), ("week", SUB))
+    )
+    add("item_flow_sketched", "actions", flows, ["sku_id", "exact"], raw=["span", "near"])
+
     feature_needs = ("cand_users", "users", "weighted")
     add("user_features", feature_needs, _user_features(), U + ["label"] + USER_INTS, USER_DOUBLES)
     add("user_day_ratios", "actions", _day_ratios(), U + DAY_COLS, DAY_RATIOS)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwise.catalog import setting as cfg
-from cartwise.operators import counts, decay, distinct, evaluation, items, labels, ranking, recency, sequence
+from cartwise.operators import counts, decay, distinct, evaluation, items, labels, ranking, recency, sequence, sketches
 from cartwise.plans import models, split_tables, splits
 from cartwise.plans import pair_features as pf
 from cartwise.plans import user_features as uf
@@ -143,6 +143,20 @@ def _users_from_csv(x: Inputs) -> DataFrame:
     return uf.user_features(read, positives)
 
 
+def _sketched_flow(x: Inputs) -> DataFrame:
+    """Items with whether the users estimated from daily sketches are near the exact ones, over two windows."""
+    log = x.actions
+    made = materialise(sketches.daily_sketches(log, W, [I], U))
+    out = None
+    for label, window in (("all", W), ("week", S)):
+        exact = distinct.distinct_count(log, window, [I], U, "exact")
+        near = F.abs(F.col("users") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * cfg.SKETCH_ERROR)
+        rows = sketches.sketched_distinct(made, window, [I], "users").join(exact, I, "full")
+        rows = rows.select(I, F.lit(label).alias("span"), near.alias("near"), "exact")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def _keyed_pairs(x: Inputs) -> DataFrame:
     return labels.candidate_pairs(x.actions, cfg.WINDOW, cfg.CATE)
 
@@ -199,6 +213,7 @@ def _operators() -> dict[str, Callable[[Inputs], DataFrame]]:
         "item_people_flow": lambda x: distinct.distinct_count(x.actions, W, [I], U, "user_cnt"),
         "brand_people_flow": lambda x: distinct.distinct_count(x.actions, W, [B], U, "user_cnt"),
         "ui_model_clicks": lambda x: distinct.distinct_count(x.actions, W, [U, I], "model_id", "model_cnt"),
+        "item_flow_sketched": _sketched_flow,
         "uc_only_cate": lambda x: distinct.only_category(x.actions, S, CATE),
         "icb_table": lambda x: distinct.item_category_brand(x.actions, W),
         # recency

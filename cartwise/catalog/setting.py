@@ -20,6 +20,7 @@ COMMENT_END = datetime(2001, 6, 1)
 MAX_GAP = 21600
 TOP_RANKED = 500
 BUCKETS = 8
+SKETCH_ERROR = 0.07  # four standard errors
 # Short model settings; the tuned ones are parameters of the library.
 MODEL_ROUNDS, MODEL_FOLDS, MODEL_PATIENCE = 5, 5, 2
 STOPPED_ROUNDS, STOP_TOLERANCE = 12, 0.02
