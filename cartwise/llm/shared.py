@@ -96,6 +96,7 @@ def steady_objects() -> Iterator[None]:
         yield
     finally:
         gc.enable()
+        pa.default_memory_pool().release_unused()
 
 
 def type_of(df: DataFrame, column: str) -> str:

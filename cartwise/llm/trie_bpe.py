@@ -34,9 +34,9 @@ from cartwise.llm.shared import map_batches, slices, steady_objects, type_of
 
 END = "</w>"
 NEVER = 1 << 60
-KEPT_WORDS = 200_000  # words per cache generation
-PART_BYTES = 2 << 20  # text that is split into words at a time
-KEPT_PAIRS = 300_000
+KEPT_WORDS = 120_000  # words per cache generation
+PART_BYTES = 1 << 20  # text that is split into words at a time
+KEPT_PAIRS = 200_000
 
 
 class TrieBpe:
@@ -120,6 +120,10 @@ class TrieBpe:
             self._fits[key] = found
         return found
 
+    def forget(self) -> None:
+        for learned in (self._moves, self._ends, self._fits, *self._spines):
+            learned.clear()
+
     def _move(self, path: str) -> tuple[str, list[tuple[int, int]]]:
         """State after a state and one more symbol, and the inner tokens that end there, the longest first."""
         state = path
@@ -262,8 +266,9 @@ class TextCodec:
         return ids, list(map(self.decode, ids))
 
     def close(self) -> None:
-        """Drops the words met so far; the vocabulary and its automaton stay."""
+        """Drops the words met so far and what was learned of their paths; the vocabulary stays."""
         self.ids_of, self.old, self.words = {}, {}, {}
+        self.bpe.forget()
 
     def _chunks(self, text: str) -> list[str]:
         if self.special_at is None or "<" not in text or not self.special_at.search(text):
