@@ -108,7 +108,8 @@ class RetailTables:
     def comments(self, years: tuple[int, int] = SNAPSHOT_YEARS) -> DataFrame:
         """Year-start snapshots of the years per item over everything shipped before that day.
 
-        Lines are counted per item and year first; only those counts are repeated for later years.
+        Lines are counted per item and year first; only those counts are moved to the item's partition, where they
+        are repeated for later years without a further shuffle.
         """
         first, last = years
         yearly = (
@@ -118,6 +119,7 @@ class RetailTables:
         )
         snapshots = (
             yearly.filter(f"year < {last}")
+            .repartition("sku_id")
             .selectExpr("*", f"explode(sequence(greatest(year + 1, {first}), {last})) AS snapshot")
             .groupBy("sku_id", F.expr("make_date(snapshot, 1, 1)").alias("dt"))
             .agg(F.sum("lines").alias("lines"), F.sum("bad").alias("bad"))
