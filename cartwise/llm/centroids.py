@@ -128,6 +128,24 @@ def _clusters(rows: np.ndarray, k: int, rounds: int = 10, seed: int = 7) -> np.n
     return centres
 
 
+def _vectors(packed: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Weighted unit vectors of packed rows, which are unpacked a few at a time: only the result is held whole."""
+    out = np.empty(packed.shape, np.float32)
+    for start in range(0, len(packed), 256):
+        out[start : start + 256] = unit(packed[start : start + 256].astype(np.float32) / STEPS * idf)
+    return out
+
+
+def _gathered(column: pa.ChunkedArray) -> np.ndarray:
+    """The packed rows in one array, copied from chunk to chunk."""
+    out = np.empty((len(column), DIMENSIONS), np.uint8)
+    at = 0
+    for chunk in column.chunks:
+        out[at : at + len(chunk)] = text_bytes(chunk)[0].reshape(-1, DIMENSIONS)
+        at += len(chunk)
+    return out
+
+
 def _packed(counts: np.ndarray) -> bytes:
     """Logarithms of the counts in a byte each, which is what the driver gathers of a training row."""
     return np.minimum(np.rint(np.log1p(counts) * STEPS), 255).astype(np.uint8).tobytes()
@@ -181,8 +199,9 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | None:
     langs, kinds = np.array(sample.column("lang").to_pylist(), object), sample.column("kind").to_numpy()
     if not len(langs):
         return None
-    packed, _ = text_bytes(sample.column("grams").combine_chunks())
-    rows = packed.reshape(-1, DIMENSIONS)  # the driver's one copy; languages are unpacked in turn
+    rows = _gathered(sample.column("grams"))  # the driver's one copy; languages are unpacked in turn
+    del sample
+    pa.default_memory_pool().release_unused()
     texts = kinds < 0
     held = np.zeros(DIMENSIONS, np.int64)
     for start in range(0, len(rows), 512):
@@ -193,11 +212,12 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | None:
         mine = np.flatnonzero(langs == lang)
         # The order of arrival must not matter.
         mine = mine[np.lexsort((*rows[mine, :8].T, kinds[mine]))]
-        own, whole = unit(rows[mine].astype(np.float32) / STEPS * idf), texts[mine]
+        own, whole = _vectors(rows[mine], idf), texts[mine]
         found = _clusters(own[whole], CLUSTERS)
         names += [lang] * len(found)
         centres.append(found)
         floors += [_floors((own @ found.T).max(axis=1), kinds[mine])] * len(found)
+        del own  # before the next language is unpacked
     return Model(names, np.concatenate(centres), idf, np.array(floors))
 
 

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 
 from cartwise.llm import centroids as C
 
@@ -119,3 +122,20 @@ def test_more_labels_than_the_model_takes(spark, monkeypatch):
     monkeypatch.setattr(C, "MOST_LANGUAGES", 2)
     docs = documents(spark).where("lang <> 'fr' OR doc_id < 30")
     assert set(C.fit(docs).languages) == {"de", "en"}
+
+
+def test_training_rows_are_unpacked_a_few_at_a_time():
+    """The driver held several float copies of a language's rows at once."""
+    rng = np.random.default_rng(3)
+    packed = rng.integers(0, 40, (1500, C.DIMENSIONS), np.uint8)
+    packed[7] = 0
+    idf = rng.random(C.DIMENSIONS).astype(np.float32) + 1
+    whole = C.unit(packed.astype(np.float32) / C.STEPS * idf)
+    tracemalloc.start()
+    found = C._vectors(packed, idf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(found, whole)
+    assert peak < 1.6 * found.nbytes
+    chunks = pa.chunked_array([pa.array([r.tobytes() for r in part], pa.binary()) for part in (packed[:2], [], packed[2:9])])
+    assert np.array_equal(C._gathered(chunks), packed[:9])
