@@ -226,54 +226,53 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def sorted_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Joins tables of labels and members by sorting. Small ones would else be broadcast, and the driver builds a
+    broadcast table of some MB for each of the many joins, however few their rows are."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the smallest node reachable, for every node of a link. Labels take the smallest label
-    next to them and then that label's own label, until nothing changes; tables are written each round."""
-    both = links.select(F.col("a").alias("node"), F.col("b").alias("next"))
-    edges = both.union(both.select("next", "node")).distinct()
-    labels = edges.select("node").distinct().withColumn("label", F.col("node"))
+    next to them and then that label's own label, until nothing changes; tables are written each round.
+
+    Edges, with one from each node to itself, and lowered labels are written too: read twice from a plan, either
+    would be planned and run twice, and the driver holds the plans and broadcast tables of all rounds."""
+    ends = [F.struct(F.col(x).alias("node"), F.col(y).alias("next")) for x in "ab" for y in "ab"]
+    edges = write_table(links.select(F.inline(F.array(*ends))).distinct(), "edges")
+    labels = edges.where("node = next").select("node", F.col("next").alias("label"))
     while True:
-        near = (
-            edges.join(labels.withColumnsRenamed({"node": "next", "label": "seen"}), "next")
-            .groupBy("node")
-            .agg(F.min("seen").alias("seen"))
-        )
-        lower = labels.join(near, "node").select("node", "label", F.least("label", "seen").alias("lower"))
-        jump = lower.select(F.col("node").alias("lower"), F.col("lower").alias("further"))
-        stepped = lower.join(jump, "lower").select("node", F.col("label").alias("was"), F.col("further").alias("label"))
-        stepped = write_table(stepped, "labels")
-        if stepped.where("was <> label").isEmpty():
-            return stepped.select("node", "label")
+        seen = sorted_join(edges, labels.withColumnRenamed("node", "next"), "next")
+        own = F.max(F.when(F.col("node") == F.col("next"), F.col("label")))
+        lower = write_table(seen.groupBy("node").agg(own.alias("was"), F.min("label").alias("lower")), "lower")
+        jump = lower.select(F.col("node").alias("lower"), F.col("lower").alias("label"))
+        stepped = write_table(sorted_join(lower, jump, "lower").select("node", "was", "label"), "labels")
         labels = stepped.select("node", "label")
+        if stepped.where("was <> label").isEmpty():
+            return labels
 
 
 def _mixed_buckets(left: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with their component, of the buckets that still hold several components."""
-    left = (
-        left.drop("comp")
-        .join(labels.select(F.col("node").alias("c"), F.col("label").alias("comp")), "c", "left")
-        .withColumn("comp", F.coalesce("comp", "c"))
-    )
+    known = labels.select(F.col("node").alias("c"), F.col("label").alias("comp"))
+    left = sorted_join(left.drop("comp"), known, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
     mixed = left.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    return left.join(mixed.select("band"), "band", "left_semi")
+    return sorted_join(left, mixed.select("band"), "band", "left_semi")
 
 
 def _joined_components(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after further links. Only the labels at the ends of links are joined anew."""
+    if links.isEmpty():
+        return labels
     to = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"{side}_l"))
-    between = (
-        links.join(to("a"), "a", "left")
-        .join(to("b"), "b", "left")
-        .select(F.coalesce("a_l", "a").alias("a"), F.coalesce("b_l", "b").alias("b"))
-        .distinct()
-    )
+    between = sorted_join(sorted_join(links, to("a"), "a", "left"), to("b"), "b", "left")
+    between = between.select(F.coalesce("a_l", "a").alias("a"), F.coalesce("b_l", "b").alias("b")).distinct()
     merged = components(between).select(F.col("node").alias("label"), F.col("label").alias("new"))
     ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
     known = labels.union(ends.select("node", F.col("node").alias("label")))
     known = known.groupBy("node").agg(F.min("label").alias("label"))
-    return write_table(
-        known.join(merged, "label", "left").select("node", F.coalesce("new", "label").alias("label")), "labels"
-    )
+    renamed = sorted_join(known, merged, "label", "left")
+    return write_table(renamed.select("node", F.coalesce("new", "label").alias("label")), "labels")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -299,7 +298,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         small, large = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
         pairs = pairs.where(small * 100 >= F.lit(percent) * large).select("a", "b").distinct()
         if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
+            pairs = sorted_join(pairs, checked, ["a", "b"], "left_anti")
         pairs = write_table(pairs, "pairs")
         return pairs, linked(pairs, sets, percent)
 
@@ -315,7 +314,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         pivots = left.groupBy("band").agg(
             F.min_by(F.struct("c", "n", "comp"), F.xxhash64("c", F.lit(step))).alias("p")
         )
-        pairs = left.join(pivots, "band").where("comp <> p.comp")
+        pairs = sorted_join(left, pivots, "band").where("comp <> p.comp")
         new, links = confirmed(
             pairs.select(
                 F.least("c", "p.c").alias("a"),
@@ -328,7 +327,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         checked = checked.union(new)
         labels = _joined_components(labels, write_table(links, "links"))
         # A pivot has been compared with all of its bucket that it was not joined with before.
-        left = left.join(pivots.select("band", F.col("p.c").alias("c")), ["band", "c"], "left_anti")
+        left = sorted_join(left, pivots.select("band", F.col("p.c").alias("c")), ["band", "c"], "left_anti")
 
     left = write_table(_mixed_buckets(left, labels), "left")
     info = classes.select("c", "n", "bands").join(sets.select(F.col("doc_id").alias("c"), "counts").distinct(), "c")

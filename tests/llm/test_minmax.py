@@ -77,3 +77,29 @@ def test_awkward_rows(awkward):
 
 def test_empty_table(nothing):
     assert M.near_duplicates(nothing).collect() == []
+
+
+def test_label_rounds_read_written_tables_and_broadcast_nothing(spark, monkeypatch):
+    """The driver's memory: a round's plan has one join at most, and no join of small tables is broadcast."""
+    plans, write = [], M.write_table
+
+    def watched(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name)
+
+    monkeypatch.setattr(M, "write_table", watched)
+    chain = [(i, i + 1) for i in range(1, 12)] + [(20, 22), (21, 22)]
+    got = M.components(write(spark.createDataFrame(chain, "a long, b long"), "links"))
+    assert sorted(map(tuple, got.collect())) == [(i, 1) for i in range(1, 13)] + [(20, 20), (21, 20), (22, 20)]
+    assert all(len(re.findall(r"Join ", p)) <= 1 and "Broadcast" not in p for _, p in plans), plans
+
+    plans.clear()
+    more = write(spark.createDataFrame([(5, 21), (30, 31)], "a long, b long"), "links")
+    again = M._joined_components(got, more)
+    want = [(i, 1) for i in [*range(1, 13), 20, 21, 22]] + [(30, 30), (31, 30)]
+    assert sorted(map(tuple, again.collect())) == want
+    assert plans and all("Broadcast" not in p for _, p in plans), plans
+
+    plans.clear()
+    same = M._joined_components(again, more.limit(0))
+    assert sorted(map(tuple, same.collect())) == want and not plans
